@@ -120,6 +120,8 @@ PLAY_TEXT_COLUMNS = ["PlayType", "FieldType", "Weather", "Position", "PositionGr
 
 # The four roster positions of the movement study and the two play types.
 MAIN_POSITIONS = ["Linebacker", "Safety", "Wide Receiver", "Cornerback"]
+# Body parts of the injury file (dummy columns of the environment model).
+BODY_PARTS = ["Ankle", "Foot", "Heel", "Knee", "Toes"]
 # Positions of the lateral-movement chart.
 INJURY_PRONE_POSITIONS = ["Wide Receiver", "Linebacker", "Defensive Back"]
 RUSH_PASS = ["Rush", "Pass"]

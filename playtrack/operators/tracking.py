@@ -72,7 +72,8 @@ def _last_event_window(df: DataFrame) -> DataFrame:
     at_last = F.collect_list(F.when(F.col("time") == F.col("last_time"),
                                     F.struct(F.col("event").alias("e")))).over(_play())
     cols = df.columns
-    return (df.withColumn("_l", F.explode(at_last))
+    return (df.withColumn("_at_last", at_last)
+            .withColumn("_l", F.explode("_at_last"))
             .select(*cols, F.col("_l.e").alias("last_event")))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_injury  # noqa: F401  (registers queries)
+from . import q_features, q_injury, q_io, q_ml, q_plays, q_tracking  # noqa: F401  (register queries)
 from .registry import ORACLES, QUERIES
 
 

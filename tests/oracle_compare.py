@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import sys
+import time
 
 import duckdb
 
@@ -80,9 +81,14 @@ if __name__ == "__main__":
     for name in sorted(q):
         if only and name not in only:
             continue
+        t0 = time.time()
         if name not in o:
-            rows = q[name](spark, sf).count()
-            print(f"{name:40s} rows-only {rows}")
+            try:
+                rows = q[name](spark, sf).count()
+                print(f"{name:40s} rows-only {rows} ({time.time() - t0:.1f}s)", flush=True)
+            except Exception as exc:  # noqa: BLE001
+                bad += 1
+                print(f"{name:40s} FAIL error: {type(exc).__name__}: {str(exc)[:300]}", flush=True)
             continue
         try:
             problems, n = compare(spark, sf, name, q[name], o[name], con)
@@ -90,5 +96,5 @@ if __name__ == "__main__":
             problems, n = [f"error: {type(exc).__name__}: {str(exc)[:300]}"], -1
         status = "OK" if not problems else "FAIL " + "; ".join(problems)
         bad += bool(problems)
-        print(f"{name:40s} {n:7d} {status}", flush=True)
+        print(f"{name:40s} {n:7d} {status} ({time.time() - t0:.1f}s)", flush=True)
     print(f"{bad} failing of {len(q)}")
