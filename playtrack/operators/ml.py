@@ -53,8 +53,10 @@ def logistic_regression(label: str = "IsInjury", features: str = "features", max
 
 def random_forest(label: str = "IsInjury", features: str = "features", num_trees: int = 20, max_depth: int = 5,
                   seed: int = 7) -> RandomForestClassifier:
+    # cacheNodeIds / maxMemoryInMB only change how many passes over the data a
+    # deep forest needs, not the model's parameters.
     return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=num_trees, maxDepth=max_depth,
-                                  seed=seed)
+                                  seed=seed, cacheNodeIds=True, maxMemoryInMB=1024)
 
 
 def auc_evaluator(label: str = "IsInjury") -> BinaryClassificationEvaluator:
@@ -171,7 +173,8 @@ def mae(pred: DataFrame, pairs) -> DataFrame:
 def rf_regressor(label: str, features: str = "features", seed: int = 1, num_trees: int = 100,
                  max_depth: int = 5) -> RandomForestRegressor:
     return RandomForestRegressor(labelCol=label, featuresCol=features, seed=seed, numTrees=num_trees,
-                                 maxDepth=max_depth, predictionCol=f"pred_{label}")
+                                 maxDepth=max_depth, predictionCol=f"pred_{label}", cacheNodeIds=True,
+                                 maxMemoryInMB=1024)
 
 
 def regression_mae(pred: DataFrame, label: str) -> float:

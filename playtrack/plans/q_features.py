@@ -12,7 +12,7 @@ from ..operators import features as FE
 from ..operators import ml as ML
 from ..sources import staging as S
 from .registry import query
-from .sql_blocks import GAMES, KIN, PGF, PGF_COLS, PLAYER, PLAYER_COUNTS, PLAYER_DOUBLES
+from .sql_blocks import GAMES, KIN, PGF, PGF_COLS, PLAYER, PLAYER_COUNTS, PLAYER_DOUBLES, qi
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -114,7 +114,7 @@ def player_averages(spark, sf):
 
 def _pivot_query(name, col, values):
     sql = "select PlayerKey, " + ", ".join(
-        f"cast(sum(case when {col}='{v}' then 1 end) as bigint) as {v}" for v in values) + " from pgf group by PlayerKey"
+        f"cast(sum(case when {col}='{v}' then 1 end) as bigint) as {qi(v)}" for v in values) + " from pgf group by PlayerKey"
 
     @query(name, sql=sql, ctes=PGF)
     def _q(spark, sf):
@@ -126,7 +126,7 @@ _pivot_query("pivot_weather", "Weather", WEATHER_PIVOT)
 _pivot_query("pivot_stadium", "StadiumType", STADIUM_PIVOT)
 _pivot_query("pivot_field", "FieldType", FIELD_PIVOT)
 
-_PLAYER_SQL = "select PlayerKey, " + _r(PLAYER_DOUBLES) + ", " + ", ".join(PLAYER_COUNTS) + " from player"
+_PLAYER_SQL = "select PlayerKey, " + _r(PLAYER_DOUBLES) + ", " + ", ".join(qi(c) for c in PLAYER_COUNTS) + " from player"
 
 
 @query("player_features", sql=_PLAYER_SQL, ctes=PLAYER)
@@ -136,14 +136,14 @@ def player_features(spark, sf):
 
 @query("player_features_filled",
        sql="select PlayerKey, " + ", ".join(f"round(coalesce({c}, 0), 6) as {c}" for c in PLAYER_DOUBLES) + ", "
-           + ", ".join(f"coalesce({c}, 0) as {c}" for c in PLAYER_COUNTS) + " from player", ctes=PLAYER)
+           + ", ".join(f"coalesce({qi(c)}, 0) as {qi(c)}" for c in PLAYER_COUNTS) + " from player", ctes=PLAYER)
 def player_features_filled(spark, sf):
     return round_doubles(player_table(spark, sf).na.fill(0))
 
 
 @query("player_model_input",
        sql="select " + ", ".join(
-           (f"round(coalesce({c}, 0), 6) as {c}" if c in PLAYER_DOUBLES else f"coalesce({c}, 0) as {c}")
+           (f"round(coalesce({c}, 0), 6) as {c}" if c in PLAYER_DOUBLES else f"coalesce({qi(c)}, 0) as {qi(c)}")
            for c in ML.PLAYER_MODEL_FEATURES) + ", case when sum_Injury>0 then 1 else 0 end as IsInjury from player",
        ctes=PLAYER)
 def player_model_input(spark, sf):

@@ -19,8 +19,9 @@ from ..operators import ml as ML
 from ..operators import reports as R
 from .q_features import player_game_table, player_table, round_doubles
 from .q_injury import ENV_CLEAN_CTE, injury_environment_clean_df, injury_environment_df, INJ_ENV_CTE
+from ..session import ensure_checkpoint_dir
 from .registry import query
-from .sql_blocks import PGF, PLAYER
+from .sql_blocks import PGF
 
 HASH_SQL = "(cast(('0x'||substr(md5({k}),1,8)) as bigint) % 100)"
 
@@ -181,6 +182,15 @@ _GAME_NUMS = ML.GAME_MODEL_NUMBERS
 _MODEL_CACHE: dict = {}
 
 
+def ensure_and_checkpoint(spark, df):
+    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (survives
+    executor loss; never a local checkpoint)."""
+    ensure_checkpoint_dir(spark)
+    # Spread the (small, aggregated) model input over the cluster's cores so
+    # every training pass runs in parallel tasks.
+    return df.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
+
+
 def _game_input(spark, sf):
     pgf = player_game_table(spark, sf)
     return pgf.select(*ML.GAME_MODEL_CATEGORIES, *_GAME_NUMS, "IsInjury", "GameID").na.fill(0)
@@ -203,7 +213,8 @@ def game_models(spark, sf):
     """Per-game models, 50/50 key-hash split, no search."""
     key = ("game", sf, spark.sparkContext.applicationId)
     if key not in _MODEL_CACHE:
-        data = _game_input(spark, sf)
+        # The iterative fits read their input many times: cut the lineage once.
+        data = ensure_and_checkpoint(spark, _game_input(spark, sf))
         train, test = ML.hash_split(data, "GameID", 50)
         lr, rf = _game_pipelines()
         _MODEL_CACHE[key] = (data, train, test, lr.fit(train), rf.fit(train))
@@ -235,7 +246,8 @@ def player_models(spark, sf):
     """Per-player models: 70/30 key-hash split, 4-fold CV over the source's grids."""
     key = ("player", sf, spark.sparkContext.applicationId)
     if key not in _MODEL_CACHE:
-        data = FE.model_input(player_table(spark, sf), ML.PLAYER_MODEL_FEATURES + ["PlayerKey"])
+        data = ensure_and_checkpoint(
+            spark, FE.model_input(player_table(spark, sf), ML.PLAYER_MODEL_FEATURES + ["PlayerKey"]))
         train, test = ML.hash_split(data, "PlayerKey", 70)
         assembler = ML.assembler(ML.PLAYER_MODEL_FEATURES)
         lr = ML.logistic_regression("IsInjury", "features", 100, 0.6)
@@ -243,8 +255,8 @@ def player_models(spark, sf):
                           (lr.fitIntercept, [True, False]), (lr.maxIter, [58, 60, 62]))
         rf = ML.random_forest("IsInjury", "features", 100, 10)
         rf_grid = ML.grid((rf.maxDepth, [10, 15, 20]), (rf.numTrees, [50, 60, 70]))
-        lr_cv = ML.cross_validate(Pipeline(stages=[assembler, lr]), train, lr_grid)
-        rf_cv = ML.cross_validate(Pipeline(stages=[assembler, rf]), train, rf_grid)
+        lr_cv = ML.cross_validate(Pipeline(stages=[assembler, lr]), train, lr_grid, parallelism=4)
+        rf_cv = ML.cross_validate(Pipeline(stages=[assembler, rf]), train, rf_grid, parallelism=4)
         _MODEL_CACHE[key] = (data, train, test, lr_cv, rf_cv)
     return _MODEL_CACHE[key]
 
@@ -294,7 +306,7 @@ def ml_rf_regression(spark, sf):
     -999 imputed by the training mean; MAE per target on the test part (M17)."""
     key = ("rfreg", sf, spark.sparkContext.applicationId)
     if key not in _MODEL_CACHE:
-        df = dummy_table(spark, sf)
+        df = ensure_and_checkpoint(spark, dummy_table(spark, sf))
         inputs = ["Temperature"] + [n for n in _DUMMY_NAMES if not n.startswith("BodyPart_")]
         bucket = C.hash_bucket("GameID")
         train, test = df.where(bucket < 75), df.where(bucket >= 75)

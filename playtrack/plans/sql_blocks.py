@@ -59,8 +59,13 @@ def _avg_name(c: str) -> str:
     return c if c.startswith("avg_") else f"avg_{c}"
 
 
+def qi(name: str) -> str:
+    """Quoted identifier (pivot names such as Natural are SQL keywords)."""
+    return f'"{name}"'
+
+
 def _pivot(col, values):
-    return [f"cast(sum(case when {col}='{v}' then 1 end) as bigint) as {v}" for v in values]
+    return [f"cast(sum(case when {col}='{v}' then 1 end) as bigint) as {qi(v)}" for v in values]
 
 
 PGF = GAMES + ",\n" + KIN + ",\npgf AS (select " + ", ".join(f"l.{c}" if c not in (

@@ -3,16 +3,23 @@
 ``plays`` (player = customer, game = order, play = line item), ``injuries``
 (flagged play lines) and ``tracks`` (a user's events laid on the first play of
 that customer's n-th order by week of month).  The rules are the staging SQL in
-FIXTURES.md; ``playtrack.plans.oracle`` holds the same SQL for DuckDB.
-
-All three are lazy DataFrames; each query re-derives them from the parquet
-scans, so a query's work grows with the tables.  Column pruning reaches the
-scans: a query that needs only ``PlayKey`` and ``PlayType`` reads only the
-columns those depend on.
+FIXTURES.md; ``playtrack.plans.staging_sql`` holds the same SQL for DuckDB.
+
+The three tables stand in for the reference's input files.  By default they
+are derived ONCE per session and stored under the shared checkpoint folder
+as tables bucketed by ``PlayKey`` (and sorted by ``PlayKey, time`` for the
+frames): every per-play window and every frames-plays join on ``PlayKey``
+then reads co-partitioned buckets and needs no shuffle of the frames.  Each
+query reads the stored tables, so its work still grows with the data.  With
+``spark.playtrack.staging.store=false`` each query derives them lazily from
+the parquet scans instead (Catalyst prunes columns into those scans).
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -95,12 +102,12 @@ def plays_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plays_with_customer(spark, sf_dir).select(*PLAY_COLUMNS)
 
 
-def injuries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = plays(spark, sf_dir)
+def derive_injuries(spark: SparkSession, sf_dir: str, plays_df: DataFrame | None = None) -> DataFrame:
+    p = derive_plays(spark, sf_dir) if plays_df is None else plays_df
     q = F.col("src_quantity")
     flagged = (((F.col("src_flag") == "R") & (q >= 44))
                | ((F.col("src_flag") == "A") & (F.col("PlayerGamePlay") == 1) & (q % 4 == 0)))
@@ -119,10 +126,12 @@ def injuries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_tracks(spark: SparkSession, sf_dir: str, plays_df: DataFrame | None = None) -> DataFrame:
     """One frame per event; ``time`` is hours since the play's first frame."""
-    first_plays = (plays_with_customer(spark, sf_dir).where(F.col("PlayerGamePlay") == 1)
-                   .select("PlayKey", "src_cust", "PlayerGame"))
+    p = derive_plays(spark, sf_dir) if plays_df is None else plays_df
+    # PlayerKey is the customer key's canonical text: join on the number.
+    first_plays = (p.where(F.col("PlayerGamePlay") == 1)
+                   .select("PlayKey", F.col("PlayerKey").cast("bigint").alias("src_cust"), "PlayerGame"))
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     # TZ-independent epoch seconds of a timestamp_ntz (same double as epoch() in DuckDB).
     epoch = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)") / F.lit(1000000.0)
@@ -145,6 +154,63 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# -- stored staging -----------------------------------------------------------
+_STORED: dict = {}
+STORE_CONF = "spark.playtrack.staging.store"
+BUCKETS_CONF = "spark.playtrack.staging.buckets"
+
+
+def _store_enabled(spark: SparkSession) -> bool:
+    return spark.conf.get(STORE_CONF, "true").lower() == "true"
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> dict:
+    """Derive and store the three tables once per (session, input folder).
+
+    Each table is repartitioned by ``PlayKey`` into the bucket count before the
+    write, so every write task produces one file per bucket it owns (no
+    tasks x buckets file explosion).  Returns ``{name: catalog table}``.
+    """
+    from ..session import scratch_path
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key in _STORED and all(spark.catalog.tableExists(t) for t in _STORED[key].values()):
+        return _STORED[key]
+    n = int(spark.conf.get(BUCKETS_CONF, spark.conf.get("spark.sql.shuffle.partitions")))
+    tag = hashlib.md5(f"{key[0]}|{key[1]}".encode()).hexdigest()[:10]
+    base = scratch_path(spark, f"staged-{tag}")
+    names = {}
+    for name, derive, sort_cols in [("plays", lambda: derive_plays(spark, sf_dir), ["PlayKey"]),
+                                    ("injuries", lambda: derive_injuries(spark, sf_dir, spark.table(names["plays"])),
+                                     ["PlayKey"]),
+                                    ("tracks", lambda: derive_tracks(spark, sf_dir, spark.table(names["plays"])),
+                                     ["PlayKey", "time"])]:
+        tname = f"playtrack_{name}_{tag}"
+        (derive().repartition(n, "PlayKey").write.mode("overwrite").option("path", f"{base}/{name}")
+         .bucketBy(n, "PlayKey").sortBy(*sort_cols).saveAsTable(tname))
+        names[name] = tname
+    _STORED[key] = names
+    return names
+
+
+def _staged(spark: SparkSession, sf_dir: str, name: str, derive) -> DataFrame:
+    if not _store_enabled(spark):
+        return derive(spark, sf_dir)
+    return spark.table(stored_tables(spark, sf_dir)[name])
+
+
+def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _staged(spark, sf_dir, "plays", derive_plays)
+
+
+def injuries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _staged(spark, sf_dir, "injuries", derive_injuries)
+
+
+def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _staged(spark, sf_dir, "tracks", derive_tracks)
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Register ``plays``, ``injuries`` and ``tracks`` as temp views for SQL."""
     plays(spark, sf_dir).createOrReplaceTempView("plays")
