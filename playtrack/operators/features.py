@@ -80,19 +80,53 @@ def game_injury_label(games: DataFrame, injuries: DataFrame) -> DataFrame:
 
 
 # -- X3 -------------------------------------------------------------------
-def track_kinematics(tracks: DataFrame, mode: str = "reference") -> DataFrame:
+def previous_in_play(frames: DataFrame, cols, chunks: int | None = None) -> DataFrame:
+    """``_prev_<c>`` = value of ``c`` on the previous row of the same play by
+    time, for plays too large for one task.
+
+    The frames are range-partitioned on (PlayKey, time), so a huge play is cut
+    into time-ordered chunks on many tasks; ``lag`` runs inside each chunk, and
+    each chunk's first row takes the last row of the play's previous chunk
+    from a carry table of at most (chunks + plays) rows.
+    """
+    n = chunks or int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = frames.repartitionByRange(n, "PlayKey", "time").withColumn("_chunk", F.spark_partition_id())
+    w = Window.partitionBy("PlayKey", "_chunk").orderBy("time")
+    local = ranged.withColumns({f"_prev_{c}": F.lag(c, 1).over(w) for c in cols}) \
+        .withColumn("_first", F.row_number().over(w) == 1)
+    last = ranged.groupBy("PlayKey", "_chunk").agg(F.max_by(F.struct(*cols), "time").alias("_last"))
+    carry = last.withColumn("_carry", F.lag("_last", 1).over(Window.partitionBy("PlayKey").orderBy("_chunk"))) \
+        .select("PlayKey", "_chunk", "_carry")
+    out = local.join(carry, ["PlayKey", "_chunk"], "left")
+    return out.withColumns({f"_prev_{c}": F.when(F.col("_first"), F.col(f"_carry.{c}"))
+                            .otherwise(F.col(f"_prev_{c}")) for c in cols}).drop("_chunk", "_first", "_carry")
+
+
+def track_kinematics(tracks: DataFrame, mode: str = "reference", strategy: str = "auto",
+                     hot_rows: int | None = None) -> DataFrame:
     """Event frames with steps to the previous event frame of the play.
 
     ``mode="reference"`` divides the step by the absolute ``time`` (as the
     source does); ``"per_step"`` divides by the time step.  Division by zero
-    gives null.
+    gives null.  ``strategy="auto"``: normal plays use a ``lag`` window on the
+    PlayKey partitioning; hot plays (see ``tracking.by_play_size``) use
+    ``previous_in_play`` over time-range chunks.
     """
-    w = Window.partitionBy("PlayKey").orderBy("time")
-    df = (tracks.where(F.col("event") != "")
-          .withColumn("x_distance", F.col("x") - F.lag("x", 1).over(w))
+    from .tracking import by_play_size
+
+    if strategy == "auto":
+        return by_play_size(tracks, lambda f, s: track_kinematics(f, mode, s), "auto", hot_rows)
+    ev = tracks.where(F.col("event") != "")
+    if strategy == "join":
+        prev = previous_in_play(ev, ["x", "y", "time"])
+    else:
+        w = Window.partitionBy("PlayKey").orderBy("time")
+        prev = ev.withColumns({f"_prev_{c}": F.lag(c, 1).over(w) for c in ["x", "y", "time"]})
+    df = (prev.withColumn("x_distance", F.col("x") - F.col("_prev_x"))
           .withColumn("o_minus_dir", C.angle_gap_plain("o", "dir"))
-          .withColumn("y_distance", F.col("y") - F.lag("y", 1).over(w))
-          .withColumn("time_period", F.col("time") - F.lag("time", 1).over(w)))
+          .withColumn("y_distance", F.col("y") - F.col("_prev_y"))
+          .withColumn("time_period", F.col("time") - F.col("_prev_time"))
+          .drop("_prev_x", "_prev_y", "_prev_time"))
     denom = F.col("time") if mode == "reference" else F.col("time_period")
     return (df.withColumn("x_velocity", F.try_divide(F.col("x_distance"), denom))
             .withColumn("y_velocity", F.try_divide(F.col("y_distance"), denom))

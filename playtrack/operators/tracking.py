@@ -14,6 +14,16 @@ Shuffle plan (frames are the big table):
   + join on (PlayKey, time), join back).  Same rows; more shuffles of the
   frames.  Kept as the reference form for tests.
 
+* ``strategy="auto"`` (default of the public chains): hot plays are split
+  off.  A partial aggregate counts frames per play; plays above
+  ``spark.playtrack.frames.hotPlayRows`` (default 1,000,000) form a key table
+  of at most ``frames / hotPlayRows`` rows -- a proven bound, so it is
+  broadcast.  Normal plays (anti join, partitioning kept) take the window
+  form; the hot plays' frames are spread by a row hash and take the join
+  form, where every per-play fact is a small aggregate joined back to the
+  streamed frames (AQE broadcasts it or splits the skewed partition).  A
+  play holding a third of all frames therefore never sits in one task.
+
 Both reproduce the source's duplication (hazard H3): a play with k snap frames
 yields k copies of each frame after the snap join, and the last-event join
 multiplies again by the number of rows at the last event time.
@@ -29,12 +39,34 @@ from ..functions.rules import MAIN_POSITIONS, RUSH_PASS
 
 SNAP = "ball_snap"
 PLAY_ATTRS = ["PlayerKey", "RosterPosition", "PositionGroup", "FieldType", "PlayType"]
+HOT_ROWS_CONF = "spark.playtrack.frames.hotPlayRows"
+DEFAULT_HOT_ROWS = 1_000_000
 
 
 def _play(key: str = "PlayKey") -> Window:
     return Window.partitionBy(key)
 
 
+# -- hot-play split -------------------------------------------------------
+def hot_play_keys(tracks: DataFrame, hot_rows: int) -> DataFrame:
+    """Plays with more than ``hot_rows`` frames (at most rows / hot_rows keys)."""
+    return (tracks.groupBy("PlayKey").agg(F.count(F.lit(1)).alias("_frames"))
+            .where(F.col("_frames") > hot_rows).select("PlayKey"))
+
+
+def by_play_size(tracks: DataFrame, chain, strategy: str = "auto", hot_rows: int | None = None) -> DataFrame:
+    """Run ``chain(frames, strategy)``; with ``strategy="auto"`` normal plays
+    take the window form and hot plays the join form (see module doc)."""
+    if strategy != "auto":
+        return chain(tracks, strategy)
+    if hot_rows is None:
+        hot_rows = int(tracks.sparkSession.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+    hot = F.broadcast(hot_play_keys(tracks, hot_rows))       # size bound: rows / hot_rows keys
+    normal = tracks.join(hot, "PlayKey", "left_anti")
+    spread = tracks.join(hot, "PlayKey", "left_semi").repartition(F.xxhash64("PlayKey", "time"))
+    return chain(normal, "window").unionByName(chain(spread, "join"))
+
+
 # -- J12: snap frames ------------------------------------------------------
 def snap_frames(tracks: DataFrame) -> DataFrame:
     """Ball-snap frames of each play with renamed time/x/y."""
@@ -43,9 +75,11 @@ def snap_frames(tracks: DataFrame) -> DataFrame:
             .drop("dir", "dis", "o", "event", "s"))
 
 
-def frames_with_snap(tracks: DataFrame, strategy: str = "window") -> DataFrame:
+def frames_with_snap(tracks: DataFrame, strategy: str = "auto", hot_rows: int | None = None) -> DataFrame:
     """Every frame paired with every snap frame of its play (left join: a play
     without a snap keeps its frames with null snap columns)."""
+    if strategy == "auto":
+        return by_play_size(tracks, frames_with_snap, "auto", hot_rows)
     if strategy == "join":
         return tracks.join(snap_frames(tracks), ["PlayKey"], "left_outer")
     snaps = F.collect_list(F.when(F.col("event") == SNAP,
@@ -85,10 +119,16 @@ def last_event(frames: DataFrame) -> DataFrame:
             .select("PlayKey", F.col("time").alias("last_time"), F.col("event").alias("last_event")))
 
 
-def frames_trimmed(tracks: DataFrame, before: float = 0.1, after: float = 0.1, strategy: str = "window",
-                   one_snap: bool = False) -> DataFrame:
+def frames_trimmed(tracks: DataFrame, before: float = 0.1, after: float = 0.1, strategy: str = "auto",
+                   one_snap: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Frames from ``before`` ahead of the snap to ``after`` past the last event."""
-    if one_snap:
+    if strategy == "auto":
+        return by_play_size(tracks, lambda f, s: frames_trimmed(f, before, after, s, one_snap), "auto", hot_rows)
+    if one_snap and strategy == "join":
+        first = (tracks.where(F.col("event") == SNAP).groupBy("PlayKey")
+                 .agg(F.min("time").alias("snap_time")))
+        a = tracks.join(first, ["PlayKey"], "left_outer")
+    elif one_snap:
         a = frames_with_snap_one(tracks)
     else:
         a = frames_with_snap(tracks, strategy)
@@ -158,10 +198,18 @@ def fix_orientation(df: DataFrame, turn: float = 90) -> DataFrame:
     return df.withColumn("o", F.when(F.col("season") == 1, (F.col("o") + turn) % 360).otherwise(F.col("o")))
 
 
-def orientation_fixed(tracks: DataFrame, plays: DataFrame, strategy: str = "window") -> DataFrame:
+def season_imputed(tracks: DataFrame, plays: DataFrame, strategy: str = "auto",
+                   hot_rows: int | None = None) -> DataFrame:
+    """X6 + season join + J11 on the trimmed frames."""
+    def chain(f, s):
+        return impute_season(frames_with_season(frames_trimmed(f, strategy=s), plays), s)
+    return by_play_size(tracks, chain, strategy, hot_rows)
+
+
+def orientation_fixed(tracks: DataFrame, plays: DataFrame, strategy: str = "auto",
+                      hot_rows: int | None = None) -> DataFrame:
     """X6 + X7: trimmed frames with season and repaired orientation."""
-    return fix_orientation(impute_season(frames_with_season(frames_trimmed(tracks, strategy=strategy), plays),
-                                         strategy))
+    return fix_orientation(season_imputed(tracks, plays, strategy, hot_rows))
 
 
 # -- X8: flags, movement ---------------------------------------------------
@@ -188,7 +236,8 @@ def play_attributes(plays: DataFrame, injuries: DataFrame, day: int = 350) -> Da
 
 
 def movement_frames(tracks: DataFrame, plays: DataFrame, injuries: DataFrame, within: float = 25,
-                    threshold: float = 45, day: int = 350) -> DataFrame:
+                    threshold: float = 45, day: int = 350, strategy: str = "auto",
+                    hot_rows: int | None = None) -> DataFrame:
     """X8 up to the movement class: trimmed frames with season, repaired
     orientation, play attributes and flags, kept within ``within`` of the
     snap, with the circular angle gap and the movement class.
@@ -198,9 +247,12 @@ def movement_frames(tracks: DataFrame, plays: DataFrame, injuries: DataFrame, wi
     does); the abnormal-snap test and the season fill are then per-play
     windows on the same partitioning.
     """
-    frames = frames_trimmed(tracks)
-    joined = frames.join(play_attributes(plays, injuries, day), ["PlayKey"], "inner")
-    fixed = fix_orientation(impute_season(joined))
+    attrs = play_attributes(plays, injuries, day)
+
+    def chain(f, s):
+        joined = frames_trimmed(f, strategy=s).join(attrs, ["PlayKey"], "inner")
+        return fix_orientation(impute_season(joined, s))
+    fixed = by_play_size(tracks, chain, strategy, hot_rows)
     within_snap = (fixed.withColumn("time_since_snap", F.col("time") - F.col("snap_time"))
                    .where(F.col("time_since_snap") <= within))
     return (within_snap.withColumn("o_dir_diff", C.angle_gap("o", "dir"))

@@ -88,11 +88,21 @@ def table_counts(spark, sf):
     return out
 
 
-@query("schema_report")
+_SQL_TYPE = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN",
+             "float": "FLOAT", "date": "DATE"}
+_SCHEMA_TABLES = [("plays", S.PLAY_COLUMNS), ("injuries", S.INJURY_COLUMNS), ("tracks", S.TRACK_COLUMNS)]
+
+
+@query("schema_report",
+       sql="\nunion all ".join(f"select '{t}' as table_name, {i} as position, '{c}' as column_name, "
+                               f"any_value(typeof({c})) as data_type from {t}"
+                               for t, cols in _SCHEMA_TABLES for i, c in enumerate(cols)))
 def schema_report(spark, sf):
-    """``printSchema`` as rows: (table, column, type) of the three staged tables."""
+    """``printSchema`` as rows: (table, position, column, SQL type name) of the
+    three staged tables, from their catalog schemas."""
     rows = []
     for name, df in [("plays", S.plays(spark, sf)), ("injuries", S.injuries(spark, sf)),
                      ("tracks", S.tracks(spark, sf))]:
-        rows += [(name, f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
-    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, nullable boolean")
+        rows += [(name, i, f.name, _SQL_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString().upper()))
+                 for i, f in enumerate(df.schema.fields)]
+    return spark.createDataFrame(rows, "table_name string, position int, column_name string, data_type string")

@@ -77,8 +77,7 @@ def abnormal_snap_plays(spark, sf):
 
 @query("season_imputed", sql="select * from imputed", ctes=SEASON)
 def season_imputed(spark, sf):
-    se = TR.frames_with_season(TR.frames_trimmed(_t(spark, sf)), S.plays(spark, sf))
-    return TR.impute_season(se)
+    return TR.season_imputed(_t(spark, sf), S.plays(spark, sf))
 
 
 @query("orientation_fixed", sql="select * from fixed", ctes=SEASON)

@@ -78,3 +78,18 @@ def test_kinematics_reference_divides_by_time(spark):
     ref = FE.track_kinematics(df).where(F.col("time") == 2.0).first()
     step = FE.track_kinematics(df, mode="per_step").where(F.col("time") == 2.0).first()
     assert ref.x_velocity == 2.0 and step.x_velocity == 2.0 and ref.o_minus_dir == 10.0
+
+
+def test_chunked_lag_matches_window(spark):
+    """Hot-play path: lag over time-range chunks equals the plain lag window,
+    also across chunk boundaries."""
+    rows = [(k, float(t), "e", float(t * t % 7), float(t % 5), 1.0, 0.1, 2.0, 3.0)
+            for k in ["1-1-1", "1-1-2"] for t in range(1, 60)]
+    df = spark.createDataFrame(rows, "PlayKey string, time double, event string, x double, y double, dir double, "
+                                     "dis double, o double, s double")
+    cols = ["PlayKey", "time", "x_distance", "y_distance", "time_period", "x_velocity", "velocity"]
+    chunked = {tuple(r[c] for c in cols) for r in FE.track_kinematics(df, strategy="auto", hot_rows=10).collect()}
+    plain = {tuple(r[c] for c in cols) for r in FE.track_kinematics(df, strategy="window").collect()}
+    assert chunked == plain and len(plain) == 118
+    prev = FE.previous_in_play(df, ["x", "time"], chunks=7)
+    assert prev.where(F.col("_prev_time").isNull()).count() == 2          # only each play's first frame

@@ -81,3 +81,17 @@ def test_mark_join_handles_null_keys(spark):
     inj = spark.createDataFrame([("a",), (None,)], "PlayKey string")
     marks = {r.PlayKey: r.is_injury_play for r in TR.mark_injury_plays(frames, inj).collect()}
     assert marks == {"a": True, "b": False, None: False}
+
+
+def test_hot_play_split_matches_pure_forms(spark):
+    """With a tiny hot threshold, play 1-1-1 (7 frames) takes the join path and
+    the rest the window path; the union equals either pure form."""
+    f = _frames(spark)
+    cols = ["PlayKey", "time", "event", "snap_time", "last_time", "last_event"]
+    split = TR.frames_trimmed(f, strategy="auto", hot_rows=3).select(*cols)
+    pure = TR.frames_trimmed(f, strategy="window").select(*cols)
+    assert _multiset(split, cols) == _multiset(pure, cols)
+    assert [r.PlayKey for r in TR.hot_play_keys(f, 3).collect()] == ["1-1-1"]
+    one = TR.frames_trimmed(f, strategy="auto", hot_rows=3, one_snap=True).select(*cols)
+    assert _multiset(one, cols) == _multiset(TR.frames_trimmed(f, strategy="window", one_snap=True).select(*cols),
+                                             cols)
