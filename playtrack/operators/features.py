@@ -52,11 +52,21 @@ def rest_days(games: DataFrame, player: str = "GamePlayerID", default_day: int =
 
 
 def game_counts(clean: DataFrame) -> DataFrame:
-    """Distinct counts per player-game (``MaxPlayGamePlay`` counts distinct plays)."""
+    """Distinct counts per player-game (``MaxPlayGamePlay`` counts distinct plays).
+
+    The three category columns have small fixed domains, so their distinct
+    sets are bounded by the domain and ``size(collect_set)`` is exact; only the
+    play number (unbounded per game) uses ``countDistinct``.  A single
+    distinct aggregate needs no Expand (four would copy every row four times
+    through two shuffles); its first shuffle is on (game, play number), so a
+    huge game is spread over many tasks.
+    """
+    def distinct_categories(c):
+        return F.size(F.collect_set(c)).cast("bigint")
     return (clean.groupBy("PlayerKey", "GameID", "PlayerGame")
-            .agg(F.countDistinct("RosterPosition").alias("NumRosterPosition"),
-                 F.countDistinct("PlayType").alias("NumPlayTypePerGame"),
-                 F.countDistinct("Position").alias("NumPositionPerGame"),
+            .agg(distinct_categories("RosterPosition").alias("NumRosterPosition"),
+                 distinct_categories("PlayType").alias("NumPlayTypePerGame"),
+                 distinct_categories("Position").alias("NumPositionPerGame"),
                  F.countDistinct("PlayerGamePlay").alias("MaxPlayGamePlay")))
 
 

@@ -61,7 +61,13 @@ def by_play_size(tracks: DataFrame, chain, strategy: str = "auto", hot_rows: int
         return chain(tracks, strategy)
     if hot_rows is None:
         hot_rows = int(tracks.sparkSession.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-    hot = F.broadcast(hot_play_keys(tracks, hot_rows))       # size bound: rows / hot_rows keys
+    keys = hot_play_keys(tracks, hot_rows)
+    # One small job (a partial count over the PlayKey column) decides the plan,
+    # as AQE does from runtime statistics: without hot plays the pure window
+    # form runs alone.
+    if keys.isEmpty():
+        return chain(tracks, "window")
+    hot = F.broadcast(keys)                                  # size bound: rows / hot_rows keys
     normal = tracks.join(hot, "PlayKey", "left_anti")
     spread = tracks.join(hot, "PlayKey", "left_semi").repartition(F.xxhash64("PlayKey", "time"))
     return chain(normal, "window").unionByName(chain(spread, "join"))

@@ -45,10 +45,11 @@ _ONE_HOT_SLOTS = 4   # five weather classes after cleaning, the last one dropped
 
 
 @query("ml_one_hot",
-       sql="with idx as (select Weather, row_number() over (order by count(*) desc, Weather) - 1 as i from pgf "
-           "group by Weather) select Weather, cast(i as bigint) as Weather_index, "
+       sql="select Weather, cast(i as bigint) as Weather_index, "
            + ", ".join(f"case when i={s} then 1.0 else 0.0 end as Weather_vec_{s}" for s in range(_ONE_HOT_SLOTS))
-           + " from idx", ctes=PGF)
+           + " from idx",
+       ctes=PGF + ",\nidx AS (select Weather, row_number() over (order by count(*) desc, Weather) - 1 as i from pgf "
+                  "group by Weather)")
 def ml_one_hot(spark, sf):
     pgf = player_game_table(spark, sf)
     model = Pipeline(stages=[ML.indexer("Weather", "error"), ML.one_hot(["Weather"])]).fit(pgf)
@@ -160,12 +161,13 @@ _TARGETS = ["level_of_injury"] + [f"BodyPart_{v}" for v in BODY_PARTS]
 
 
 @query("ml_mae",
-       sql="with tr as (select " + ", ".join(f"avg(\"{t}\") as \"m_{t}\"" for t in _TARGETS)
-           + f" from dm where {_hash_sql('GameID')} < 75) select round((" + " + ".join(
+       sql="select round((" + " + ".join(
                f"avg(abs(\"{t}\" - (select \"m_{t}\" from tr)))" for t in _TARGETS) + f")/{len(_TARGETS)}, 6) as mae"
            + f" from dm where {_hash_sql('GameID')} >= 75",
        ctes=ENV_CLEAN_CTE + ",\ndm AS (select *, " + ", ".join(
-           f"case when BodyPart='{v}' then 1 else 0 end as \"BodyPart_{v}\"" for v in BODY_PARTS) + " from envclean)")
+           f"case when BodyPart='{v}' then 1 else 0 end as \"BodyPart_{v}\"" for v in BODY_PARTS) + " from envclean)"
+           + ",\ntr AS (select " + ", ".join(f"avg(\"{t}\") as \"m_{t}\"" for t in _TARGETS)
+           + f" from dm where {_hash_sql('GameID')} < 75)")
 def ml_mae(spark, sf):
     """MAE, averaged over the targets, of the training-part mean predictor on
     the test part (the baseline the forest is measured against)."""
