@@ -46,7 +46,7 @@ _ONE_HOT_SLOTS = 4   # five weather classes after cleaning, the last one dropped
 
 @query("ml_one_hot",
        sql="select Weather, cast(i as bigint) as Weather_index, "
-           + ", ".join(f"case when i={s} then 1.0 else 0.0 end as Weather_vec_{s}" for s in range(_ONE_HOT_SLOTS))
+           + ", ".join(f"cast(case when i={s} then 1 else 0 end as double) as Weather_vec_{s}" for s in range(_ONE_HOT_SLOTS))
            + " from idx",
        ctes=PGF + ",\nidx AS (select Weather, row_number() over (order by count(*) desc, Weather) - 1 as i from pgf "
                   "group by Weather)")
