@@ -193,10 +193,20 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict:
     return names
 
 
+_STORE_FAILED: set = set()
+
+
 def _staged(spark: SparkSession, sf_dir: str, name: str, derive) -> DataFrame:
-    if not _store_enabled(spark):
+    app = spark.sparkContext.applicationId
+    if not _store_enabled(spark) or app in _STORE_FAILED:
+        return derive(spark, sf_dir)
+    try:
+        return spark.table(stored_tables(spark, sf_dir)[name])
+    except Exception as exc:  # noqa: BLE001 - no writable catalog/folder: derive lazily instead
+        import warnings
+        warnings.warn(f"playtrack: staged tables not stored ({type(exc).__name__}: {exc}); deriving them lazily")
+        _STORE_FAILED.add(app)
         return derive(spark, sf_dir)
-    return spark.table(stored_tables(spark, sf_dir)[name])
 
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
