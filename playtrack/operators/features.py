@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.rules import FIELD_PIVOT, STADIUM_PIVOT, WEATHER_PIVOT
+from . import skew as SK
 from .clean import clean_plays
 
 GAME_FEATURE_COLUMNS = ["PlayerKey", "GameID", "NumRosterPosition", "NumPlayTypePerGame", "NumPositionPerGame",
@@ -45,10 +46,12 @@ def game_list(clean: DataFrame) -> DataFrame:
                         "RosterPosition", "StadiumType", "FieldType", "Temperature", "Weather").distinct()
 
 
-def rest_days(games: DataFrame, player: str = "GamePlayerID", default_day: int = 1) -> DataFrame:
-    """Days since the player's previous game; the first game gives ``PlayerDay - 1``."""
-    w = Window.partitionBy(player).orderBy(player, "PlayerGame")
-    return games.withColumn("Rest_days", F.col("PlayerDay") - F.lag("PlayerDay", 1, default_day).over(w))
+def rest_days(games: DataFrame, player: str = "GamePlayerID", default_day: int = 1,
+              hot_rows: int | None = None) -> DataFrame:
+    """Days since the player's previous game; the first game gives ``PlayerDay - 1``.
+    (``lag`` per player; players with very many games are chunked, see ``skew``.)"""
+    prev = SK.lag_in_group(games, player, [player, "PlayerGame"], "PlayerDay", "_prev_day", default_day, hot_rows)
+    return prev.withColumn("Rest_days", F.col("PlayerDay") - F.col("_prev_day")).drop("_prev_day")
 
 
 def game_counts(clean: DataFrame) -> DataFrame:
@@ -90,28 +93,6 @@ def game_injury_label(games: DataFrame, injuries: DataFrame) -> DataFrame:
 
 
 # -- X3 -------------------------------------------------------------------
-def previous_in_play(frames: DataFrame, cols, chunks: int | None = None) -> DataFrame:
-    """``_prev_<c>`` = value of ``c`` on the previous row of the same play by
-    time, for plays too large for one task.
-
-    The frames are range-partitioned on (PlayKey, time), so a huge play is cut
-    into time-ordered chunks on many tasks; ``lag`` runs inside each chunk, and
-    each chunk's first row takes the last row of the play's previous chunk
-    from a carry table of at most (chunks + plays) rows.
-    """
-    n = chunks or int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = frames.repartitionByRange(n, "PlayKey", "time").withColumn("_chunk", F.spark_partition_id())
-    w = Window.partitionBy("PlayKey", "_chunk").orderBy("time")
-    local = ranged.withColumns({f"_prev_{c}": F.lag(c, 1).over(w) for c in cols}) \
-        .withColumn("_first", F.row_number().over(w) == 1)
-    last = ranged.groupBy("PlayKey", "_chunk").agg(F.max_by(F.struct(*cols), "time").alias("_last"))
-    carry = last.withColumn("_carry", F.lag("_last", 1).over(Window.partitionBy("PlayKey").orderBy("_chunk"))) \
-        .select("PlayKey", "_chunk", "_carry")
-    out = local.join(carry, ["PlayKey", "_chunk"], "left")
-    return out.withColumns({f"_prev_{c}": F.when(F.col("_first"), F.col(f"_carry.{c}"))
-                            .otherwise(F.col(f"_prev_{c}")) for c in cols}).drop("_chunk", "_first", "_carry")
-
-
 def track_kinematics(tracks: DataFrame, mode: str = "reference", strategy: str = "auto",
                      hot_rows: int | None = None) -> DataFrame:
     """Event frames with steps to the previous event frame of the play.
@@ -120,7 +101,7 @@ def track_kinematics(tracks: DataFrame, mode: str = "reference", strategy: str =
     source does); ``"per_step"`` divides by the time step.  Division by zero
     gives null.  ``strategy="auto"``: normal plays use a ``lag`` window on the
     PlayKey partitioning; hot plays (see ``tracking.by_play_size``) use
-    ``previous_in_play`` over time-range chunks.
+    ``skew.previous_in_group`` over time-range chunks.
     """
     from .tracking import by_play_size
 
@@ -128,7 +109,7 @@ def track_kinematics(tracks: DataFrame, mode: str = "reference", strategy: str =
         return by_play_size(tracks, lambda f, s: track_kinematics(f, mode, s), "auto", hot_rows)
     ev = tracks.where(F.col("event") != "")
     if strategy == "join":
-        prev = previous_in_play(ev, ["x", "y", "time"])
+        prev = SK.previous_in_group(ev, "PlayKey", ["time"], ["x", "y", "time"]).drop("_has_prev")
     else:
         w = Window.partitionBy("PlayKey").orderBy("time")
         prev = ev.withColumns({f"_prev_{c}": F.lag(c, 1).over(w) for c in ["x", "y", "time"]})

@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.rules import MAIN_POSITIONS, RUSH_PASS
+from . import skew as SK
 
 SNAP = "ball_snap"
 PLAY_ATTRS = ["PlayerKey", "RosterPosition", "PositionGroup", "FieldType", "PlayType"]
-HOT_ROWS_CONF = "spark.playtrack.frames.hotPlayRows"
-DEFAULT_HOT_ROWS = 1_000_000
+HOT_ROWS_CONF = "spark.playtrack.frames.hotPlayRows"   # falls back to spark.playtrack.hotKeyRows
 
 
 def _play(key: str = "PlayKey") -> Window:
@@ -50,8 +50,7 @@ def _play(key: str = "PlayKey") -> Window:
 # -- hot-play split -------------------------------------------------------
 def hot_play_keys(tracks: DataFrame, hot_rows: int) -> DataFrame:
     """Plays with more than ``hot_rows`` frames (at most rows / hot_rows keys)."""
-    return (tracks.groupBy("PlayKey").agg(F.count(F.lit(1)).alias("_frames"))
-            .where(F.col("_frames") > hot_rows).select("PlayKey"))
+    return SK.hot_keys(tracks, "PlayKey", hot_rows)
 
 
 def by_play_size(tracks: DataFrame, chain, strategy: str = "auto", hot_rows: int | None = None) -> DataFrame:
@@ -60,17 +59,11 @@ def by_play_size(tracks: DataFrame, chain, strategy: str = "auto", hot_rows: int
     if strategy != "auto":
         return chain(tracks, strategy)
     if hot_rows is None:
-        hot_rows = int(tracks.sparkSession.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-    keys = hot_play_keys(tracks, hot_rows)
-    # One small job (a partial count over the PlayKey column) decides the plan,
-    # as AQE does from runtime statistics: without hot plays the pure window
-    # form runs alone.
-    if keys.isEmpty():
-        return chain(tracks, "window")
-    hot = F.broadcast(keys)                                  # size bound: rows / hot_rows keys
-    normal = tracks.join(hot, "PlayKey", "left_anti")
-    spread = tracks.join(hot, "PlayKey", "left_semi").repartition(F.xxhash64("PlayKey", "time"))
-    return chain(normal, "window").unionByName(chain(spread, "join"))
+        hot_rows = int(tracks.sparkSession.conf.get(HOT_ROWS_CONF, str(SK.hot_rows_of(tracks))))
+    return SK.split_by_key_size(
+        tracks, "PlayKey", lambda f: chain(f, "window"),
+        # the hot plays' frames are spread by a row hash, so no task holds a whole play
+        lambda f: chain(f.repartition(F.xxhash64("PlayKey", "time")), "join"), hot_rows)
 
 
 # -- J12: snap frames ------------------------------------------------------

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import skew as SK
 from .tables import table
 
 PLAY_COLUMNS = ["PlayerKey", "GameID", "PlayKey", "RosterPosition", "PlayerDay", "PlayerGame", "StadiumType",
@@ -41,9 +42,8 @@ def _games(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    nth_game = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return (orders.join(customer, orders.o_custkey == customer.c_custkey)
-            .withColumn("PlayerGame", F.row_number().over(nth_game).cast("int"))
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    return (SK.row_number_by(joined, "o_custkey", ["o_orderdate", "o_orderkey"], "PlayerGame")
             .withColumn("PlayerDay",
                         F.floor(F.date_diff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))
                                 / 6).cast("int")))
@@ -53,9 +53,8 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice",
         "l_returnflag", "l_linestatus")
-    nth_line = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
-    return lineitem.withColumn("rn", F.row_number().over(nth_line).cast("int"))
+    return SK.row_number_by(lineitem, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
+                                                     "l_quantity", "l_extendedprice"], "rn")
 
 
 def plays_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,11 +137,14 @@ def derive_tracks(spark: SparkSession, sf_dir: str, plays_df: DataFrame | None =
     e = (events.withColumn("epoch", epoch)
          .withColumn("PlayerGame", (1 + F.floor((F.dayofmonth("ts") - 1) / 7)).cast("int")))
     j = e.join(first_plays, (e.user_id == first_plays.src_cust) & (e.PlayerGame == first_plays.PlayerGame))
-    per_play = Window.partitionBy("PlayKey")
+    # The play's first epoch: a partial aggregate joined back (a hot play is
+    # pre-aggregated and the join's skewed partition is split by AQE).
+    start = j.groupBy("PlayKey").agg(F.min("epoch").alias("_start"))
+    j = j.join(start, "PlayKey")
     ev = F.col("event_type")
     return j.select(
         "PlayKey",
-        ((F.col("epoch") - F.min("epoch").over(per_play)) / F.lit(3600.0)).cast("double").alias("time"),
+        ((F.col("epoch") - F.col("_start")) / F.lit(3600.0)).cast("double").alias("time"),
         F.when(ev == "click", "ball_snap").when(ev == "signup", "pass").when(ev == "purchase", "tackle")
         .alias("event"),
         (F.col("value") % 120).alias("x"),

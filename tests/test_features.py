@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from playtrack.functions import columns as C
 from playtrack.operators import features as FE
+from playtrack.operators import skew as SK
 from playtrack.operators.clean import clean_plays
 
 PLAY_SCHEMA = ("PlayerKey string, GameID string, PlayKey string, RosterPosition string, PlayerDay int, "
@@ -91,5 +92,27 @@ def test_chunked_lag_matches_window(spark):
     chunked = {tuple(r[c] for c in cols) for r in FE.track_kinematics(df, strategy="auto", hot_rows=10).collect()}
     plain = {tuple(r[c] for c in cols) for r in FE.track_kinematics(df, strategy="window").collect()}
     assert chunked == plain and len(plain) == 118
-    prev = FE.previous_in_play(df, ["x", "time"], chunks=7)
+    prev = SK.previous_in_group(df, "PlayKey", ["time"], ["x", "time"], chunks=7)
     assert prev.where(F.col("_prev_time").isNull()).count() == 2          # only each play's first frame
+    assert prev.where(~F.col("_has_prev")).count() == 2
+
+
+def test_chunked_row_number_and_lag(spark):
+    """Hot keys (threshold 5) take the chunked path; results equal the plain windows."""
+    rows = [(k, i, float((i * 7) % 11)) for k, n in [("a", 40), ("b", 3), ("c", 25)] for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, i int, v double")
+    rn = {(r.k, r.i): r.rn for r in SK.row_number_by(df, "k", ["i"], "rn", hot_rows=5).collect()}
+    assert all(rn[(k, i)] == i + 1 for k, i in rn)
+    lagged = {(r.k, r.i): r.p for r in SK.lag_in_group(df, "k", ["i"], "v", "p", default=-1.0, hot_rows=5).collect()}
+    want = {(k, i): (-1.0 if i == 0 else float(((i - 1) * 7) % 11)) for k, i, _ in rows}
+    assert lagged == want
+    plain = {(r.k, r.i): r.rn for r in SK.row_number_in_group(df, "k", ["i"], "rn", chunks=9).collect()}
+    assert plain == rn
+
+
+def test_rest_days_hot_players(spark):
+    games = spark.createDataFrame([("p", f"p-{g}", g * 3, g) for g in range(1, 30)] + [("q", "q-1", 5, 1)],
+                                  "GamePlayerID string, GameID string, PlayerDay int, PlayerGame int")
+    hot = {r.GameID: r.Rest_days for r in FE.rest_days(games, hot_rows=4).collect()}
+    cold = {r.GameID: r.Rest_days for r in FE.rest_days(games, hot_rows=10**6).collect()}
+    assert hot == cold and hot["p-1"] == 2 and hot["p-2"] == 3 and hot["q-1"] == 4
