@@ -47,10 +47,12 @@ def game_list(clean: DataFrame) -> DataFrame:
 
 
 def rest_days(games: DataFrame, player: str = "GamePlayerID", default_day: int = 1,
-              hot_rows: int | None = None) -> DataFrame:
+              hot_rows: int | None = None, probe: DataFrame | None = None) -> DataFrame:
     """Days since the player's previous game; the first game gives ``PlayerDay - 1``.
-    (``lag`` per player; players with very many games are chunked, see ``skew``.)"""
-    prev = SK.lag_in_group(games, player, [player, "PlayerGame"], "PlayerDay", "_prev_day", default_day, hot_rows)
+    (``lag`` per player; players with very many games are chunked, see ``skew``;
+    ``probe``: a table with a ``player`` column counted to find them.)"""
+    prev = SK.lag_in_group(games, player, [player, "PlayerGame"], "PlayerDay", "_prev_day", default_day, hot_rows,
+                           probe)
     return prev.withColumn("Rest_days", F.col("PlayerDay") - F.col("_prev_day")).drop("_prev_day")
 
 
@@ -77,7 +79,9 @@ def game_features(plays: DataFrame) -> DataFrame:
     """One row per player-game (per distinct game-attribute combination)."""
     clean = clean_plays(plays)
     counts = game_counts(clean)
-    games = rest_days(game_list(clean)).drop("GamePlayerID", "PlayerGame")
+    # hot players are found on the play list (>= games per player), not on the game list
+    probe = plays.select(F.col("PlayerKey").alias("GamePlayerID"))
+    games = rest_days(game_list(clean), probe=probe).drop("GamePlayerID", "PlayerGame")
     return counts.join(games, "GameID")
 
 

@@ -41,9 +41,16 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
             .where(F.col("_rows") > hot_rows).select(key))
 
 
-def split_by_key_size(df: DataFrame, key: str, plain, chunked, hot_rows: int | None = None) -> DataFrame:
-    """``plain(normal_rows)`` union ``chunked(hot_rows)``; ``plain(df)`` alone when no key is hot."""
-    keys = hot_keys(df, key, hot_rows_of(df, hot_rows))
+def split_by_key_size(df: DataFrame, key: str, plain, chunked, hot_rows: int | None = None,
+                      probe: DataFrame | None = None) -> DataFrame:
+    """``plain(normal_rows)`` union ``chunked(hot_rows)``; ``plain(df)`` alone when no key is hot.
+
+    ``probe`` (default ``df``) is where keys are counted: a cheaper upstream
+    table with at least as many rows per key (e.g. plays for a per-player game
+    list) finds a superset of the hot keys without computing ``df`` twice.
+    """
+    src = df if probe is None else probe.select(key)
+    keys = hot_keys(src, key, hot_rows_of(df, hot_rows))
     if keys.isEmpty():
         return plain(df)
     hot = F.broadcast(keys)                    # size bound: rows / hot_rows keys
@@ -84,7 +91,7 @@ def row_number_in_group(df: DataFrame, key: str, order, out: str, chunks: int |
 
 
 def lag_in_group(df: DataFrame, key: str, order, col: str, out: str, default=None,
-                 hot_rows: int | None = None) -> DataFrame:
+                 hot_rows: int | None = None, probe: DataFrame | None = None) -> DataFrame:
     """``out`` = ``lag(col, 1, default)`` per key by ``order``, hot keys chunked."""
     def plain(d):
         return d.withColumn(out, F.lag(col, 1, default).over(Window.partitionBy(key).orderBy(*order)))
@@ -94,7 +101,7 @@ def lag_in_group(df: DataFrame, key: str, order, col: str, out: str, default=Non
         v = F.col(f"_prev_{col}")
         value = v if default is None else F.when(F.col("_has_prev"), v).otherwise(F.lit(default))
         return p.withColumn(out, value).drop(f"_prev_{col}", "_has_prev")
-    return split_by_key_size(df, key, plain, chunked, hot_rows)
+    return split_by_key_size(df, key, plain, chunked, hot_rows, probe)
 
 
 def row_number_by(df: DataFrame, key: str, order, out: str, hot_rows: int | None = None) -> DataFrame:

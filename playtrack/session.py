@@ -23,6 +23,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Local mode: the driver JVM is the only executor; ignored on a cluster
     # once the driver is running.
     "spark.driver.memory": "16g",
