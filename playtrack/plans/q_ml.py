@@ -290,6 +290,21 @@ def ml_auc(spark, sf):
     return ml_player_model(spark, sf)
 
 
+@query("ml_lr_training_metrics")
+def ml_lr_training_metrics(spark, sf):
+    """The best LR model's training-summary metrics (M12/M13 on the model's
+    own predictions of its training part): per label, plus the weighted row
+    (label null)."""
+    _, train, _, lr_cv, _ = player_models(spark, sf)
+    pred = lr_cv.bestModel.transform(train)
+    per = ML.label_metrics(pred, "IsInjury", "prediction")
+    weighted = ML.weighted_metrics(per)
+    return round_doubles(per.select("label", "fpr", "tpr", "precision", "recall", "f1").unionByName(
+        weighted.select(F.lit(None).cast("double").alias("label"), F.col("weighted_fpr").alias("fpr"),
+                        F.col("weighted_tpr").alias("tpr"), F.col("weighted_precision").alias("precision"),
+                        F.col("weighted_recall").alias("recall"), F.col("weighted_f1").alias("f1"))))
+
+
 @query("ml_best_params")
 def ml_best_params(spark, sf):
     """Chosen parameters of the best models (M9)."""

@@ -36,3 +36,11 @@ def test_scan_prunes_and_pushes(spark):
     plan = _plan(queries()["scan_parquet"](spark, SF))
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_orderpriority:string>" in plan
+
+
+@pytest.mark.parametrize("name", ["frames_trimmed", "frames_with_snap", "track_game_features"])
+def test_frames_scanned_once(spark, name):
+    """The window form reads the frames table exactly once (the source's self
+    joins read it two or three times)."""
+    plan = _plan(queries()[name](spark, SF))
+    assert plan.count("FileScan parquet spark_catalog.default.playtrack_tracks_") == 1
