@@ -182,15 +182,21 @@ def ml_mae(spark, sf):
 # -- fitted models (rows-only checks) ----------------------------------------------------
 _GAME_NUMS = ML.GAME_MODEL_NUMBERS
 _MODEL_CACHE: dict = {}
+ROWS_PER_TRAINING_PARTITION = 100_000
 
 
 def ensure_and_checkpoint(spark, df):
     """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (survives
     executor loss; never a local checkpoint)."""
     ensure_checkpoint_dir(spark)
-    # Spread the (small, aggregated) model input over the cluster's cores so
-    # every training pass runs in parallel tasks.
-    return df.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
+    cores = spark.sparkContext.defaultParallelism
+    ckpt = df.repartition(cores).checkpoint(eager=True)
+    # Partitions sized from the data: about ROWS_PER_TRAINING_PARTITION rows
+    # each, at most one per core.  Every optimiser pass is a job over all
+    # partitions, so a small input in few tasks avoids per-task overhead and
+    # a large one still spreads over the whole cluster.
+    parts = max(1, min(cores, -(-ckpt.count() // ROWS_PER_TRAINING_PARTITION)))
+    return ckpt.coalesce(parts) if parts < cores else ckpt
 
 
 def _game_input(spark, sf):
