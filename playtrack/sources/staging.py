@@ -166,6 +166,30 @@ def _store_enabled(spark: SparkSession) -> bool:
     return spark.conf.get(STORE_CONF, "true").lower() == "true"
 
 
+SOURCE_TABLES = ["orders", "customer", "lineitem", "part", "events"]
+BYTES_PER_BUCKET = 256 * 1024 * 1024
+EXPANSION = 3        # parquet bytes -> staged bytes (decompression, text keys)
+
+
+def bucket_count(spark: SparkSession, sf_dir: str) -> int:
+    """``spark.playtrack.staging.buckets`` if set; else about BYTES_PER_BUCKET
+    of staged data per bucket, never fewer than the cluster's default
+    parallelism (so every core gets a bucket)."""
+    configured = spark.conf.get(BUCKETS_CONF, None)
+    if configured:
+        return int(configured)
+    floor = spark.sparkContext.defaultParallelism
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        size = 0
+        for name in SOURCE_TABLES:
+            path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+            size += path.getFileSystem(conf).getContentSummary(path).getLength()
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): use the shuffle width
+        return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(floor, -(-size * EXPANSION // BYTES_PER_BUCKET))
+
+
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict:
     """Derive and store the three tables once per (session, input folder).
 
@@ -178,7 +202,7 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key in _STORED and all(spark.catalog.tableExists(t) for t in _STORED[key].values()):
         return _STORED[key]
-    n = int(spark.conf.get(BUCKETS_CONF, spark.conf.get("spark.sql.shuffle.partitions")))
+    n = bucket_count(spark, sf_dir)
     tag = hashlib.md5(f"{key[0]}|{key[1]}".encode()).hexdigest()[:10]
     base = scratch_path(spark, f"staged-{tag}")
     names = {}
