@@ -3,26 +3,27 @@ repair, play flags and movement classes (SURVEY X6-X8, J12-J16, D8-D15).
 
 Shuffle plan (frames are the big table):
 
-* ``strategy="window"`` (default): the frames are hash-partitioned by PlayKey
-  ONCE.  The snap self-join, the last-event lookup and the abnormal-snap test
-  are all per-play facts, so they become window functions over that one
+* ``strategy="window"``: the frames are partitioned by PlayKey once (no
+  shuffle at all when they come bucketed by PlayKey, as the staged tables
+  do).  The snap self-join, the last-event lookup and the abnormal-snap test
+  are per-play facts, so they become window functions over that
   partitioning; every play-level attribute (season, roster position, play
-  type, injury mark) is first joined onto the play list (play-sized) and then
-  attached to the frames by a single join on PlayKey, which keeps the
+  type, injury mark) is first joined onto the play list (play-sized) and
+  then attached to the frames by one join on PlayKey, which keeps the
   frames' partitioning.
 * ``strategy="join"``: the literal join form (self join on PlayKey, group by
-  + join on (PlayKey, time), join back).  Same rows; more shuffles of the
-  frames.  Kept as the reference form for tests.
-
-* ``strategy="auto"`` (default of the public chains): hot plays are split
-  off.  A partial aggregate counts frames per play; plays above
-  ``spark.playtrack.frames.hotPlayRows`` (default 1,000,000) form a key table
-  of at most ``frames / hotPlayRows`` rows -- a proven bound, so it is
-  broadcast.  Normal plays (anti join, partitioning kept) take the window
-  form; the hot plays' frames are spread by a row hash and take the join
-  form, where every per-play fact is a small aggregate joined back to the
-  streamed frames (AQE broadcasts it or splits the skewed partition).  A
-  play holding a third of all frames therefore never sits in one task.
+  + join on (PlayKey, time), join back).  Same rows; every per-play fact is
+  a small aggregate joined back to the streamed frames, so AQE can
+  broadcast it or split a skewed partition.
+* ``strategy="auto"`` (default of the public chains): one small job counts
+  frames per play (partial aggregate).  Without plays above
+  ``spark.playtrack.frames.hotPlayRows`` / ``spark.playtrack.hotKeyRows``
+  (default 1,000,000) the window form runs alone.  Otherwise those hot
+  plays form a key table of at most ``frames / threshold`` rows -- a proven
+  bound, so it is broadcast; normal plays (anti join, partitioning kept)
+  take the window form and the hot plays' frames, spread by a row hash, take
+  the join form.  A play holding a third of all frames never sits in one
+  task, and no list collected by the window form exceeds the threshold.
 
 Both reproduce the source's duplication (hazard H3): a play with k snap frames
 yields k copies of each frame after the snap join, and the last-event join
