@@ -41,6 +41,23 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
             .where(F.col("_rows") > hot_rows).select(key))
 
 
+_HOT_MEMO: dict = {}
+
+
+def _has_hot_keys(src: DataFrame, key: str, threshold: int, keys: DataFrame) -> bool:
+    """Whether ``src`` has a key above ``threshold`` (one small job), remembered
+    per session and input plan.  The split only changes how the work is
+    scheduled, never the rows, so a stale answer can only cost speed."""
+    try:
+        plan_hash = src._jdf.queryExecution().analyzed().semanticHash()
+        memo_key = (src.sparkSession.sparkContext.applicationId, plan_hash, key, threshold)
+    except Exception:  # noqa: BLE001 - no JVM plan handle: just run the check
+        return not keys.isEmpty()
+    if memo_key not in _HOT_MEMO:
+        _HOT_MEMO[memo_key] = not keys.isEmpty()
+    return _HOT_MEMO[memo_key]
+
+
 def split_by_key_size(df: DataFrame, key: str, plain, chunked, hot_rows: int | None = None,
                       probe: DataFrame | None = None) -> DataFrame:
     """``plain(normal_rows)`` union ``chunked(hot_rows)``; ``plain(df)`` alone when no key is hot.
@@ -50,8 +67,9 @@ def split_by_key_size(df: DataFrame, key: str, plain, chunked, hot_rows: int | N
     list) finds a superset of the hot keys without computing ``df`` twice.
     """
     src = df if probe is None else probe.select(key)
-    keys = hot_keys(src, key, hot_rows_of(df, hot_rows))
-    if keys.isEmpty():
+    threshold = hot_rows_of(df, hot_rows)
+    keys = hot_keys(src, key, threshold)
+    if not _has_hot_keys(src, key, threshold, keys):
         return plain(df)
     hot = F.broadcast(keys)                    # size bound: rows / hot_rows keys
     return plain(df.join(hot, key, "left_anti")).unionByName(chunked(df.join(hot, key, "left_semi")))
