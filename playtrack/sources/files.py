@@ -25,6 +25,9 @@ PLAY_LIST_SCHEMA = StructType([
     StructField("Position", StringType()), StructField("PositionGroup", StringType()),
 ])
 
+# The play list under its own header names (the layout the operators use).
+PLAY_SCHEMA = StructType([StructField(f.name.replace("play_", ""), f.dataType) for f in PLAY_LIST_SCHEMA.fields])
+
 TRACK_SCHEMA = StructType([StructField("PlayKey", StringType()), StructField("time", DoubleType()),
                            StructField("event", StringType())]
                           + [StructField(c, DoubleType()) for c in ["x", "y", "dir", "dis", "o", "s"]])

@@ -56,3 +56,8 @@ def test_stored_staging_equals_lazy_derivation(spark):
         a, b = stored(spark, sf), lazy(spark, sf)
         assert a.columns == b.columns
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_play_schema_header_names():
+    assert IO.PLAY_SCHEMA.names[:3] == ["PlayerKey", "GameID", "PlayKey"]
+    assert IO.PLAY_SCHEMA.names[3:] == IO.PLAY_LIST_SCHEMA.names[3:]
