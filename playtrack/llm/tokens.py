@@ -55,16 +55,23 @@ class PieceTokenizer:
         return None if _UNSAFE.search(text) else text.replace(" ", "\0 ").split("\0")
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of distinct pieces, encoded in one call as words of one input."""
-        out = {}
-        for at in range(0, len(new), 5000):
-            words = new[at:at + 5000]
-            got = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        """Ids of distinct pieces, many in one call."""
+        if self.keeps_space:
+            # one text of pieces that start with a space and then no white space is cut at each of them
+            joint = [x for x in new if len(x) > 1 and x[0] == " " and not x[1].isspace()]
+            alone = set(new).difference(joint)
+        else:
+            joint, alone = new, set()
+        out = {x: self._bytes(self.tokenizer.encode([x], is_pretokenized=True, add_special_tokens=False).ids) for x in alone}
+        gap = "" if self.keeps_space else " "
+        for at in range(0, len(joint), 200):
+            words = joint[at:at + 200]
+            got = self.tokenizer.encode(gap.join(words), add_special_tokens=False)
             ids = self._bytes(got.ids)
-            of = np.fromiter(got.word_ids, np.int64, len(got.ids))
-            ends = np.searchsorted(of, np.arange(len(words)), side="right") * 4
+            begins = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids))
+            stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + len(gap))
             start = 0
-            for word, end in zip(words, ends.tolist(), strict=True):
+            for word, end in zip(words, (np.searchsorted(begins, stops) * 4).tolist(), strict=True):
                 out[word] = ids[start:end]
                 start = end
         return out
