@@ -16,13 +16,11 @@ when it holds ``CACHE`` pieces, so its memory is bounded.
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 
-CACHE = 1_000_000
+CACHE = 1_500_000
 LONGEST = 64            # longer pieces are not kept
-_UNSAFE = re.compile(r" \s|\x00")
 _LOADED: dict[str, PieceTokenizer] = {}
 
 
@@ -52,13 +50,17 @@ class PieceTokenizer:
     def _pieces(self, text: str) -> list[str] | None:
         if not self.keeps_space:
             return text.replace("\n", " ").split(" ")
-        return None if _UNSAFE.search(text) else text.replace(" ", "\0 ").split("\0")
+        return None if "\0" in text else text.replace(" ", "\0 ").split("\0")
+
+    def _open(self, piece: str) -> bool:
+        """Whether white space goes on behind the space that begins the piece, so that the text must stay whole."""
+        return self.keeps_space and piece[0] == " " and (len(piece) == 1 or piece[1].isspace())
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         """Ids of distinct pieces, many in one call."""
         if self.keeps_space:
             # one text of pieces that start with a space and then no white space is cut at each of them
-            joint = [x for x in new if len(x) > 1 and x[0] == " " and not x[1].isspace()]
+            joint = [x for x in new if x[0] == " "]
             alone = set(new).difference(joint)
         else:
             joint, alone = new, set()
@@ -84,12 +86,13 @@ class PieceTokenizer:
             if len(self.cache) > CACHE:
                 self.cache = {"": b""}
             cache = self.cache
-            new = list(set().union(*(p for p in pieces if p is not None)).difference(cache))
-            more = self._learn(new)
+            new = set().union(*(p for p in pieces if p is not None)).difference(cache)
+            whole = {x for x in new if self._open(x)}
+            more = self._learn(list(new - whole))
             cache.update((k, v) for k, v in more.items() if len(k) <= LONGEST)
             long = {k: v for k, v in more.items() if len(k) > LONGEST}
             for p, text in zip(pieces, texts[at:at + 200], strict=True):
-                if p is None:
+                if p is None or whole and not whole.isdisjoint(p):
                     out.append(self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids))
                 elif long:
                     out.append(b"".join([cache[x] if x in cache else long[x] for x in p]))
