@@ -52,6 +52,24 @@ BLOCK_SCHEMA = ("block long, rows binary, docs binary, no_doc binary, sizes bina
                 "words binary, hashes binary")
 
 
+def _planes(a: np.ndarray) -> bytes:
+    """The array with its lowest bytes first, then the next ones: high bytes are mostly zero, and compress."""
+    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+
+
+def _from_planes(data: bytes, dtype: str) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
+def _sorted_planes(a: np.ndarray) -> bytes:
+    return _planes(np.diff(a, prepend=a.dtype.type(0)))
+
+
+def _from_sorted_planes(data: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(data, "<u8"), dtype=np.uint64)
+
+
 class _Block:
     """Segments of documents: row number, document id, words, and how many of them are context only."""
 
@@ -70,10 +88,10 @@ class _Block:
         from xxhash import xxh3_64_intdigest
 
         hashes = np.fromiter(map(xxh3_64_intdigest, self.number), np.uint64, len(self.number))
-        arrays = [np.array(self.rows, "<i8"), np.array(self.docs, "<i8"), np.array(self.no_doc, "u1"),
+        arrays = [np.array(self.rows, "<i8"), np.array(self.docs, "<i8"), np.array(self.no_doc, "<u1"),
                   np.array(self.sizes, "<i4"), np.array(self.skips, "<i4"), np.array(self.words, "<u4"), hashes]
         names = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *(pa.array([a.tobytes()], pa.binary()) for a in arrays)],
+        return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *(pa.array([_planes(a)], pa.binary()) for a in arrays)],
                                           names=names)
 
 
@@ -115,10 +133,10 @@ class _Grams:
     """The distinct n-grams of a block: per order their hashes, counts, and which one ends at each word."""
 
     def __init__(self, row, order: int):
-        self.sizes = np.frombuffer(row["sizes"], "<i4").astype(np.int64)
-        skips = np.frombuffer(row["skips"], "<i4").astype(np.int64)
-        words = np.frombuffer(row["words"], "<u4").astype(np.int64)
-        word_hash = np.frombuffer(row["hashes"], "<u8")
+        self.sizes = _from_planes(row["sizes"], "<i4").astype(np.int64)
+        skips = _from_planes(row["skips"], "<i4").astype(np.int64)
+        words = _from_planes(row["words"], "<u4").astype(np.int64)
+        word_hash = _from_planes(row["hashes"], "<u8")
         starts = np.cumsum(self.sizes) - self.sizes
         self.of = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.place = np.arange(len(words)) - starts[self.of] if len(words) else np.zeros(0, np.int64)
@@ -159,7 +177,7 @@ def requests(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
                 for n in range(order):
                     h, c = grams.hashes[n][grams.sorted[n]], grams.counts[n][grams.sorted[n]].astype("<u4")
                     edges = grams.edges(n, buckets)
-                    out += [(i, n, row["block"], h[a:b].tobytes(), c[a:b].tobytes())
+                    out += [(i, n, row["block"], _sorted_planes(h[a:b]), _planes(c[a:b]))
                             for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
                 if out:
                     types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
@@ -172,8 +190,8 @@ def requests(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
 def answers(asked: DataFrame) -> DataFrame:
     """``(block, n, bucket, counts)``: corpus counts in the order in which the block asked."""
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        grams = np.concatenate([np.frombuffer(x, "<u8") for x in pdf["grams"]])
-        counts = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["counts"]])
+        grams = np.concatenate([_from_sorted_planes(x) for x in pdf["grams"]])
+        counts = np.concatenate([_from_planes(x, "<u4") for x in pdf["counts"]])
         order = np.argsort(grams, kind="stable")
         new = np.append(True, np.diff(grams[order]) != 0)
         number = np.cumsum(new) - 1
@@ -181,7 +199,7 @@ def answers(asked: DataFrame) -> DataFrame:
         known = np.empty(len(grams), "<i8")
         known[order] = total[number]
         ends = np.cumsum([len(x) // 8 for x in pdf["grams"]])
-        parts = [known[a:b].tobytes() for a, b in zip(np.append(0, ends[:-1]), ends, strict=True)]
+        parts = [_planes(known[a:b]) for a, b in zip(np.append(0, ends[:-1]), ends, strict=True)]
         return pd.DataFrame({"block": pdf["block"], "n": pdf["n"], "bucket": pdf["bucket"], "counts": parts})
     return asked.groupBy("bucket", "n").applyInPandas(count, "block long, n int, bucket int, counts binary")
 
@@ -205,8 +223,8 @@ def _scored(row, grams: _Grams, known: list[np.ndarray], total: int, backoff: fl
         log = np.where(grams.real, found + (reached - used) * np.log(backoff), 0.0)
     k = len(grams.sizes)
     return pd.DataFrame({
-        "row": np.frombuffer(row["rows"], "<i8"),
-        "doc_id": pd.array(np.frombuffer(row["docs"], "<i8").copy(), "Int64").copy(),
+        "row": _from_planes(row["rows"], "<i8"),
+        "doc_id": pd.array(_from_planes(row["docs"], "<i8"), "Int64"),
         "n_words": np.bincount(grams.of, grams.real, k).astype(np.int64) if len(log) else np.zeros(k, np.int64),
         "n_backed_off": (np.bincount(grams.of, grams.real & (used < reached), k).astype(np.int64)
                          if len(log) else np.zeros(k, np.int64)),
@@ -229,14 +247,14 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_cou
             known = []
             for n in range(order):
                 part = got[got["n"] == n].sort_values("bucket")
-                known.append(np.concatenate([np.frombuffer(x, "<i8") for x in part["counts"]] or [np.zeros(0, "<i8")]))
+                known.append(np.concatenate([_from_planes(x, "<i8") for x in part["counts"]] or [np.zeros(0, "<i8")]))
             # answers come in hash order; back to the order of the block's own n-grams
             grams = _Grams(row, order)
             placed = [np.empty(len(k), np.int64) for k in known]
             for n in range(order):
                 placed[n][grams.sorted[n]] = known[n]
             frame = _scored(row, grams, placed, total, backoff, min_count)
-            frame.loc[np.frombuffer(row["no_doc"], "u1") > 0, "doc_id"] = pd.NA
+            frame.loc[_from_planes(row["no_doc"], "<u1") > 0, "doc_id"] = pd.NA
             out.append(frame)
         return pd.concat(out)
     parts = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
@@ -254,7 +272,7 @@ def _total_words(blocks: DataFrame) -> int:
         n = 0
         for batch in batches:
             for sizes, skips in zip(batch["sizes"].to_pylist(), batch["skips"].to_pylist(), strict=True):
-                n += int(np.frombuffer(sizes, "<i4").sum(dtype=np.int64) - np.frombuffer(skips, "<i4").sum(dtype=np.int64))
+                n += int(_from_planes(sizes, "<i4").sum(dtype=np.int64) - _from_planes(skips, "<i4").sum(dtype=np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
     return blocks.select("sizes", "skips").mapInArrow(count, "n long").agg(F.sum("n").alias("n")).first()["n"] or 0
 
