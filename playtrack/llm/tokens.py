@@ -19,7 +19,7 @@ import os
 
 import numpy as np
 
-CACHE = 1_500_000
+CACHE = 500_000
 LONGEST = 64            # longer pieces are not kept
 _LOADED: dict[str, PieceTokenizer] = {}
 
