@@ -9,8 +9,10 @@ of the pieces in a row are the ids of the text:
 * ``space_dropping`` (white space never reaches a token): at every space and
   line feed.
 
-Ids are kept as little-endian unsigned 32-bit bytes.  The cache is emptied
-when it holds ``CACHE`` pieces, so its memory is bounded.
+Ids are kept as little-endian unsigned 32-bit bytes.  The cache has two
+generations of half of ``CACHE`` pieces: when the young one is full the old one
+goes, and pieces met again move to the young one.  So its memory is bounded
+and frequent pieces stay.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import os
 
 import numpy as np
 
-CACHE = 500_000
+CACHE = 800_000
 LONGEST = 64            # longer pieces are not kept
 _LOADED: dict[str, PieceTokenizer] = {}
 
@@ -42,6 +44,7 @@ class PieceTokenizer:
         self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
         self.keeps_space = keeps_space
         self.cache: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def _bytes(ids) -> bytes:
@@ -83,10 +86,12 @@ class PieceTokenizer:
         out = []
         for at in range(0, len(texts), 200):
             pieces = [self._pieces(t or "") for t in texts[at:at + 200]]
-            if len(self.cache) > CACHE:
-                self.cache = {"": b""}
-            cache = self.cache
+            if len(self.cache) > CACHE // 2:
+                self.cache, self.older = {"": b""}, self.cache
+            cache, older = self.cache, self.older
             new = set().union(*(p for p in pieces if p is not None)).difference(cache)
+            cache.update([(x, older[x]) for x in new.intersection(older)])
+            new.difference_update(cache)
             whole = {x for x in new if self._open(x)}
             more = self._learn(list(new - whole))
             cache.update((k, v) for k, v in more.items() if len(k) <= LONGEST)
@@ -97,7 +102,7 @@ class PieceTokenizer:
                 elif long:
                     out.append(b"".join([cache[x] if x in cache else long[x] for x in p]))
                 else:
-                    out.append(b"".join([cache[x] for x in p]))
+                    out.append(b"".join(map(cache.__getitem__, p)))
         return out
 
 
