@@ -90,8 +90,9 @@ class PieceTokenizer:
                 self.cache, self.older = {"": b""}, self.cache
             cache, older = self.cache, self.older
             new = set().union(*(p for p in pieces if p is not None)).difference(cache)
-            cache.update([(x, older[x]) for x in new.intersection(older)])
-            new.difference_update(cache)
+            again = {x: older[x] for x in new if x in older}
+            cache.update(again)
+            new.difference_update(again)
             whole = {x for x in new if self._open(x)}
             more = self._learn(list(new - whole))
             cache.update((k, v) for k, v in more.items() if len(k) <= LONGEST)
