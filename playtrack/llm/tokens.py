@@ -45,6 +45,8 @@ class PieceTokenizer:
         self.keeps_space = keeps_space
         self.cache: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.marks = {x: self._learn([x])[x] for x in ".,"}
 
     @staticmethod
     def _bytes(ids) -> bytes:
@@ -94,7 +96,13 @@ class PieceTokenizer:
             cache.update(again)
             new.difference_update(again)
             whole = {x for x in new if self._open(x)}
-            more = self._learn(list(new - whole))
+            # an ASCII letter or digit and a closing mark never share a token: such a piece is its stem and the mark
+            closed = {x for x in new if x[-1] in self.marks and x[-2:-1].isalnum() and x[-2].isascii()}
+            stems = {x[:-1] for x in closed}
+            known = {x: cache[x] if x in cache else older[x] for x in stems if x in cache or x in older}
+            more = self._learn(list((new - whole - closed).union(stems.difference(known))))
+            more |= known
+            more |= {x: more[x[:-1]] + self.marks[x[-1]] for x in closed}
             cache.update((k, v) for k, v in more.items() if len(k) <= LONGEST)
             long = {k: v for k, v in more.items() if len(k) > LONGEST}
             for p, text in zip(pieces, texts[at:at + 200], strict=True):
