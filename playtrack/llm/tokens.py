@@ -21,7 +21,7 @@ import os
 
 import numpy as np
 
-CACHE = 800_000
+CACHE = 1_000_000
 LONGEST = 64            # longer pieces are not kept
 _LOADED: dict[str, PieceTokenizer] = {}
 
