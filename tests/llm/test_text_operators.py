@@ -109,13 +109,14 @@ FRENCH = "le chat et les chiens sont avec un oiseau dans une maison près de là
 
 
 def test_language_fusion(make_docs):
-    docs = [(i, ENGLISH * 3, "en", "h0", 1) for i in range(20)] + [(i + 20, FRENCH * 3, "fr", "h1", 1) for i in range(20)]
+    docs = [(i, ENGLISH * 300, "en", "h0", 1) for i in range(20)] + [(i + 20, FRENCH * 300, "fr", "h1", 1) for i in range(20)]
     docs += [(50, FRENCH * 5, "en", "h0", 1), (51, "", "en", "h0", 1), (52, None, "fr", "h1", 1),
              (53, "日本語の文章です。" * 20, None, "h0", 1)]
     table = make_docs(docs)
     rows = language_id.document_evidence(table)
-    out = {r["_row"]["doc_id"]: r["id"] for r in
-           language_id.identify(rows, language_id.train(rows), language_id.host_priors(rows)).collect()}
+    both = ("en", "fr")
+    found = language_id.identify(rows, language_id.train(rows, both), language_id.host_priors(rows, both), both, both)
+    out = {r["_row"]["doc_id"]: r["id"] for r in found.collect()}
     assert all(out[i]["lang"] == "en" and out[i]["accepted"] for i in range(20))
     assert all(out[i]["lang"] == "fr" for i in range(20, 40))
     assert out[50]["lang"] == "fr"                              # the text outweighs a wrong declaration
