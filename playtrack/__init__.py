@@ -2,8 +2,7 @@
 
 Subpackages: ``sources`` (readers, staging views, file sinks), ``functions``
 (column expressions and category rule sets), ``operators`` (DataFrame ->
-DataFrame steps), ``plans`` (the registered queries and their SQL oracles),
-``streaming`` (see its docstring).
+DataFrame steps), ``plans`` (the registered queries and their SQL oracles).
 """
 
 __all__ = ["session", "sources", "functions", "operators", "plans"]

@@ -79,11 +79,13 @@ def vector_columns(df: DataFrame, vec: str, size: int, prefix: str | None = None
 
 
 # -- M7-M11 ----------------------------------------------------------------
-def cross_validate(pipeline: Pipeline, train: DataFrame, grid, label: str = "IsInjury", folds: int = 4,
+def cross_validate(pipeline: Pipeline, train: DataFrame, grid, key: str, label: str = "IsInjury", folds: int = 4,
                    parallelism: int = 2, seed: int = 7):
+    """Grid search; a row's fold follows from its key, on any partitioning."""
     cv = CrossValidator(estimator=pipeline, evaluator=auc_evaluator(label), estimatorParamMaps=grid,
-                        numFolds=folds, parallelism=parallelism, seed=seed)
-    return cv.fit(train)
+                        numFolds=folds, parallelism=parallelism, seed=seed, foldCol="_fold")
+    fold = C.hash_bucket(F.concat(F.col(key).cast("string"), F.lit("-fold")), folds).cast("int")
+    return cv.fit(train.withColumn("_fold", fold))
 
 
 def feature_names(model: PipelineModel, df: DataFrame, features: str = "features") -> list:

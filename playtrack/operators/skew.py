@@ -7,10 +7,10 @@ such hot keys off:
 * ``hot_keys``: keys with more than ``hot_rows`` rows, from a partial count
   (map-side combine); at most ``rows / hot_rows`` keys, which is the size
   bound that makes broadcasting the key list safe.
-* ``split_by_key_size``: one small job checks for hot keys (like AQE deciding
-  from runtime statistics); without any, the plain form runs alone.  With
-  some, normal keys keep the plain window form (anti join, partitioning kept)
-  and hot keys run a chunked form, results unioned.
+* ``split_by_key_size``: one small job checks for hot keys; without any, the
+  plain form runs alone.  With some, normal keys keep the plain window form
+  (anti join, partitioning kept) and hot keys run a chunked form, results
+  unioned.  Both forms give the same rows.
 * ``previous_in_group`` / ``row_number_in_group``: ``lag`` and
   ``row_number`` over time-ordered range chunks.  Rows are range-partitioned
   on (key, order), so one key spreads over many tasks; each chunk computes
@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 HOT_ROWS_CONF = "spark.playtrack.hotKeyRows"
 DEFAULT_HOT_ROWS = 1_000_000
 
@@ -41,23 +43,6 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
             .where(F.col("_rows") > hot_rows).select(key))
 
 
-_HOT_MEMO: dict = {}
-
-
-def _has_hot_keys(src: DataFrame, key: str, threshold: int, keys: DataFrame) -> bool:
-    """Whether ``src`` has a key above ``threshold`` (one small job), remembered
-    per session and input plan.  The split only changes how the work is
-    scheduled, never the rows, so a stale answer can only cost speed."""
-    try:
-        plan_hash = src._jdf.queryExecution().analyzed().semanticHash()
-        memo_key = (src.sparkSession.sparkContext.applicationId, plan_hash, key, threshold)
-    except Exception:  # noqa: BLE001 - no JVM plan handle: just run the check
-        return not keys.isEmpty()
-    if memo_key not in _HOT_MEMO:
-        _HOT_MEMO[memo_key] = not keys.isEmpty()
-    return _HOT_MEMO[memo_key]
-
-
 def split_by_key_size(df: DataFrame, key: str, plain, chunked, hot_rows: int | None = None,
                       probe: DataFrame | None = None) -> DataFrame:
     """``plain(normal_rows)`` union ``chunked(hot_rows)``; ``plain(df)`` alone when no key is hot.
@@ -69,15 +54,24 @@ def split_by_key_size(df: DataFrame, key: str, plain, chunked, hot_rows: int | N
     src = df if probe is None else probe.select(key)
     threshold = hot_rows_of(df, hot_rows)
     keys = hot_keys(src, key, threshold)
-    if not _has_hot_keys(src, key, threshold, keys):
+    if keys.isEmpty():
         return plain(df)
     hot = F.broadcast(keys)                    # size bound: rows / hot_rows keys
     return plain(df.join(hot, key, "left_anti")).unionByName(chunked(df.join(hot, key, "left_semi")))
 
 
 def _chunks(df: DataFrame, key: str, order, chunks: int | None) -> DataFrame:
-    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, key, *order).withColumn("_chunk", F.spark_partition_id())
+    """``df`` in range chunks on (key, order), each row with its ``_chunk``.
+
+    The ranges come from a sample, and another evaluation of the plan may draw
+    other ones.  So the chunked rows are written once to the shared folder, and
+    everything that depends on chunk numbers reads them from there.
+    """
+    spark = df.sparkSession
+    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "chunks")
+    df.repartitionByRange(n, key, *order).withColumn("_chunk", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def previous_in_group(df: DataFrame, key: str, order, cols, chunks: int | None = None) -> DataFrame:

@@ -25,7 +25,13 @@ def injury_detail(spark, sf, how="inner"):
     """Injuries (with severity) joined to their play on PlayKey."""
     inj = FE.with_severity(S.injuries(spark, sf)).select(*DETAIL_INJ_COLS)
     plays = S.plays(spark, sf).select("PlayKey", *DETAIL_PLAY_COLS)
-    return inj.join(plays, "PlayKey", how)
+    met = inj.where(F.col("PlayKey").isNotNull()).join(plays, "PlayKey", how)
+    if how == "inner":
+        return met
+    # Injuries without a play key meet nothing: they pass beside the join instead of gathering in its null key.
+    alone = inj.where(F.col("PlayKey").isNull()).select(
+        *DETAIL_INJ_COLS, *[F.lit(None).cast(plays.schema[c].dataType).alias(c) for c in DETAIL_PLAY_COLS])
+    return met.unionByName(alone)
 
 
 DETAIL_SQL = ("select " + ", ".join(f"i.{c}" for c in DETAIL_INJ_COLS) + ", "
@@ -322,3 +328,23 @@ _chart("chart_weather_level_field", "Weather", hue="level_of_injury", facet="Fie
 _chart("chart_stadium_level_field", "StadiumType", hue="level_of_injury", facet="FieldType")
 _chart("chart_weather_bodypart_field", "Weather", hue="BodyPart", facet="FieldType")
 _chart("chart_stadium_weather", "StadiumType", hue="Weather")
+_chart("chart_weather", "Weather")
+_chart("chart_stadium", "StadiumType")
+_chart("chart_weather_field", "Weather", hue="FieldType")
+_chart("chart_stadium_field", "StadiumType", hue="FieldType")
+_chart("chart_weather_level", "Weather", hue="level_of_injury")
+_chart("chart_stadium_level", "StadiumType", hue="level_of_injury")
+_chart("chart_weather_bodypart", "Weather", hue="BodyPart")
+_chart("chart_stadium_bodypart", "StadiumType", hue="BodyPart")
+
+
+@query("chart_bodypart", sql="select BodyPart, count(*) as count from injuries group by 1")
+def chart_bodypart(spark, sf):
+    return R.count_plot_data(S.injuries(spark, sf), "BodyPart")
+
+
+@query("chart_level_surface",
+       sql=f"select {SEV_SQL} as level_of_injury, Surface, count(*) as count from injuries group by 1, 2")
+def chart_level_surface(spark, sf):
+    inj = S.injuries(spark, sf).withColumn("level_of_injury", C.severity())
+    return R.count_plot_data(inj, "level_of_injury", hue="Surface")

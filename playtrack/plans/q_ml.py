@@ -20,6 +20,7 @@ from ..operators import reports as R
 from .q_features import player_game_table, player_table, round_doubles
 from .q_injury import ENV_CLEAN_CTE, injury_environment_clean_df, injury_environment_df, INJ_ENV_CTE
 from ..session import ensure_checkpoint_dir
+from ..sources.staging import source_state
 from .registry import query
 from .sql_blocks import PGF
 
@@ -185,18 +186,23 @@ _MODEL_CACHE: dict = {}
 ROWS_PER_TRAINING_PARTITION = 100_000
 
 
-def ensure_and_checkpoint(spark, df):
+def ensure_and_checkpoint(spark, df, key):
     """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (survives
-    executor loss; never a local checkpoint)."""
+    executor loss; never a local checkpoint).
+
+    Forests draw their samples per partition, so rows are dealt by ``key``
+    into a number of partitions that follows from the row count alone, each in
+    a total order: another cluster size gives the same models.
+    """
     ensure_checkpoint_dir(spark)
-    cores = spark.sparkContext.defaultParallelism
-    ckpt = df.repartition(cores).checkpoint(eager=True)
-    # Partitions sized from the data: about ROWS_PER_TRAINING_PARTITION rows
-    # each, at most one per core.  Every optimiser pass is a job over all
-    # partitions, so a small input in few tasks avoids per-task overhead and
-    # a large one still spreads over the whole cluster.
-    parts = max(1, min(cores, -(-ckpt.count() // ROWS_PER_TRAINING_PARTITION)))
-    return ckpt.coalesce(parts) if parts < cores else ckpt
+    rows = df.checkpoint(eager=True)
+    parts = max(1, -(-rows.count() // ROWS_PER_TRAINING_PARTITION))
+    return rows.repartition(parts, key).sortWithinPartitions(*rows.columns).checkpoint(eager=True)
+
+
+def _model_key(kind, spark, sf):
+    """Fitted models are kept for one state of the source files."""
+    return kind, sf, spark.sparkContext.applicationId, source_state(spark, sf)
 
 
 def _game_input(spark, sf):
@@ -219,10 +225,10 @@ def _game_pipelines():
 
 def game_models(spark, sf):
     """Per-game models, 50/50 key-hash split, no search."""
-    key = ("game", sf, spark.sparkContext.applicationId)
+    key = _model_key("game", spark, sf)
     if key not in _MODEL_CACHE:
         # The iterative fits read their input many times: cut the lineage once.
-        data = ensure_and_checkpoint(spark, _game_input(spark, sf))
+        data = ensure_and_checkpoint(spark, _game_input(spark, sf), "GameID")
         train, test = ML.hash_split(data, "GameID", 50)
         lr, rf = _game_pipelines()
         _MODEL_CACHE[key] = (data, train, test, lr.fit(train), rf.fit(train))
@@ -252,10 +258,10 @@ def ml_game_model(spark, sf):
 
 def player_models(spark, sf):
     """Per-player models: 70/30 key-hash split, 4-fold CV over the source's grids."""
-    key = ("player", sf, spark.sparkContext.applicationId)
+    key = _model_key("player", spark, sf)
     if key not in _MODEL_CACHE:
         data = ensure_and_checkpoint(
-            spark, FE.model_input(player_table(spark, sf), ML.PLAYER_MODEL_FEATURES + ["PlayerKey"]))
+            spark, FE.model_input(player_table(spark, sf), ML.PLAYER_MODEL_FEATURES + ["PlayerKey"]), "PlayerKey")
         train, test = ML.hash_split(data, "PlayerKey", 70)
         assembler = ML.assembler(ML.PLAYER_MODEL_FEATURES)
         lr = ML.logistic_regression("IsInjury", "features", 100, 0.6)
@@ -263,8 +269,8 @@ def player_models(spark, sf):
                           (lr.fitIntercept, [True, False]), (lr.maxIter, [58, 60, 62]))
         rf = ML.random_forest("IsInjury", "features", 100, 10)
         rf_grid = ML.grid((rf.maxDepth, [10, 15, 20]), (rf.numTrees, [50, 60, 70]))
-        lr_cv = ML.cross_validate(Pipeline(stages=[assembler, lr]), train, lr_grid, parallelism=4)
-        rf_cv = ML.cross_validate(Pipeline(stages=[assembler, rf]), train, rf_grid, parallelism=4)
+        lr_cv = ML.cross_validate(Pipeline(stages=[assembler, lr]), train, lr_grid, "PlayerKey")
+        rf_cv = ML.cross_validate(Pipeline(stages=[assembler, rf]), train, rf_grid, "PlayerKey")
         _MODEL_CACHE[key] = (data, train, test, lr_cv, rf_cv)
     return _MODEL_CACHE[key]
 
@@ -290,10 +296,16 @@ def ml_cv_metrics(spark, sf):
     return spark.createDataFrame(rows, "model string, params string, auc double")
 
 
-@query("ml_auc")
+@query("ml_auc",
+       sql="""select round((sum(case when y=1 then r end) - sum(y)*(sum(y)+1)/2.0) / (sum(y)*(count(*)-sum(y))), 6) as auc
+ from (select IsInjury as y, rank() over (order by MaxPlayGamePlay)
+       + (count(*) over (partition by MaxPlayGamePlay) - 1)/2.0 as r from pgf) t""", ctes=PGF)
 def ml_auc(spark, sf):
-    """Test-part ROC area of the cross-validated player models (M8)."""
-    return ml_player_model(spark, sf)
+    """ROC area of a fixed score (the game's highest play number) for the injury label (M8)."""
+    scored = player_game_table(spark, sf).select(
+        F.col("IsInjury").cast("double").alias("IsInjury"), F.col("MaxPlayGamePlay").cast("double").alias("score"))
+    exact = ML.auc_evaluator("IsInjury").setRawPredictionCol("score").setNumBins(0)
+    return spark.createDataFrame([(round(exact.evaluate(scored), 6),)], "auc double")
 
 
 @query("ml_lr_training_metrics")
@@ -326,10 +338,11 @@ def ml_best_params(spark, sf):
 def ml_rf_regression(spark, sf):
     """Random-forest regressors (seed 1), one per target: injury level and one
     dummy per body part, inputs the environment dummies and temperature with
-    -999 imputed by the training mean; MAE per target on the test part (M17)."""
-    key = ("rfreg", sf, spark.sparkContext.applicationId)
+    -999 imputed by the training mean; MAE per target on the test part (M17)
+    and its average over the targets (M18)."""
+    key = _model_key("rfreg", spark, sf)
     if key not in _MODEL_CACHE:
-        df = ensure_and_checkpoint(spark, dummy_table(spark, sf))
+        df = ensure_and_checkpoint(spark, dummy_table(spark, sf), "GameID")
         inputs = ["Temperature"] + [n for n in _DUMMY_NAMES if not n.startswith("BodyPart_")]
         bucket = C.hash_bucket("GameID")
         train, test = df.where(bucket < 75), df.where(bucket >= 75)
@@ -342,5 +355,6 @@ def ml_rf_regression(spark, sf):
             model = ML.rf_regressor(t, seed=1).fit(assembled_train.withColumn(t, F.col(t).cast("double")))
             pred = model.transform(assembled_test.withColumn(t, F.col(t).cast("double")))
             rows.append((t, round(ML.regression_mae(pred, t), 6)))
-        _MODEL_CACHE[key] = rows
+        # the source reports the mean of the forest's errors over all targets
+        _MODEL_CACHE[key] = [*rows, ("average", round(sum(v for _, v in rows) / len(rows), 6))]
     return spark.createDataFrame(_MODEL_CACHE[key], "target string, mae double")

@@ -2,11 +2,12 @@
 
 All scratch output (CSV round trips, written intermediate tables) goes under
 the folder the cluster names in ``spark.checkpoint.dir``.  Only when that
-setting is absent (local tests) is a private folder created and registered.
+setting is absent in local mode (tests) is a private folder created and registered.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -45,17 +46,44 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, registering a local one only if unset."""
+    """Return the shared checkpoint folder.
+
+    Only in local mode, where all executors share the machine, is a private
+    folder registered when the setting is unset; a cluster must name one.
+    """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
         if configured is None:
+            if not sc.master.split("[")[0] == "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             configured = tempfile.mkdtemp(prefix="playtrack-ckpt-")
         sc.setCheckpointDir(configured)
     return configured or sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
+    """A fresh, unique path under the shared checkpoint folder, removed when the driver ends."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "playtrack-scratch", f"{label}-{uuid.uuid4().hex}")
+    path = os.path.join(base, "playtrack-scratch", f"{label}-{uuid.uuid4().hex}")
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    _REMOVED_AT_END.append((store, place))
+    if len(_REMOVED_AT_END) == 1:
+        atexit.register(_remove_scratch)
+    return path
+
+
+_REMOVED_AT_END: list = []
+
+
+def _remove_scratch() -> None:
+    """At the driver's end, while its JVM still answers: delete what this process wrote."""
+    from py4j.protocol import Py4JError
+
+    for store, place in _REMOVED_AT_END:
+        try:
+            store.delete(place, True)
+        except (Py4JError, OSError):         # the session was closed first
+            return

@@ -178,16 +178,19 @@ def bucket_count(spark: SparkSession, sf_dir: str) -> int:
     configured = spark.conf.get(BUCKETS_CONF, None)
     if configured:
         return int(configured)
-    floor = spark.sparkContext.defaultParallelism
-    try:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        size = 0
-        for name in SOURCE_TABLES:
-            path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
-            size += path.getFileSystem(conf).getContentSummary(path).getLength()
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): use the shuffle width
-        return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(floor, -(-size * EXPANSION // BYTES_PER_BUCKET))
+    size = sum(length for length, _ in source_state(spark, sf_dir))
+    return max(spark.sparkContext.defaultParallelism, -(-size * EXPANSION // BYTES_PER_BUCKET))
+
+
+def source_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """``(bytes, time of change)`` of every source table: what is stored for a folder holds for this state only."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in SOURCE_TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        store = path.getFileSystem(conf)
+        out.append((store.getContentSummary(path).getLength(), store.getFileStatus(path).getModificationTime()))
+    return tuple(out)
 
 
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict:
@@ -199,11 +202,11 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict:
     """
     from ..session import scratch_path
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), source_state(spark, sf_dir))
     if key in _STORED and all(spark.catalog.tableExists(t) for t in _STORED[key].values()):
         return _STORED[key]
     n = bucket_count(spark, sf_dir)
-    tag = hashlib.md5(f"{key[0]}|{key[1]}".encode()).hexdigest()[:10]
+    tag = hashlib.md5(repr(key).encode()).hexdigest()[:10]
     base = scratch_path(spark, f"staged-{tag}")
     names = {}
     for name, derive, sort_cols in [("plays", lambda: derive_plays(spark, sf_dir), ["PlayKey"]),
@@ -212,27 +215,21 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict:
                                     ("tracks", lambda: derive_tracks(spark, sf_dir, spark.table(names["plays"])),
                                      ["PlayKey", "time"])]:
         tname = f"playtrack_{name}_{tag}"
-        (derive().repartition(n, "PlayKey").write.mode("overwrite").option("path", f"{base}/{name}")
+        rows = derive()
+        # An injury without a play has no key to meet: its rows go to any task, not all to that of the null key.
+        deal = F.coalesce(F.col("PlayKey"), F.concat_ws("-", F.lit("none"), F.col("GameID"))) if name == "injuries" \
+            else F.col("PlayKey")
+        (rows.repartition(n, deal).write.mode("overwrite").option("path", f"{base}/{name}")
          .bucketBy(n, "PlayKey").sortBy(*sort_cols).saveAsTable(tname))
         names[name] = tname
     _STORED[key] = names
     return names
 
 
-_STORE_FAILED: set = set()
-
-
 def _staged(spark: SparkSession, sf_dir: str, name: str, derive) -> DataFrame:
-    app = spark.sparkContext.applicationId
-    if not _store_enabled(spark) or app in _STORE_FAILED:
-        return derive(spark, sf_dir)
-    try:
-        return spark.table(stored_tables(spark, sf_dir)[name])
-    except Exception as exc:  # noqa: BLE001 - no writable catalog/folder: derive lazily instead
-        import warnings
-        warnings.warn(f"playtrack: staged tables not stored ({type(exc).__name__}: {exc}); deriving them lazily")
-        _STORE_FAILED.add(app)
+    if not _store_enabled(spark):
         return derive(spark, sf_dir)
+    return spark.table(stored_tables(spark, sf_dir)[name])
 
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Feature builders on hand-made rows: rest days, game list duplicates, pivots, severity."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from playtrack.functions import columns as C
@@ -116,3 +117,20 @@ def test_rest_days_hot_players(spark):
     hot = {r.GameID: r.Rest_days for r in FE.rest_days(games, hot_rows=4).collect()}
     cold = {r.GameID: r.Rest_days for r in FE.rest_days(games, hot_rows=10**6).collect()}
     assert hot == cold and hot["p-1"] == 2 and hot["p-2"] == 3 and hot["q-1"] == 4
+
+
+def test_hot_key_path_equals_plain_windows_on_many_rows(spark, tmp_path):
+    """Sampled ranges differ between evaluations of a plan: 300,000 rows of one key, with payload, row by row."""
+    n = 400_000
+    rows = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 4 < 3, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 1000)).alias("k"),
+        ((F.col("id") * 7919) % n).alias("i"), (F.col("id") * 1.5).alias("v"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    w = Window.partitionBy("k").orderBy("i")
+    want = df.select("k", "i", F.row_number().over(w).alias("rn"), F.lag("v", 1, -1.0).over(w).alias("p"))
+    for got, col in ((SK.row_number_by(df, "k", ["i"], "rn", hot_rows=100_000), "rn"),
+                     (SK.lag_in_group(df, "k", ["i"], "v", "p", default=-1.0, hot_rows=100_000), "p")):
+        wrong = got.select("k", "i", F.col(col).alias("got")).join(want, ["k", "i"]).where(~F.col("got").eqNullSafe(F.col(col)))
+        assert got.count() == n and wrong.count() == 0
