@@ -7,7 +7,7 @@ The words inside a verified window are hit; documents (or the hit spans) can
 then be removed.
 
 Scale: the set is broadcast only if its measured size is within the limit;
-beyond it the windows are joined by shuffle on the hash.  Words, window hashes
+beyond it the windows (each with its own words) are joined by shuffle on the hash.  Words, window hashes
 and probes run in one generated stage per file split, and only verified hits
 and one marker row per document reach the (partial) aggregation per document.
 The lists kept per document are bounded by its own words and by the items.
@@ -60,8 +60,8 @@ def _hits(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """Per row key: ``n_words``, hit windows ``(at, n)`` and lists of items."""
     grams = saved(benchmark_windows(items, size), "bench-windows")
     lengths = sorted(r["n"] for r in grams.select("n").distinct().collect())      # at most ``size`` numbers
-    lookup = sized_broadcast(grams.select(F.col("n").alias("_n"), F.col("h").alias("_h"), "gram", "items"),
-                             F.octet_length("gram") + F.size("items") * 8 + 64)
+    table = grams.select(F.col("n").alias("_n"), F.col("h").alias("_h"), "gram", "items")
+    lookup = sized_broadcast(table, F.octet_length("gram") + F.size("items") * 8 + 64)
     spread = (docs.select(row_key().alias("k"), words(text_or_empty()).alias("w"))
               # place -1 stands for the document itself, so one pass gives its word count too
               .select("k", "w", F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("at")))
@@ -72,11 +72,17 @@ def _hits(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
         each = [F.struct(F.lit(n).alias("n"), _hash_words(F.col("w"), F.col("at"), n).alias("h")) for n in lengths]
         probe = spread.select("k", "w", "at", F.explode(F.array(*each) if each else F.array(
             F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("h")))).alias("x")).select("k", "w", "at", "x.n", "x.h")
-    gram = F.concat_ws(" ", F.slice("w", F.greatest(F.col("at") + 1, F.lit(1)), F.col("n")))
-    met = probe.join(lookup, (F.col("h") == F.col("_h")) & (F.col("n") == F.col("_n")) & (F.col("at") >= 0)
-                     & (F.col("at") + F.col("n") <= F.size("w")) & (gram == F.col("gram")), "left")
+    own = F.concat_ws(" ", F.slice("w", F.greatest(F.col("at") + 1, F.lit(1)), F.col("n")))
+    inside = (F.col("at") >= 0) & (F.col("at") + F.col("n") <= F.size("w"))
+    n_words, same = F.size("w"), inside & (own == F.col("gram"))
+    if lookup is table:
+        # a shuffled window takes its own words along, not those of its whole document
+        probe = probe.where(inside | (F.col("at") < 0)).select(
+            "k", "at", "n", "h", n_words.alias("n_words"), F.when(inside, own).alias("own"))
+        n_words, same = F.col("n_words"), F.col("own") == F.col("gram")
+    met = probe.join(lookup, (F.col("h") == F.col("_h")) & (F.col("n") == F.col("_n")) & same, "left")
     return (met.where((F.col("at") < 0) | F.col("gram").isNotNull())
-            .groupBy("k").agg(F.max(F.size("w")).alias("n_words"),
+            .groupBy("k").agg(F.max(n_words).alias("n_words"),
                               F.collect_set(F.when(F.col("at") >= 0, F.struct("at", "n"))).alias("spans"),
                               F.collect_set("items").alias("items")))
 

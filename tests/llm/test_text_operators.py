@@ -73,7 +73,9 @@ def test_decontamination_equals_brute_force(spark, make_docs):
 
 def test_decontamination_without_broadcast_is_the_same(spark, make_docs, monkeypatch):
     items = spark.createDataFrame([(1, "a b c"), (2, " ".join("abcdefghijkl"))], "item_id long, text string")
-    docs = make_docs([(i, f"x a b c {i} " + " ".join("abcdefghijkl")) for i in range(20)])
+    # with its words beside each window, the long document would shuffle gigabytes
+    long = " ".join(f"w{i}" for i in range(20_000)) + " a b c"
+    docs = make_docs([(i, f"x a b c {i} " + " ".join("abcdefghijkl")) for i in range(20)] + [(20, long), (21, ""), (22, None)])
     whole = rows_of(decontaminate.report(decontaminate.contamination(docs, items)), "doc_id", "n_words", "n_hit", "n_items")
     monkeypatch.setattr(decontaminate, "sized_broadcast", lambda df, width: df)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
