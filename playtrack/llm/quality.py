@@ -18,7 +18,8 @@ enter a score.
 Defined cases: null text is empty, and an empty text gets the score of its
 (zero) features; a null ``n_chars`` is the text's length; a null id counts as
 held out; labels that are null are not used and of several labels of one id
-the largest holds; without labelled rows of both kinds the score is the share
+the largest holds; of several texts of one id the one with the least digest
+trains; without labelled rows of both kinds the score is the share
 of label 1 (one half without any); repeated rows score alike; other columns
 are not read.
 """
@@ -147,7 +148,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) ->
                    .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("label"))
                    .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit), "quality-sample")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), _n_chars(docs))
-    return rows.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "n_chars", "label")
+    # one text an id, so that rows of a much repeated id cannot swell the sample
+    text = F.min(F.struct(F.xxhash64("text").alias("digest"), "text", "n_chars")).alias("x")
+    return (rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(text, F.max("label").alias("label"))
+            .select("doc_id", "x.text", "x.n_chars", "label"))
 
 
 def _n_chars(docs: DataFrame) -> Column:

@@ -3,19 +3,21 @@
 Layout under one folder, in ascending ``doc_id`` order (null first, then by
 text digest):
 
-    part-00000.bin   ids, little-endian uint16 (vocabularies up to 65,536) or uint32
-    part-00000.idx   int64 offsets of the part's documents, counted in ids from the part's start (documents + 1)
-    part-00000.doc   int64 document ids (the least int64 stands for null)
-    manifest.json    dtype, and per part: documents, ids, and the bases that prefix sums over the parts give
+    part-00000-<attempt>.bin   ids, little-endian uint16 (vocabularies up to 65,536) or uint32
+    part-00000-<attempt>.idx   int64 offsets of the part's documents, counted in ids from the part's start (documents + 1)
+    part-00000-<attempt>.doc   int64 document ids (the least int64 stands for null)
+    manifest.json              dtype, and per part: file name, documents, ids, and the bases that prefix sums give
 
 A document's ids are ``bin[base + idx[i] : base + idx[i + 1]]`` of the whole;
 files are opened by memory map where the folder is a local path, else read as
 a stream.
 
 Scale: one range shuffle of the texts; every range is sorted, encoded and
-written by one task, in the shared folder that the session names.  A task
-writes under a name of its own and renames at the end, so a second attempt
-replaces the same file.  The driver only sees one row per part.
+written by one task, in the shared folder that the session names.  Every
+attempt of a task writes files of its own and the manifest names those of the
+attempt that Spark counted, so lost executors and second attempts need no
+rename or overwrite, which stores treat differently.  The driver only sees one
+row per part.
 
 Defined cases: null and empty texts are the end id alone; repeated ids stay
 separate documents; an empty table gives a manifest without parts; other
@@ -71,15 +73,14 @@ def write(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end: int =
         task = TaskContext.get()
         store, root = _store(folder)
         tokenizer = piece_tokenizer(vocabulary, keeps_space)
-        name = f"{root}/part-{task.partitionId():05d}"
-        own = f"{name}-{task.taskAttemptId()}-{uuid.uuid4().hex}"
+        name = f"part-{task.partitionId():05d}-{uuid.uuid4().hex}"
         offsets, ids, out, total = [0], [], None, 0
         for batch in batches:
             texts = batch["text"].tolist()
             numbers = batch["doc_id"].tolist()
             for at in range(0, len(texts), 200):
                 if out is None:
-                    out = store.open_output_stream(f"{own}.bin")
+                    out = store.open_output_stream(f"{root}/{name}.bin")
                 for got in tokenizer.encode(texts[at:at + 200]):
                     block = np.append(np.frombuffer(got, "<u4"), end).astype(dtype)
                     out.write(block.tobytes())
@@ -89,17 +90,15 @@ def write(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end: int =
         if out is not None:
             out.close()
             for kind, values in (("idx", offsets), ("doc", ids)):
-                with store.open_output_stream(f"{own}.{kind}") as f:
+                with store.open_output_stream(f"{root}/{name}.{kind}") as f:
                     f.write(np.array(values, "<i8").tobytes())
-            for kind in ("bin", "idx", "doc"):
-                store.move(f"{own}.{kind}", f"{name}.{kind}")
-            yield pd.DataFrame({"part": [task.partitionId()], "documents": [len(ids)], "ids": [total]})
+            yield pd.DataFrame({"part": [task.partitionId()], "file": [name], "documents": [len(ids)], "ids": [total]})
     # nullable long ids reach the task as strings, so that pandas keeps them exact
     rows = (ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-            .mapInPandas(put, "part int, documents long, ids long").collect())       # one row a part
+            .mapInPandas(put, "part int, file string, documents long, ids long").collect())       # one row a part
     parts, documents, ids = [], 0, 0
     for r in sorted(rows, key=lambda r: r["part"]):
-        parts.append({"part": r["part"], "documents": r["documents"], "ids": r["ids"],
+        parts.append({"part": r["part"], "file": r["file"], "documents": r["documents"], "ids": r["ids"],
                       "first_document": documents, "first_id": ids})
         documents, ids = documents + r["documents"], ids + r["ids"]
     manifest = {"dtype": dtype, "documents": documents, "ids": ids, "parts": parts}
@@ -126,8 +125,8 @@ def read(spark: SparkSession, folder: str, keep_ids: bool = False) -> DataFrame:
     def get(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = _store(folder)
         for batch in batches:
-            for part, first in zip(batch["part"], batch["first_id"], strict=True):
-                name = f"{root}/part-{part:05d}"
+            for file, first in zip(batch["file"], batch["first_id"], strict=True):
+                name = f"{root}/{file}"
                 with _open(store, f"{name}.idx") as a, _open(store, f"{name}.doc") as b, _open(store, f"{name}.bin") as c:
                     at, docs = np.frombuffer(a.read(), "<i8"), np.frombuffer(b.read(), "<i8")
                     for low in range(0, len(docs), 500):
@@ -141,7 +140,7 @@ def read(spark: SparkSession, folder: str, keep_ids: bool = False) -> DataFrame:
                         yield out.astype({"doc_id": "Int64"})
     if not parts:
         return spark.createDataFrame([], schema)
-    listed = spark.createDataFrame([(p["part"], p["first_id"]) for p in parts], "part int, first_id long")
+    listed = spark.createDataFrame([(p["file"], p["first_id"]) for p in parts], "file string, first_id long")
     return listed.repartition(len(parts)).mapInPandas(get, schema)
 
 

@@ -118,6 +118,9 @@ def test_token_files_round_trip(spark, odd_docs, no_docs, tmp_path):
         assert (r["start"], r["n_tokens"]) == (at, len(r["ids"]))
         assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
         at += r["n_tokens"]
+    # what a lost attempt leaves behind is not read
+    (tmp_path / "ids" / "part-00000-lost.bin").write_bytes(b"123")
+    assert token_files.read(spark, str(tmp_path / "ids")).count() == len(texts)
     token_files.write(no_docs, str(tmp_path / "none"))
     assert token_files.read(spark, str(tmp_path / "none")).count() == 0
 
@@ -218,6 +221,15 @@ def test_quality_on_held_out_rows(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
 
 
+def test_quality_sample_has_one_text_an_id(make_docs, spark):
+    docs = make_docs([(1, f"text {i % 3}") for i in range(300)] + [(2, "other"), (3, None)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 4)], "doc_id long, quality int")
+    rows = quality.training_sample(docs, labels).collect()
+    held_out = {i for i in range(1, 4) if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert sorted(r["doc_id"] for r in rows) == sorted({1, 2, 3} - held_out)
+    assert 1 not in held_out and all(r["label"] == r["doc_id"] % 2 for r in rows)
+
+
 def test_quality_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(3, 1, 0), (4, 0, 0), (4, None, 1), (None, 1, 0)], "doc_id long, quality int, toxic int")
     rows = quality.classify(odd_docs, labels).collect()
