@@ -98,6 +98,33 @@ def frames_with_snap_one(tracks: DataFrame) -> DataFrame:
 
 
 # -- X6: trimming ---------------------------------------------------------
+def _trimmed_window(tracks: DataFrame, before: float, after: float) -> DataFrame:
+    """Window form of the trim: no frame is copied that the trim drops.
+
+    Two scalars per play bound its frames first; only those left meet the
+    play's snaps, and of these only the ones they are late enough for.  Every
+    snap copy of a row at the last event time counts there, as in the join form.
+    """
+    first = F.min(F.when(F.col("event") == SNAP, F.col("time"))).over(_play())
+    # margins below zero drop frames only at the end: the snaps and last events are still looked up
+    df = tracks.withColumn("_first", first).where(F.col("time") >= F.col("_first") - max(before, 0))
+    last = F.max(F.when(F.col("event").isNotNull() & (F.col("time") >= F.col("_first") - before), F.col("time"))).over(_play())
+    df = df.withColumn("last_time", last).where(F.col("time") <= F.col("last_time") + max(after, 0))
+    snaps = F.collect_list(F.when((F.col("event") == SNAP) & F.col("time").isNotNull(),
+                                  F.struct(F.col("time").alias("t"), F.col("x").alias("sx"),
+                                           F.col("y").alias("sy")))).over(_play())
+    ends = F.collect_list(F.when(F.col("time") == F.col("last_time"),
+                                 F.struct(F.col("event").alias("e")))).over(_play())
+    def before_time(time):
+        return F.filter("_snaps", lambda s: F.col(time) >= s["t"] - before)
+    copies = F.flatten(F.array_repeat("_ends", F.size(before_time("last_time"))))
+    own = before_time("time")
+    return (df.withColumns({"_snaps": snaps, "_ends": ends}).where(F.col("time") <= F.col("last_time") + after)
+            .withColumn("_snap", F.explode(own)).withColumn("_end", F.explode(copies))
+            .select(*tracks.columns, F.col("_snap.sx").alias("snap_x"), F.col("_snap.sy").alias("snap_y"),
+                    F.col("_snap.t").alias("snap_time"), "last_time", F.col("_end.e").alias("last_event")))
+
+
 def _last_event_window(df: DataFrame) -> DataFrame:
     """Attach ``last_time`` / ``last_event`` per play by windows (explodes over
     the rows found at the last event time, as the join form does)."""
@@ -124,6 +151,8 @@ def frames_trimmed(tracks: DataFrame, before: float = 0.1, after: float = 0.1, s
     """Frames from ``before`` ahead of the snap to ``after`` past the last event."""
     if strategy == "auto":
         return by_play_size(tracks, lambda f, s: frames_trimmed(f, before, after, s, one_snap), "auto", hot_rows)
+    if strategy != "join" and not one_snap:
+        return _trimmed_window(tracks, before, after)
     if one_snap and strategy == "join":
         first = (tracks.where(F.col("event") == SNAP).groupBy("PlayKey")
                  .agg(F.min("time").alias("snap_time")))
@@ -131,7 +160,7 @@ def frames_trimmed(tracks: DataFrame, before: float = 0.1, after: float = 0.1, s
     elif one_snap:
         a = frames_with_snap_one(tracks)
     else:
-        a = frames_with_snap(tracks, strategy)
+        a = frames_with_snap(tracks, "join")
     a = a.where(F.col("time") >= F.col("snap_time") - before)
     if strategy == "join":
         trimmed = a.join(last_event(a), ["PlayKey"], "left_outer")

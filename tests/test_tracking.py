@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from playtrack.operators import tracking as TR
@@ -51,6 +52,14 @@ def test_window_and_join_forms_agree(spark):
         _multiset(TR.frames_with_snap(f, "join").select(*cols2), cols2)
 
 
+@pytest.mark.parametrize(("before", "after"), [(0.1, 0.1), (0, 0), (-0.5, 0.3), (-1.5, -0.5), (0.6, -1.2)])
+def test_trim_forms_agree_for_any_margin(spark, before, after):
+    f = _frames(spark)
+    cols = ["PlayKey", "time", "event", "snap_time", "snap_y", "last_time", "last_event"]
+    w, j = (TR.frames_trimmed(f, before, after, strategy=s).select(*cols) for s in ("window", "join"))
+    assert _multiset(w, cols) == _multiset(j, cols)
+
+
 def test_one_snap_variant(spark):
     out = TR.frames_trimmed(_frames(spark), one_snap=True)
     per_play = {r.PlayKey: r["count"] for r in out.groupBy("PlayKey").count().collect()}
