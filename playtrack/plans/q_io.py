@@ -93,14 +93,20 @@ _SCHEMA_TABLES = [("plays", S.PLAY_COLUMNS), ("injuries", S.INJURY_COLUMNS), ("t
 
 @query("schema_report",
        sql="\nunion all ".join(f"select '{t}' as table_name, {i} as position, '{c}' as column_name, "
-                               f"any_value(typeof({c})) as data_type from {t}"
+                               f"any_value(typeof({c})) as data_type, count({c}) as n_values from {t}"
                                for t, cols in _SCHEMA_TABLES for i, c in enumerate(cols)))
 def schema_report(spark, sf):
     """``printSchema`` as rows: (table, position, column, SQL type name) of the
-    three staged tables, from their catalog schemas."""
-    rows = []
+    three staged tables, with the number of values that each column holds (one
+    aggregation a table)."""
+    out = None
     for name, df in [("plays", S.plays(spark, sf)), ("injuries", S.injuries(spark, sf)),
                      ("tracks", S.tracks(spark, sf))]:
-        rows += [(name, i, f.name, _SQL_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString().upper()))
-                 for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "table_name string, position int, column_name string, data_type string")
+        fields = [(i, f.name, _SQL_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString().upper()))
+                  for i, f in enumerate(df.schema.fields)]
+        held = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c, _ in fields])
+        lines = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(t).alias("data_type"),
+                                   F.col(f"n{i}").alias("n_values")) for i, c, t in fields])
+        part = held.select(F.lit(name).alias("table_name"), F.explode(lines).alias("line")).select("table_name", "line.*")
+        out = part if out is None else out.unionByName(part)
+    return out
