@@ -3,24 +3,32 @@
 A gear hash rolls over the bytes of a text: ``h = 2 h + G[byte]`` modulo 2^16,
 so ``h`` depends on the last 16 bytes alone.  A byte where the low bits of
 ``h`` after a shift are zero is a hit; a hit whose last hit is at least
-``LEAST`` bytes back ends a chunk, and no chunk is longer than ``MOST`` bytes.  Cuts
-therefore follow the content: an insertion moves only the cuts next to it.
+``LEAST`` bytes back ends a chunk, and where ``MOST`` bytes in a row have no
+such end, the byte with the least ``h`` of them is one (winnowing).  Cuts
+therefore follow the content: an insertion moves only the cuts next to it, and
+two equal stretches of ``RUN`` = ``WINDOW + LEAST + 2 MOST`` bytes share a whole
+chunk.  Only where the least ``h`` is not unique (text that repeats itself
+within ``MOST`` bytes) are chunks cut after ``MOST`` bytes.
 
-Chunks are deduplicated by a 128-bit digest.  The first place ``(doc_id,
-digest of the text, byte)`` of every repeated chunk is found by a partial
-aggregation; all other occurrences are later copies.  Neighbouring later
-copies merge, and runs of at least ``RUN`` bytes are removed from the text
-(shorter repeats, such as common short lines, stay).
+The first place ``(doc_id, digest of the text, byte)`` of every repeated 64-bit
+chunk hash is found by a partial aggregation; all other occurrences are later
+copies.  Copies that go on at their first place make one run; a second hash of
+the run's bytes at either place confirms it, and it grows on both sides as far
+as the texts agree, by up to ``RUN`` bytes (beyond, the next shared chunk
+takes over).  Touching runs merge, and those of at least ``RUN`` bytes are
+removed from the text (shorter repeats, such as common short lines, stay).
 
-Scale: one narrow row per chunk, shuffled twice: to find repeated digests, and
+Scale: one narrow row per chunk, shuffled twice: to find repeated hashes, and
 to look them up, which is a plain join of two direct inputs, so a chunk that
-sits in very many documents is split by adaptive execution.  Chunk lists are
-gathered only per document.
+sits in very many documents is split by adaptive execution.  One row per run
+then meets the text of its first place, from which only the bytes next to the
+run go back.  Chunk lists are gathered only per document.
 
 Defined cases: null text is empty and has no chunk; rows that repeat an id and
 text are one document and share its result; ties are settled by the text
-digest; a text inside which a chunk repeats keeps its first copy; an empty
-table gives no rows; other columns are not read.
+digest; a text inside which a chunk repeats keeps its first copy; a
+character of which only a part repeats stays whole; an empty table gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,44 +38,78 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import row_key, saved, text_or_empty
 
 WINDOW = 16             # bytes the hash depends on
-BITS = 5                # a hit in 2^BITS bytes
-LEAST = 16
-MOST = 256
-RUN = 120
+BITS = 4                # a hit in 2^BITS bytes
+LEAST = 8
+MOST = 48
+RUN = WINDOW + LEAST + 2 * MOST     # 120: equal stretches of it share a chunk
 GEAR = np.random.default_rng(20240229).integers(0, 1 << 16, 256, dtype=np.uint32)
 _SLICE = 1 << 22
 
 
+def _rolled(data: np.ndarray, at: int) -> np.ndarray:
+    """The gear hash after each byte of a slice of ``data``."""
+    low = max(at - WINDOW + 1, 0)
+    h = GEAR[data[low:at + _SLICE]]
+    reach = 1
+    while reach < WINDOW:                        # h now covers ``reach`` bytes; twice that after the step
+        grown = h.copy()
+        grown[reach:] += h[:-reach] << np.uint32(reach)
+        h, reach = grown, 2 * reach
+    # the highest of the 16 bits have seen the whole window
+    return (h & np.uint32((1 << WINDOW) - 1))[at - low:]
+
+
 def _hits(data: np.ndarray) -> np.ndarray:
     """Places after which the gear hash asks for a cut."""
-    found = []
-    for at in range(0, len(data), _SLICE):
-        low = max(at - WINDOW + 1, 0)
-        h = GEAR[data[low:at + _SLICE]]
-        reach = 1
-        while reach < WINDOW:                    # h now covers ``reach`` bytes; twice that after the step
-            grown = h.copy()
-            grown[reach:] += h[:-reach] << np.uint32(reach)
-            h, reach = grown, 2 * reach
-        # the highest of the 16 bits have seen the whole window
-        own = np.flatnonzero((h >> np.uint32(WINDOW - BITS)) & np.uint32((1 << BITS) - 1) == 0) + low
-        found.append(own[own >= at] + 1)
+    found = [np.flatnonzero(_rolled(data, at) >> np.uint32(WINDOW - BITS) == 0) + at + 1 for at in range(0, len(data), _SLICE)]
     return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
+def _least(keys: np.ndarray) -> np.ndarray:
+    """The least of every ``MOST`` keys in a row."""
+    reach = 1
+    while 2 * reach <= MOST:
+        keys, reach = np.minimum(keys[:-reach], keys[reach:]), 2 * reach
+    return np.minimum(keys[:len(keys) - (MOST - reach)], keys[MOST - reach:])
+
+
+def _between(data: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """In every ``MOST`` places without a cut, the one place of the least hash."""
+    n, found = len(data), []
+    for at in range(0, n - MOST + 1, _SLICE):
+        h = _rolled(data, at)
+        if at + _SLICE < n:
+            h = np.concatenate([h, _rolled(data, at + _SLICE)[:MOST - 1]])
+        place = np.arange(len(h), dtype=np.uint64)
+        back = np.uint64(len(h))
+        key = h.astype(np.uint64) << np.uint64(32)
+        first, last = _least(key | place), back - (_least(key | (back - place)) & np.uint64(0xFFFFFFFF))
+        first &= np.uint64(0xFFFFFFFF)
+        cut = np.zeros(len(h) + 1, np.int64)
+        cut[far[(far > at) & (far <= at + len(h))] - at] = 1
+        cut = np.cumsum(cut)
+        free = (cut[MOST:] == cut[:-MOST]) & (first == last)
+        found.append(np.unique(first[free]).astype(np.int64) + at + 1)
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
 def cuts(data: bytes) -> list[int]:
     """Ends of the chunks of ``data``; the last is its length."""
     n = len(data)
     if not n:
         return []
-    hits = _hits(np.frombuffer(data, np.uint8))
+    array = np.frombuffer(data, np.uint8)
+    hits = _hits(array)
     far = hits[np.diff(hits, prepend=-LEAST) >= LEAST]
+    if np.diff(far, prepend=0, append=n).max() > MOST:
+        far = np.union1d(far, _between(array, far))
     ends, last = [], 0
     for end in [*far[far < n].tolist(), n]:
         while end - last > MOST:
@@ -79,11 +121,11 @@ def cuts(data: bytes) -> list[int]:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """``(doc_id, digest, at, size, chunk)`` of every chunk of every text."""
+    """``(doc_id, digest, at, size, chunk)`` of every chunk of every text; ``chunk`` is its hash."""
     import xxhash  # noqa: F401  (fail early where it is missing)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
+        from xxhash import xxh3_64_intdigest
 
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
@@ -94,26 +136,96 @@ def chunks(docs: DataFrame) -> DataFrame:
                 row = np.repeat(np.arange(len(texts)), counts)
                 starts = [0 if not i else e[i - 1] for e in ends for i in range(len(e))]
                 stops = [x for e in ends for x in e]
-                names = [xxh3_128_digest(texts[r][a:b]) for r, a, b in zip(row.tolist(), starts, stops, strict=True)]
+                names = np.array([xxh3_64_intdigest(texts[r][a:b]) for r, a, b in zip(row.tolist(), starts, stops, strict=True)], np.uint64)
                 take = pa.array(row)
                 at = np.array(starts, np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"].take(take), part["digest"].take(take), pa.array(at),
-                     pa.array(np.array(stops, np.int32) - at), pa.array(names, pa.binary())],
+                     pa.array(np.array(stops, np.int32) - at), pa.array(names.view(np.int64))],
                     names=["doc_id", "digest", "at", "size", "chunk"])
     rows = docs.select(row_key().alias("k"), text_or_empty().cast("binary").alias("data"))
     return rows.select("k.doc_id", "k.digest", "data").mapInArrow(
-        cut, "doc_id long, digest long, at int, size int, chunk binary")
+        cut, "doc_id long, digest long, at int, size int, chunk long")
 
 
 def later_copies(docs: DataFrame) -> DataFrame:
-    """``(doc_id, digest, copies)``: chunks ``(at, size)`` of the document that occurred before."""
+    """``(doc_id, digest, copies)``: chunks ``(at, size, first)`` of the document that occurred before, at ``first``."""
     place = F.struct("doc_id", "digest", "at")
     known = saved(chunks(docs).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
                   .where("n > 1").select("chunk", "first"), "substring-chunks")
     later = chunks(docs).join(known, "chunk").where(~place.eqNullSafe(F.col("first")))
     # bounded by the chunks of the document
-    return later.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("at", "size")).alias("copies"))
+    return later.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("at", "size", "first")).alias("copies"))
+
+
+RUNS = "doc_id long, digest long, at int, size int, n int, f_doc long, f_digest long, f_at int"
+
+
+def runs(copies: DataFrame) -> DataFrame:
+    """``RUNS``: neighbouring copies that are neighbours at their first place too, ``n`` of them in a row."""
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                row = pc.list_parent_indices(part["copies"]).to_numpy()
+                at, size, first = part["copies"].flatten().flatten()
+                doc, digest, f_at = first.flatten()
+                at, size, f_at = (x.to_numpy().astype(np.int64) for x in (at, size, f_at))
+                none, digest = doc.is_null().to_numpy(zero_copy_only=False), digest.to_numpy()
+                doc = doc.fill_null(0).to_numpy()
+                order = np.lexsort((at, at - f_at, digest, doc, none, row))
+                row, at, size, f_at, none, doc, digest = (x[order] for x in (row, at, size, f_at, none, doc, digest))
+                new = np.ones(len(at), bool)
+                new[1:] = at[1:] != (at + size)[:-1]
+                for x in (row, none, doc, digest, at - f_at):
+                    new[1:] |= x[1:] != x[:-1]
+                begin = np.flatnonzero(new)
+                take, n = pa.array(row[begin]), np.diff(np.append(begin, len(at)))
+                total = np.add.reduceat(size, begin) if len(begin) else size
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"].take(take), part["digest"].take(take), pa.array(at[begin], pa.int32()),
+                     pa.array(total, pa.int32()), pa.array(n, pa.int32()), pa.array(doc[begin], mask=none[begin]),
+                     pa.array(digest[begin]), pa.array(f_at[begin], pa.int32())],
+                    names=[c.split()[0] for c in RUNS.split(", ")])
+    return copies.mapInArrow(join, RUNS)
+
+
+def with_borders(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(doc_id, digest, copies)``: runs with the bytes beside their first place and a hash of those in it."""
+    texts = rows.dropDuplicates(["_key"])                   # repeated rows are one document
+    near = found.join(texts, F.col("f_doc").eqNullSafe(F.col("_key.doc_id")) & (F.col("f_digest") == F.col("_key.digest")))
+    border = near.select(
+        "doc_id", "digest",
+        F.struct("at", "size", "n",
+                 F.expr(f"substring(_data, greatest(f_at - {RUN}, 0) + 1, least(f_at, {RUN}))").alias("left"),
+                 F.expr(f"substring(_data, f_at + size + 1, {RUN})").alias("right"),
+                 F.xxhash64(F.expr("substring(_data, f_at + 1, size)")).alias("inside")).alias("run"))
+    # bounded by the chunks of the document
+    return border.groupBy("doc_id", "digest").agg(F.collect_list("run").alias("copies"))
+
+
+def _agreed(a: bytes, b: bytes, order: str) -> int:
+    """Bytes that agree at the start (order "little") or at the end ("big")."""
+    n = min(len(a), len(b))
+    a, b = (a[:n], b[:n]) if order == "little" else (a[len(a) - n:], b[len(b) - n:])
+    x = int.from_bytes(a, order) ^ int.from_bytes(b, order)
+    return ((x & -x).bit_length() - 1) // 8 if x else n
+
+
+def grown(data: bytes, copies) -> tuple[list[tuple[int, int]], int]:
+    """Confirmed runs as ``(start, size)`` of all bytes that agree with the first place, and the chunks in them."""
+    from xxhash import xxh64_intdigest
+
+    out, chunks_in = [], 0
+    for c in copies:
+        a, b = c["at"], c["at"] + c["size"]
+        if xxh64_intdigest(data[a:b], 42) != c["inside"] % (1 << 64):
+            continue
+        chunks_in += c["n"]
+        a -= _agreed(data[max(a - RUN, 0):a], c["left"], "big")
+        b += _agreed(data[b:b + RUN], c["right"], "little")
+        out.append((a, b - a))
+    return out, chunks_in
 
 
 def merged(copies, least: int = RUN) -> list[tuple[int, int]]:
@@ -127,21 +239,31 @@ def merged(copies, least: int = RUN) -> list[tuple[int, int]]:
     return [(a, b) for a, b in runs if b - a >= least]
 
 
-_CLEANED = "struct<text string, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>>"
+def whole_characters(data: bytes, a: int, b: int) -> tuple[int, int]:
+    """The span without the characters at its ends that are only partly inside."""
+    while a < b and data[a] & 0xC0 == 0x80:
+        a += 1
+    while a < b < len(data) and data[b] & 0xC0 == 0x80:
+        b -= 1
+    return a, b
+
+
+_CLEANED = "struct<text string, n_bytes long, n_repeated long, n_removed long, spans array<struct<start:int,end:int>>>"
 
 
 def _without(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for texts, copies in parts:
         out = []
         for data, own in zip(texts, copies, strict=True):
-            spans = merged([(c["at"], c["size"]) for c in own]) if own is not None else []
+            found, repeated = grown(data, own) if own is not None else ([], 0)
+            spans = [whole_characters(data, a, b) for a, b in merged(found)]
             left, last = [], 0
             for a, b in spans:
                 left.append(data[last:a])
                 last = b
-            kept = b"".join([*left, data[last:]]).decode("utf-8", "ignore")    # a cut may split a character
-            out.append((kept, len(data), sum(b - a for a, b in spans), [{"start": a, "end": b} for a, b in spans]))
-        yield pd.DataFrame(out, columns=["text", "n_bytes", "n_removed", "spans"])
+            kept = b"".join([*left, data[last:]]).decode("utf-8", "ignore")
+            out.append((kept, len(data), repeated, sum(b - a for a, b in spans), [{"start": a, "end": b} for a, b in spans]))
+        yield pd.DataFrame(out, columns=["text", "n_bytes", "n_repeated", "n_removed", "spans"])
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -150,8 +272,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     ``n_repeated``: chunks that occurred before; ``spans``: the bytes removed.
     """
     rows = docs.select(row_key().alias("_key"), text_or_empty().cast("binary").alias("_data"))
-    later = later_copies(docs).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "copies")
+    later = with_borders(runs(later_copies(docs)), rows).select(
+        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "copies")
     both = rows.join(later, F.col("_key.doc_id").eqNullSafe(F.col("_id")) & (F.col("_key.digest") == F.col("_digest")), "left")
-    return (both.select("_key", F.coalesce(F.size("copies"), F.lit(0)).cast("long").alias("n_repeated"),
-                        F.pandas_udf(_without, _CLEANED)("_data", "copies").alias("x"))
-            .select(F.col("_key.doc_id").alias("doc_id"), "x.n_bytes", "n_repeated", "x.n_removed", "x.spans", "x.text"))
+    return (both.select("_key", F.pandas_udf(_without, _CLEANED)("_data", "copies").alias("x"))
+            .select(F.col("_key.doc_id").alias("doc_id"), "x.n_bytes", "x.n_repeated", "x.n_removed", "x.spans", "x.text"))

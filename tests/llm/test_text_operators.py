@@ -252,6 +252,44 @@ def test_repeated_passages_go_and_clean_texts_stay(make_docs):
     assert got[5]["text"] == "" and got[5]["n_removed"] == got[5]["n_bytes"]
 
 
+def test_passages_of_51_words_go_at_any_shift(make_docs):
+    import random
+
+    rng = random.Random(51)
+    words = [passage(100 + i, 1) for i in range(300)]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    shared = [say(51) for _ in range(300)] + [passage(1000 + i, 51) for i in range(300)]
+    docs, want = [], {}
+    for i, text in enumerate(shared):
+        docs.append((i, passage(3000 + i, rng.randint(20, 60)) + " " + text + " " + passage(5000 + i, 30)))
+        before, behind = passage(7000 + i, rng.randint(1, 60))[rng.randint(0, 3):] + "#", "#" + passage(9000 + i, rng.randint(1, 60))
+        docs.append((10_000 + i, before + text + behind))
+        want[10_000 + i] = before + behind
+    got = {r["doc_id"]: r for r in substring_dedup.dedup(make_docs(docs)).collect()}
+    assert all(got[i]["n_removed"] == 0 for i in range(len(shared)))
+    assert [i for i in want if got[i]["text"] != want[i]] == []
+
+
+def test_stretches_of_run_bytes_share_a_chunk():
+    import random
+
+    rng = random.Random(8)
+    for i in range(2000):
+        text = passage(i, 40).encode()[:substring_dedup.RUN]
+        found = []
+        for _ in range(2):
+            data = rng.randbytes(rng.randint(0, 200)) + text + rng.randbytes(rng.randint(0, 200))
+            ends, low = substring_dedup.cuts(data), data.index(text)
+            found.append({(a - low, b - low) for a, b in itertools.pairwise([0, *ends]) if a >= low and b <= low + len(text)})
+        assert found[0] & found[1]
+
+
+def test_a_partly_repeated_character_stays(make_docs):
+    shared = passage(0, 40)
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.dedup(make_docs([(1, "x" + shared + "é."), (2, "y" + shared + "è!")])).collect()}
+    assert got[2] == "yè!"
+
+
 def test_substring_odd_rows(odd_docs, no_docs):
     got = {(r["doc_id"], r["n_bytes"], r["n_removed"] > 0) for r in substring_dedup.dedup(odd_docs).collect()}
     assert {(1, 0, False), (2, 0, False), (None, 28, False)} <= got
