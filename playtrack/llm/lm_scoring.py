@@ -296,3 +296,29 @@ select w.doc_id, cast(len(w.w) as bigint) as n_words, cast(coalesce(sum(backed),
        round(coalesce(sum(s), 0.0), 3) as log_score, round(sum(s) / len(w.w), 5) as mean_log_score
 from w left join scored on scored.doc_id = w.doc_id group by w.doc_id, w.w
 """
+
+REPORT_SQL_3 = r"""
+with w as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+t as (select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as c from w),
+g as (select doc_id, i, c, lag(c) over (partition by doc_id order by i) as b,
+             lag(c, 2) over (partition by doc_id order by i) as a from t),
+one as (select c, count(*) as n from g group by c),
+two as (select b, c, count(*) as n from g where b is not null group by b, c),
+three as (select a, b, c, count(*) as n from g where a is not null group by a, b, c),
+scored as (
+    select g.doc_id,
+           case when three.n >= 2 then ln(three.n / pair.n)
+                when two.n >= 2 then ln(two.n / ctx.n) + case when g.a is null then 0 else ln(0.4) end
+                else ln(one.n / (select count(*) from g))
+                     + ln(0.4) * (case when g.b is null then 0 when g.a is null then 1 else 2 end) end as s,
+           case when g.a is not null then case when three.n < 2 then 1 else 0 end
+                when g.b is not null and two.n < 2 then 1 else 0 end as backed
+    from g join one on one.c = g.c left join two on two.b = g.b and two.c = g.c
+    left join three on three.a = g.a and three.b = g.b and three.c = g.c
+    left join one ctx on ctx.c = g.b left join two pair on pair.b = g.a and pair.c = g.b)
+select w.doc_id, cast(len(w.w) as bigint) as n_words, cast(coalesce(sum(backed), 0) as bigint) as n_backed_off,
+       round(coalesce(sum(s), 0.0), 3) as log_score, round(sum(s) / len(w.w), 5) as mean_log_score
+from w left join scored on scored.doc_id = w.doc_id group by w.doc_id, w.w
+"""

@@ -156,6 +156,17 @@ def test_lm_scores_equal_brute_force(make_docs, order, block):
         assert (got[i]["mean_log_score"] is None) == (n == 0)
 
 
+@have_data
+def test_a_registered_query_scores_with_trigrams(spark):
+    from playtrack.llm import queries
+
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    want = dict(zip((d for d, _ in docs), brute_scores([t for _, t in docs], 3, 2), strict=True))
+    got = {r["doc_id"]: r for r in queries.QUERIES["op2_lm_scoring_order3"](spark, SF).collect()}
+    assert set(got) == set(want)
+    assert all(got[d]["n_words"] == n and abs(got[d]["log_score"] - s) < 1e-3 for d, (n, s) in want.items())
+
+
 def test_lm_odd_rows(odd_docs, no_docs):
     rows = lm_scoring.score(odd_docs).collect()
     assert len(rows) == 10 and {r["n_words"] for r in rows if r["doc_id"] in (1, 2, 7)} == {0}
