@@ -1,6 +1,8 @@
 """Language identification by Bayesian evidence fusion.
 
-The posterior over the modelled languages and ``und`` (none of them) combines
+The modelled languages are ``LANGUAGES`` and all others that at least
+``LEAST_ROWS`` rows with a text declare (the ``MOST_LANGUAGES`` most frequent,
+if there are more).  The posterior over them and ``und`` (none of them) combines
 
 * text: hashed byte-trigram likelihoods, learned from all rows that declare a
   modelled language.  Neighbouring trigrams are not independent, so ``n`` of
@@ -35,7 +37,9 @@ from pyspark.sql import functions as F
 
 from .common import read_table, saved, sized_broadcast
 
-LANGUAGES = ("en", "fr", "de", "es")
+LANGUAGES = ("en", "fr", "de", "es")     # modelled in any table; others by their declared rows
+LEAST_ROWS = 20          # declared rows with text that make a language modelled
+MOST_LANGUAGES = 200     # modelled at once, those of most rows: bounds the model
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -56,6 +60,14 @@ def trigrams(text: str) -> Iterator[np.ndarray]:
         yield ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
 
 
+def modelled(rows: DataFrame, least: int = LEAST_ROWS) -> tuple[str, ...]:
+    """``LANGUAGES`` and every other language that ``least`` rows with a text declare, by name."""
+    more = (rows.where(~F.col("declared").isin("", UNKNOWN, *LANGUAGES) & (F.trim("text") != ""))
+            .groupBy("declared").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+            .orderBy(F.desc("n"), "declared").limit(MOST_LANGUAGES - len(LANGUAGES)).collect())
+    return (*LANGUAGES, *sorted(r["declared"] for r in more))
+
+
 def train(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
     """Log likelihoods ``[language, bucket]`` from all rows (``text``, ``declared``) of a modelled language."""
     def count(batches):
@@ -160,22 +172,24 @@ def page_evidence(pages: DataFrame) -> DataFrame:
 def accepted_documents(docs: DataFrame) -> DataFrame:
     """``docs`` without those that are rejected; columns as they are."""
     rows = document_evidence(docs)
-    out = identify(rows, train(rows), host_priors(rows))
+    known = modelled(rows)
+    out = identify(rows, train(rows, known), host_priors(rows, known), known, known)
     return out.where("id.accepted").select("_row.*")
 
 
 def identify_all(spark, sf_dir: str) -> DataFrame:
     """Every document and every page with its language.
 
-    One text model is learned from all documents; each table has its own host
-    priors.  ``doc_id`` is null in rows of pages, ``page_id`` in rows of documents.
+    One text model of the languages that the documents declare is learned from
+    all documents; each table has its own host priors.  ``doc_id`` is null in rows of pages, ``page_id`` in rows of documents.
     """
     docs = document_evidence(read_table(spark, sf_dir, "documents"))
     pages = page_evidence(read_table(spark, sf_dir, "pages"))
-    model = train(docs)
+    known = modelled(docs)
+    model = train(docs, known)
     none = F.lit(None).cast("long")
-    a = identify(docs, model, host_priors(docs)).select(
+    a = identify(docs, model, host_priors(docs, known), known, known).select(
         F.col("_row.doc_id").cast("long").alias("doc_id"), none.alias("page_id"), "id.*")
-    b = identify(pages, model, host_priors(pages)).select(
+    b = identify(pages, model, host_priors(pages, known), known, known).select(
         none.alias("doc_id"), F.col("_row.page_id").cast("long").alias("page_id"), "id.*")
     return a.unionByName(b)

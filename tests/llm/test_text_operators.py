@@ -126,6 +126,19 @@ def test_language_fusion(make_docs):
     assert out[53]["lang"] == "und"
 
 
+def test_a_fifth_declared_language_is_modelled(make_docs):
+    italian = "il gatto e gli uccelli sono nella casa che si trova vicino alla strada della città "
+    docs = [(i, ENGLISH * 30, "en", "h0", 1) for i in range(30)] + [(i + 30, italian * 30, "it", "h1", 1) for i in range(30)]
+    docs += [(i + 60, FRENCH * 30, "fr", "h2", 1) for i in range(30)] + [(90, "ja nie wiem " * 30, "pl", "h3", 1)]
+    table = make_docs(docs)
+    assert language_id.modelled(language_id.document_evidence(table)) == (*language_id.LANGUAGES, "it")
+    assert set(range(90)) <= {r["doc_id"] for r in language_id.accepted_documents(table).collect()}
+    rows = language_id.document_evidence(table)
+    known = language_id.modelled(rows)
+    out = language_id.identify(rows, language_id.train(rows, known), language_id.host_priors(rows, known), known, known).collect()
+    assert {r["id"]["lang"] for r in out if 30 <= r["_row"]["doc_id"] < 60} == {"it"}
+
+
 def test_host_prior_is_smoothed_by_suffix(spark):
     rows = spark.createDataFrame(
         [("a.fr", "fr", "fr")] * 30 + [("b.fr", "fr", "en")] + [("c.com", "com", "en")] * 50 + [(None, None, None)],
