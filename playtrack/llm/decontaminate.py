@@ -14,8 +14,8 @@ The lists kept per document are bounded by its own words and by the items.
 
 Defined cases: null text has no words; a document or item without words is
 never hit; a null item id counts as one item but gives no text in the digest;
-rows that repeat an id and text share one result; an empty benchmark hits
-nothing; empty documents give no rows; other columns pass through.
+rows that repeat an id and text share one result, which the report gives once
+a row; an empty benchmark hits nothing; empty documents give no rows; other columns pass through.
 """
 
 from __future__ import annotations
@@ -57,7 +57,7 @@ def _hash_words(w: Column, at: Column, n: int) -> Column:
 
 
 def _hits(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """Per row key: ``n_words``, hit windows ``(at, n)`` and lists of items."""
+    """Per row key: ``n_rows`` that have it, ``n_words``, hit windows ``(at, n)`` and lists of items."""
     grams = saved(benchmark_windows(items, size), "bench-windows")
     lengths = sorted(r["n"] for r in grams.select("n").distinct().collect())      # at most ``size`` numbers
     table = grams.select(F.col("n").alias("_n"), F.col("h").alias("_h"), "gram", "items")
@@ -82,19 +82,21 @@ def _hits(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
         n_words, same = F.col("n_words"), F.col("own") == F.col("gram")
     met = probe.join(lookup, (F.col("h") == F.col("_h")) & (F.col("n") == F.col("_n")) & same, "left")
     return (met.where((F.col("at") < 0) | F.col("gram").isNotNull())
-            .groupBy("k").agg(F.max(n_words).alias("n_words"),
+            # each row has one marker per window length, and one if there are no windows
+            .groupBy("k").agg(F.floor(F.count(F.when(F.col("at") < 0, 1)) / max(len(lengths), 1)).alias("n_rows"),
+                              F.max(n_words).alias("n_words"),
                               F.collect_set(F.when(F.col("at") >= 0, F.struct("at", "n"))).alias("spans"),
                               F.collect_set("items").alias("items")))
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:
-    """``(doc_id, digest, n_words, n_hit, item_ids, spans, contaminated)`` per distinct ``(doc_id, text)``.
+    """``(doc_id, digest, n_rows, n_words, n_hit, item_ids, spans, contaminated)`` per distinct ``(doc_id, text)``.
 
-    ``spans``: hit windows as ``(at, n)``, counted in words from 0.
+    ``n_rows``: rows that hold it; ``spans``: hit windows as ``(at, n)``, counted in words from 0.
     """
     covered = F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1)))
     return (_hits(docs, items, size)
-            .select("k.doc_id", "k.digest", F.col("n_words").cast("long").alias("n_words"),
+            .select("k.doc_id", "k.digest", "n_rows", F.col("n_words").cast("long").alias("n_words"),
                     F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
                     F.array_distinct(F.flatten("items")).alias("item_ids"), F.array_sort("spans").alias("spans"))
             .withColumn("contaminated", F.col("n_hit") > 0))
@@ -129,10 +131,11 @@ def remove_spans(docs: DataFrame, items: DataFrame, size: int = SIZE) -> DataFra
 
 
 def report(found: DataFrame) -> DataFrame:
-    """The digest columns of ``contamination``."""
+    """The digest columns of ``contamination``, once for every row of the documents."""
     names = F.array_sort(F.transform("item_ids", lambda x: x.cast("string")))
-    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
-                        F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), "contaminated")
+    digest = found.select("n_rows", "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                          F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), "contaminated")
+    return digest.select("*", F.explode(F.sequence(F.lit(1), "n_rows"))).drop("n_rows", "col")
 
 
 REPORT_SQL = r"""

@@ -97,6 +97,18 @@ def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     assert not any(r["contaminated"] for r in decontaminate.contamination(odd_docs, items.limit(0)).collect())
 
 
+def test_decontamination_reports_every_row(spark, odd_docs, monkeypatch):
+    items = spark.createDataFrame([(1, "c d e f"), (None, "other")], "item_id long, text string")
+    want = sorted(str(r["doc_id"]) for r in odd_docs.collect())
+    for own in (items, items.limit(0)):
+        got = decontaminate.report(decontaminate.contamination(odd_docs, own)).collect()
+        assert sorted(str(r["doc_id"]) for r in got) == want
+    monkeypatch.setattr(decontaminate, "sized_broadcast", lambda df, width: df)
+    got = decontaminate.report(decontaminate.contamination(odd_docs, items)).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == want
+    assert [r["contaminated"] for r in got if r["doc_id"] == 3] == [True, True]
+
+
 def test_decontamination_stays_native(spark, make_docs):
     items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     df = decontaminate.report(decontaminate.contamination(make_docs([(1, "a b c")]), items))
