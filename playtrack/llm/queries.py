@@ -15,6 +15,7 @@ from . import (
     line_dedup,
     lm_scoring,
     packing,
+    phrases,
     quality,
     simhash,
     substring_dedup,
@@ -73,13 +74,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op2_lm_scoring_order3, op3_packing, op4_line_dedup,
-                            op5_token_files, op6_exact_top_k, op7_decontamination, op8_quality, op9_language_id, op10_simhash, pipeline)}
+                            op5_token_files, op6_exact_top_k, op7_decontamination, op8_quality, op9_language_id, op10_simhash,
+                            op11_collocations, pipeline)}
 
 ORACLES: dict[str, str] = {
     "op2_lm_scoring": lm_scoring.REPORT_SQL,
@@ -87,4 +93,5 @@ ORACLES: dict[str, str] = {
     "op4_line_dedup": line_dedup.REPORT_SQL,
     "op6_exact_top_k": topk.REPORT_SQL,
     "op7_decontamination": decontaminate.REPORT_SQL,
+    "op11_collocations": phrases.REPORT_SQL,
 }
