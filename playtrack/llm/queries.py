@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from . import (
+    byte_bpe,
     decontaminate,
     language_id,
     line_dedup,
@@ -78,6 +79,13 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine(read_table(spark, sf_dir, "documents"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = byte_bpe.decode(byte_bpe.encode(read_table(spark, sf_dir, "documents")))
+    decimals = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimals, 256).alias("ids_sha256"),
+                        F.sha2("data", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -85,7 +93,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op2_lm_scoring_order3, op3_packing, op4_line_dedup,
                             op5_token_files, op6_exact_top_k, op7_decontamination, op8_quality, op9_language_id, op10_simhash,
-                            op11_collocations, pipeline)}
+                            op11_collocations, op12_byte_bpe, pipeline)}
 
 ORACLES: dict[str, str] = {
     "op2_lm_scoring": lm_scoring.REPORT_SQL,
