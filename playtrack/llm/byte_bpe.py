@@ -58,7 +58,7 @@ BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {
     b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
 _CUT = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
 # the rest of the white space, which may stand beside that of _CUT in one match
-_OTHER_SPACE = re.compile("[\x0b\x0c\x85\xa0  -     　]")
+_OTHER_SPACE = re.compile("[\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _LOADED: dict[tuple[str, str], ByteBpe] = {}
 _NO_CHARACTER = "\ufffd".encode()
 
