@@ -8,12 +8,15 @@ candidate has at least ``inside`` percent of the occurrences are dropped.
 
 1. ``word_blocks``: words of about ``BLOCK_TOKENS`` tokens as numbers into the
    block's own word list, written to the shared folder.
-2. ``summaries``: the distinct n-grams of a block (64-bit hashes that depend on
-   the language) with their counts, one row per hash bucket.
+2. ``summaries``: the distinct n-grams of a block (hashes that depend on the
+   language, ``SPARE_BITS`` wider than the corpus' mass) with their counts, one
+   row per hash bucket.  Equal hashes can only add survivors, never lose one.
 3. ``survivors``: a bucket merges its summaries into one of a capacity above
    its mass divided by ``least``.  A merged counter is short by at most
    mass / (capacity + 1), which is less than ``least``; so every n-gram that
-   occurs ``least`` times survives.  Each block gets the survivors among its own.
+   occurs ``least`` times still has a counter, and survives: a counter goes
+   only if it and what merging took from it are below ``least`` together.
+   Each block gets the survivors among its own.
 4. ``exact_counts``: a second pass over the blocks counts the survivors as
    words, not as hashes (equal hashes of different words are told apart), and
    the counts are added up by language and phrase.
@@ -54,6 +57,7 @@ NO_LANGUAGE = "und"
 BREAKS = b".,;:!?\n\x0b\x0c\r"      # fixed by the result's definition
 BLOCK_TOKENS = 1 << 20
 BUCKET_BYTES = 16 << 20
+SPARE_BITS = 10         # one n-gram in 2^10 or fewer shares its hash
 BLOCK_SCHEMA = "block long, skip int, langs array<string>, tokens binary, lang_of binary, words binary"
 # letters in lower case, every break as the first one
 _PLAIN = bytes(BREAKS[0] if i in BREAKS else i + 32 if 65 <= i <= 90 else i for i in range(256))
@@ -151,7 +155,7 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class _Grams:
     """The n-grams of a block: per order the places where one ends, and its hash there."""
 
-    def __init__(self, row, longest: int):
+    def __init__(self, row, longest: int, bits: int = 64):
         from xxhash import xxh3_64_intdigest
 
         self.tokens = _unplaned(row["tokens"], "<u4").astype(np.int64)
@@ -171,21 +175,21 @@ class _Grams:
                 hashed = _mix(np.append(np.uint64(0), hashed[:-1]), own)
             ends = np.flatnonzero(whole & counted)
             self.ends.append(ends)
-            self.hashes.append(hashed[ends])
+            self.hashes.append(hashed[ends] >> np.uint64(64 - bits))
 
     def phrase(self, end: int, n: int) -> bytes:
         return b" ".join([self.words[t] for t in self.tokens[end - n + 1:end + 1]])
 
 
-def summaries(blocks: DataFrame, longest: int, buckets: int) -> DataFrame:
+def summaries(blocks: DataFrame, longest: int, buckets: int, bits: int = 64) -> DataFrame:
     """``(bucket, block, grams, counts)``: a block's distinct n-grams of all orders in a bucket, sorted by hash."""
-    step = (1 << 64) // buckets
+    step = (1 << bits) // buckets
     bounds = np.array([i * step for i in range(1, buckets)], np.uint64)
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                grams, counts = np.unique(np.concatenate(_Grams(row, longest).hashes), return_counts=True)
+                grams, counts = np.unique(np.concatenate(_Grams(row, longest, bits).hashes), return_counts=True)
                 edges = [0, *np.searchsorted(grams, bounds).tolist(), len(grams)]
                 out = [(i, row["block"], _sorted_hashes(grams[a:b]), _planes(counts[a:b].astype("<u4")))
                        for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
@@ -199,12 +203,12 @@ def summaries(blocks: DataFrame, longest: int, buckets: int) -> DataFrame:
 class MisraGries:
     """A summary of at most ``capacity`` counters over 64-bit keys; summaries merge.
 
-    A counter is never above the key's true count and at most
-    ``mass / (capacity + 1)`` below it, however the counts arrived.
+    A counter is never above the key's true count and at most ``short`` below
+    it, however the counts arrived; ``short`` is at most ``mass / (capacity + 1)``.
     """
 
     def __init__(self, capacity: int):
-        self.capacity = capacity
+        self.capacity, self.short = capacity, 0
         self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def merge(self, keys: np.ndarray, counts: np.ndarray) -> None:
@@ -217,9 +221,14 @@ class MisraGries:
             # the counter next after the largest ``capacity`` ones goes to zero; each of those loses as much
             less = np.partition(counts, len(counts) - self.capacity - 1)[len(counts) - self.capacity - 1]
             counts = counts - less
+            self.short += int(less)
             keys, counts = keys[counts > 0], counts[counts > 0]
         self.keys, self.counts = keys, counts
 
+    def at_least(self, least: int) -> np.ndarray:
+        """All keys whose true count may be ``least``, sorted; needs a mass below ``least (capacity + 1)``."""
+        return self.keys[self.counts + self.short >= least]
+
 
 def survivors(asked: DataFrame, least: int, buckets: int, merged_at_once: int = 32) -> DataFrame:
     """``(block, grams)``: the block's n-grams of a bucket that its merged summary still holds."""
@@ -230,20 +239,20 @@ def survivors(asked: DataFrame, least: int, buckets: int, merged_at_once: int =
         for at in range(0, len(grams), merged_at_once):
             summary.merge(np.concatenate(grams[at:at + merged_at_once]),
                           np.concatenate(counts[at:at + merged_at_once]).astype(np.int64))
-        kept = []
+        kept, often = [], summary.at_least(least)
         for own in grams:
-            at = np.searchsorted(summary.keys, own)
-            at[at == len(summary.keys)] = 0
-            kept.append(_sorted_hashes(own[summary.keys[at] == own] if len(summary.keys) else own[:0]))
+            at = np.searchsorted(often, own)
+            at[at == len(often)] = 0
+            kept.append(_sorted_hashes(own[often[at] == own] if len(often) else own[:0]))
         return pd.DataFrame({"block": pdf["block"], "grams": kept})
     least_parts = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (asked.repartition(max(least_parts, buckets), "bucket").groupBy("bucket")
             .applyInPandas(reduce, "block long, grams binary"))
 
 
-def _counted(row, keep: np.ndarray, longest: int) -> Counter:
+def _counted(row, keep: np.ndarray, longest: int, bits: int = 64) -> Counter:
     """Occurrences of a block's phrases whose hash is in ``keep`` (sorted), and of each language's words (phrase None)."""
-    grams, out = _Grams(row, longest), Counter()
+    grams, out = _Grams(row, longest, bits), Counter()
     words = np.bincount(grams.lang_of[grams.tokens[grams.ends[0]]], minlength=len(grams.langs))
     out.update({(x, None): n for x, n in zip(grams.langs, words.tolist(), strict=True)})
     for n, (ends, hashed) in enumerate(zip(grams.ends, grams.hashes, strict=True), 1):
@@ -266,12 +275,12 @@ def _counted(row, keep: np.ndarray, longest: int) -> Counter:
     return out
 
 
-def exact_counts(blocks: DataFrame, kept: DataFrame, longest: int, least: int) -> DataFrame:
+def exact_counts(blocks: DataFrame, kept: DataFrame, longest: int, least: int, bits: int = 64) -> DataFrame:
     """``(lang, phrase, a)`` of all phrases of ``least`` occurrences; with a null phrase: the words of a language."""
     def count(own: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         keep = np.sort(np.concatenate([np.zeros(0, np.uint64), *(_hashes(x) for x in got["grams"])]))
         rows = [(lang, None if x is None else x.decode("utf-8", "replace"), n)
-                for row in own.to_dict("records") for (lang, x), n in _counted(row, keep, longest).items()]
+                for row in own.to_dict("records") for (lang, x), n in _counted(row, keep, longest, bits).items()]
         return pd.DataFrame(rows, columns=["lang", "phrase", "a"])
     found = blocks.groupBy("block").cogroup(kept.groupBy("block")).applyInPandas(count, "lang string, phrase string, a long")
     return (found.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
@@ -283,9 +292,11 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, b
     spark = docs.sparkSession
     blocks = saved(word_blocks(docs, longest, block_tokens), "phrase-blocks")
     tokens = blocks.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // 4 * longest * 12 // BUCKET_BYTES))
-    kept = survivors(summaries(blocks, longest, buckets), least, buckets)
-    return saved(exact_counts(blocks, kept, longest, least), "phrase-counts")
+    mass = tokens // 4 * longest
+    bits = min(64, max(32, mass.bit_length() + SPARE_BITS))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-mass * 12 // BUCKET_BYTES))
+    kept = survivors(summaries(blocks, longest, buckets, bits), least, buckets)
+    return saved(exact_counts(blocks, kept, longest, least, bits), "phrase-counts")
 
 
 def _score(a: str, l: str, r: str) -> Column:  # noqa: E741

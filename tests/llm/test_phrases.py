@@ -84,6 +84,7 @@ def test_every_frequent_key_survives_merging(parts, least):
     kept = dict(zip(summary.keys.tolist(), summary.counts.tolist(), strict=True))
     assert len(kept) <= summary.capacity
     assert all(k in kept for k, n in total.items() if n >= least)
+    assert {k for k, n in total.items() if n >= least} <= set(summary.at_least(least).tolist()) <= set(kept)
     assert all(total[k] - least < n <= total[k] for k, n in kept.items())
 
 
@@ -96,6 +97,7 @@ def test_a_small_summary_stays_small_and_bounded():
         summary.merge(keys, np.ones(len(keys), np.int64))
     assert len(summary.keys) <= 50
     short = sum(true.values()) / 51
+    assert 0 < summary.short <= short
     assert all(true[k] - short <= n <= true[k] for k, n in zip(summary.keys.tolist(), summary.counts.tolist(), strict=True))
     assert all(k in summary.keys for k, n in true.items() if n > short)
 
