@@ -22,11 +22,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read back."""
+def saved(df: DataFrame, label: str, **options) -> DataFrame:
+    """``df`` written to the shared scratch folder (with the writer's ``options``) and read back."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

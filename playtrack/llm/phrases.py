@@ -55,7 +55,7 @@ FIRST = 2000            # ranks reported per language
 SCALE = 1_000_000
 NO_LANGUAGE = "und"
 BREAKS = b".,;:!?\n\x0b\x0c\r"      # fixed by the result's definition
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 BUCKET_BYTES = 16 << 20
 SPARE_BITS = 10         # one n-gram in 2^10 or fewer shares its hash
 BLOCK_SCHEMA = "block long, skip int, langs array<string>, tokens binary, lang_of binary, words binary"
@@ -153,50 +153,59 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class _Grams:
-    """The n-grams of a block: per order the places where one ends, and its hash there."""
+    """The n-grams of a block."""
 
     def __init__(self, row, longest: int, bits: int = 64):
-        from xxhash import xxh3_64_intdigest
-
-        self.tokens = _unplaned(row["tokens"], "<u4").astype(np.int64)
+        self.longest, self.bits, self.skip = longest, bits, row["skip"]
+        self.tokens = _unplaned(row["tokens"], "<u4").astype(np.int32)
         self.words = row["words"].split(b" ")
         self.langs = list(row["langs"])
         self.lang_of = _unplaned(row["lang_of"], "<u4")
+
+    def orders(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per order the places where an n-gram ends (it counts there), and its hash; one order in memory at a time."""
+        from xxhash import xxh3_64_intdigest
+
         seeds = [xxh3_64_intdigest(x) for x in self.langs] or [0]
-        of_word = np.fromiter((xxh3_64_intdigest(w, seeds[of]) for w, of in zip(self.words, self.lang_of.tolist(), strict=True)),
-                              np.uint64, len(self.words))
-        own = of_word[self.tokens]
+        own = np.fromiter((xxh3_64_intdigest(w, seeds[of]) for w, of in zip(self.words, self.lang_of.tolist(), strict=True)),
+                          np.uint64, len(self.words))[self.tokens]
         whole, hashed = self.tokens > 0, own
-        counted = np.arange(len(self.tokens)) >= row["skip"]      # an n-gram counts where it ends
-        self.ends, self.hashes = [], []
-        for n in range(1, longest + 1):
+        for n in range(1, self.longest + 1):
             if n > 1:
                 whole = np.append(False, whole[:-1]) & (self.tokens > 0)
                 hashed = _mix(np.append(np.uint64(0), hashed[:-1]), own)
-            ends = np.flatnonzero(whole & counted)
-            self.ends.append(ends)
-            self.hashes.append(hashed[ends] >> np.uint64(64 - bits))
+            ends = np.flatnonzero(whole)
+            ends = ends[np.searchsorted(ends, self.skip):].astype(np.int32)
+            yield n, ends, hashed[ends] >> np.uint64(64 - self.bits)
 
     def phrase(self, end: int, n: int) -> bytes:
         return b" ".join([self.words[t] for t in self.tokens[end - n + 1:end + 1]])
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one: a batch may hold many blocks."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def summaries(blocks: DataFrame, longest: int, buckets: int, bits: int = 64) -> DataFrame:
     """``(bucket, block, grams, counts)``: a block's distinct n-grams of all orders in a bucket, sorted by hash."""
     step = (1 << bits) // buckets
     bounds = np.array([i * step for i in range(1, buckets)], np.uint64)
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                grams, counts = np.unique(np.concatenate(_Grams(row, longest, bits).hashes), return_counts=True)
-                edges = [0, *np.searchsorted(grams, bounds).tolist(), len(grams)]
-                out = [(i, row["block"], _sorted_hashes(grams[a:b]), _planes(counts[a:b].astype("<u4")))
-                       for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
-                if out:
-                    types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
-                                                     names=["bucket", "block", "grams", "counts"])
+        for row in _rows(batches):
+            own = MisraGries(len(row["tokens"]) * longest)      # room for every n-gram: exact
+            for _, _, hashed in _Grams(row, longest, bits).orders():
+                own.merge(*np.unique(hashed, return_counts=True))
+            edges = [0, *np.searchsorted(own.keys, bounds).tolist(), len(own.keys)]
+            out = [(i, row["block"], _sorted_hashes(own.keys[a:b]), _planes(own.counts[a:b].astype("<u4")))
+                   for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+            if out:
+                types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
+                                                 names=["bucket", "block", "grams", "counts"])
     return blocks.mapInArrow(summarise, "bucket int, block long, grams binary, counts binary")
 
 
@@ -253,16 +262,17 @@ def survivors(asked: DataFrame, least: int, buckets: int, merged_at_once: int =
 def _counted(row, keep: np.ndarray, longest: int, bits: int = 64) -> Counter:
     """Occurrences of a block's phrases whose hash is in ``keep`` (sorted), and of each language's words (phrase None)."""
     grams, out = _Grams(row, longest, bits), Counter()
-    words = np.bincount(grams.lang_of[grams.tokens[grams.ends[0]]], minlength=len(grams.langs))
-    out.update({(x, None): n for x, n in zip(grams.langs, words.tolist(), strict=True)})
-    for n, (ends, hashed) in enumerate(zip(grams.ends, grams.hashes, strict=True), 1):
+    for n, ends, hashed in grams.orders():
+        if n == 1:
+            words = np.bincount(grams.lang_of[grams.tokens[ends]], minlength=len(grams.langs))
+            out.update({(x, None): m for x, m in zip(grams.langs, words.tolist(), strict=True)})
         if not len(keep):
             break
         at = np.searchsorted(keep, hashed)
         at[at == len(keep)] = 0
         hit = keep[at] == hashed
         at, ends = at[hit], ends[hit]
-        first = np.zeros(len(keep), np.int64)
+        first = np.zeros(len(keep), np.int32)
         first[at[::-1]] = ends[::-1]
         # two phrases may share a hash: those that differ from the first with it are counted by their words
         same = np.ones(len(at), bool)
@@ -290,7 +300,7 @@ def exact_counts(blocks: DataFrame, kept: DataFrame, longest: int, least: int, b
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``exact_counts`` of documents, written to the shared folder."""
     spark = docs.sparkSession
-    blocks = saved(word_blocks(docs, longest, block_tokens), "phrase-blocks")
+    blocks = saved(word_blocks(docs, longest, block_tokens), "phrase-blocks", **{"parquet.block.size": 16 << 20})
     tokens = blocks.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
     mass = tokens // 4 * longest
     bits = min(64, max(32, mass.bit_length() + SPARE_BITS))
