@@ -62,6 +62,7 @@ BLOCK_SCHEMA = "block long, skip int, langs array<string>, tokens binary, lang_o
 # letters in lower case, every break as the first one
 _PLAIN = bytes(BREAKS[0] if i in BREAKS else i + 32 if 65 <= i <= 90 else i for i in range(256))
 _BREAK = BREAKS[:1]
+_TABLE_BITS = 22
 
 
 def _planes(a: np.ndarray) -> bytes:
@@ -162,21 +163,32 @@ class _Grams:
         self.langs = list(row["langs"])
         self.lang_of = _unplaned(row["lang_of"], "<u4")
 
-    def orders(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per order the places where an n-gram ends (it counts there), and its hash; one order in memory at a time."""
+    def word_hashes(self) -> np.ndarray:
         from xxhash import xxh3_64_intdigest
 
         seeds = [xxh3_64_intdigest(x) for x in self.langs] or [0]
-        own = np.fromiter((xxh3_64_intdigest(w, seeds[of]) for w, of in zip(self.words, self.lang_of.tolist(), strict=True)),
-                          np.uint64, len(self.words))[self.tokens]
+        return np.fromiter((xxh3_64_intdigest(w, seeds[of]) for w, of in zip(self.words, self.lang_of.tolist(), strict=True)),
+                           np.uint64, len(self.words))
+
+    def word_counts(self) -> np.ndarray:
+        """Occurrences of each word of the block's list that count here (the first is the break)."""
+        counts = np.bincount(self.tokens[self.skip:], minlength=len(self.words))
+        counts[0] = 0
+        return counts
+
+    def phrases(self, own: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per order from 2 the places where a phrase ends (it counts there), and its hash; one order in memory at a time."""
+        own = own[self.tokens]
         whole, hashed = self.tokens > 0, own
-        for n in range(1, self.longest + 1):
-            if n > 1:
-                whole = np.append(False, whole[:-1]) & (self.tokens > 0)
-                hashed = _mix(np.append(np.uint64(0), hashed[:-1]), own)
+        for n in range(2, self.longest + 1):
+            whole = np.append(False, whole[:-1]) & (self.tokens > 0)
+            hashed = _mix(np.append(np.uint64(0), hashed[:-1]), own)
             ends = np.flatnonzero(whole)
             ends = ends[np.searchsorted(ends, self.skip):].astype(np.int32)
-            yield n, ends, hashed[ends] >> np.uint64(64 - self.bits)
+            yield n, ends, self.narrow(hashed[ends])
+
+    def narrow(self, hashes: np.ndarray) -> np.ndarray:
+        return hashes >> np.uint64(64 - self.bits)
 
     def phrase(self, end: int, n: int) -> bytes:
         return b" ".join([self.words[t] for t in self.tokens[end - n + 1:end + 1]])
@@ -187,6 +199,8 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
             yield batch.slice(i, 1).to_pylist()[0]
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def summaries(blocks: DataFrame, longest: int, buckets: int, bits: int = 64) -> DataFrame:
@@ -196,9 +210,12 @@ def summaries(blocks: DataFrame, longest: int, buckets: int, bits: int = 64) ->
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            own = MisraGries(len(row["tokens"]) * longest)      # room for every n-gram: exact
-            for _, _, hashed in _Grams(row, longest, bits).orders():
-                own.merge(*np.unique(hashed, return_counts=True))
+            block = _Grams(row, longest, bits)
+            words, n_words = block.word_hashes(), block.word_counts()
+            grams, counts = np.unique(np.concatenate([h for _, _, h in block.phrases(words)]), return_counts=True)
+            used = n_words > 0
+            own = MisraGries(len(grams) + len(words))               # room for every n-gram: exact
+            own.merge(np.concatenate([grams, block.narrow(words[used])]), np.concatenate([counts, n_words[used]]))
             edges = [0, *np.searchsorted(own.keys, bounds).tolist(), len(own.keys)]
             out = [(i, row["block"], _sorted_hashes(own.keys[a:b]), _planes(own.counts[a:b].astype("<u4")))
                    for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
@@ -262,15 +279,22 @@ def survivors(asked: DataFrame, least: int, buckets: int, merged_at_once: int =
 def _counted(row, keep: np.ndarray, longest: int, bits: int = 64) -> Counter:
     """Occurrences of a block's phrases whose hash is in ``keep`` (sorted), and of each language's words (phrase None)."""
     grams, out = _Grams(row, longest, bits), Counter()
-    for n, ends, hashed in grams.orders():
-        if n == 1:
-            words = np.bincount(grams.lang_of[grams.tokens[ends]], minlength=len(grams.langs))
-            out.update({(x, None): m for x, m in zip(grams.langs, words.tolist(), strict=True)})
-        if not len(keep):
-            break
-        at = np.searchsorted(keep, hashed)
-        at[at == len(keep)] = 0
-        hit = keep[at] == hashed
+    lang = [grams.langs[i] for i in grams.lang_of.tolist()] if grams.langs else []
+    hashes, n_words = grams.word_hashes(), grams.word_counts()
+    for i in np.flatnonzero(n_words).tolist():
+        out[lang[i], None] += int(n_words[i])
+    if not len(keep):
+        return out
+    for i in np.flatnonzero((n_words > 0) & _among(grams.narrow(hashes), keep)[0]).tolist():
+        out[lang[i], grams.words[i]] += int(n_words[i])
+    # most phrases are told to be none of ``keep`` by the highest bits of their hash
+    fewer = np.uint64(max(bits - _TABLE_BITS, 0))
+    maybe = np.zeros(1 << min(bits, _TABLE_BITS), bool)
+    maybe[keep >> fewer] = True
+    for n, ends, hashed in grams.phrases(hashes):
+        some = maybe[hashed >> fewer]
+        ends, hashed = ends[some], hashed[some]
+        hit, at = _among(hashed, keep)
         at, ends = at[hit], ends[hit]
         first = np.zeros(len(keep), np.int32)
         first[at[::-1]] = ends[::-1]
@@ -281,10 +305,17 @@ def _counted(row, keep: np.ndarray, longest: int, bits: int = 64) -> Counter:
         total = np.bincount(at[same], minlength=len(keep))
         some = np.flatnonzero(total)
         for end, times in [*zip(first[some].tolist(), total[some].tolist(), strict=True), *((e, 1) for e in ends[~same].tolist())]:
-            out[grams.langs[grams.lang_of[grams.tokens[end]]], grams.phrase(end, n)] += times
+            out[lang[grams.tokens[end]], grams.phrase(end, n)] += times
     return out
 
 
+def _among(hashes: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which hashes are in ``keep`` (sorted, not empty), and where."""
+    at = np.searchsorted(keep, hashes)
+    at[at == len(keep)] = 0
+    return keep[at] == hashes, at
+
+
 def exact_counts(blocks: DataFrame, kept: DataFrame, longest: int, least: int, bits: int = 64) -> DataFrame:
     """``(lang, phrase, a)`` of all phrases of ``least`` occurrences; with a null phrase: the words of a language."""
     def count(own: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
