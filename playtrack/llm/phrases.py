@@ -58,7 +58,7 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"      # fixed by the result's definition
 BLOCK_TOKENS = 1 << 19
 BUCKET_BYTES = 16 << 20
 SPARE_BITS = 10         # one n-gram in 2^10 or fewer shares its hash
-BLOCK_SCHEMA = "block long, skip int, langs array<string>, tokens binary, lang_of binary, words binary"
+BLOCK_SCHEMA = "block long, skip int, langs array<string>, n_tokens int, tokens binary, lang_of binary, words binary"
 # letters in lower case, every break as the first one
 _PLAIN = bytes(BREAKS[0] if i in BREAKS else i + 32 if 65 <= i <= 90 else i for i in range(256))
 _BREAK = BREAKS[:1]
@@ -66,21 +66,24 @@ _TABLE_BITS = 22
 
 
 def _planes(a: np.ndarray) -> bytes:
-    """The array's lowest bytes first: the higher ones are mostly zero, and compress."""
-    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+    """Unsigned 64-bit integers as the bytes that they need: how many, then all lowest bytes, all second ones, and so on."""
+    width = -(-int(a.max(initial=0)).bit_length() // 8)
+    planes = a.astype("<u8", copy=False).view(np.uint8).reshape(len(a), 8)[:, :width]
+    return bytes([width]) + planes.T.tobytes()
 
 
-def _unplaned(data: bytes, dtype: str) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+def _unplaned(data: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :data[0]] = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], n).T
+    return out.view("<u8").ravel()
 
 
 def _sorted_hashes(a: np.ndarray) -> bytes:
     return _planes(np.diff(a, prepend=np.uint64(0)))
 
 
-def _hashes(data: bytes) -> np.ndarray:
-    return np.cumsum(_unplaned(data, "<u8"), dtype=np.uint64)
+def _hashes(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_unplaned(data, n), dtype=np.uint64)
 
 
 class _Numbers(dict):
@@ -112,8 +115,9 @@ class _Block:
     def batch(self, name: int) -> pa.RecordBatch:
         columns = [pa.array([name], pa.int64()), pa.array([self.skip], pa.int32()),
                    pa.array([list(self.numbers)], pa.list_(pa.string())),
-                   pa.array([_planes(np.array(self.tokens, "<u4"))], pa.binary()),
-                   pa.array([_planes(np.array(self.lang_of, "<u4"))], pa.binary()),
+                   pa.array([len(self.tokens)], pa.int32()),
+                   pa.array([_planes(np.array(self.tokens, "<u8"))], pa.binary()),
+                   pa.array([_planes(np.array(self.lang_of, "<u8"))], pa.binary()),
                    pa.array([b" ".join(self.words)], pa.binary())]
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
 
@@ -158,10 +162,10 @@ class _Grams:
 
     def __init__(self, row, longest: int, bits: int = 64):
         self.longest, self.bits, self.skip = longest, bits, row["skip"]
-        self.tokens = _unplaned(row["tokens"], "<u4").astype(np.int32)
+        self.tokens = _unplaned(row["tokens"], row["n_tokens"]).astype(np.int32)
         self.words = row["words"].split(b" ")
         self.langs = list(row["langs"])
-        self.lang_of = _unplaned(row["lang_of"], "<u4")
+        self.lang_of = _unplaned(row["lang_of"], len(self.words))
 
     def word_hashes(self) -> np.ndarray:
         from xxhash import xxh3_64_intdigest
@@ -204,7 +208,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def summaries(blocks: DataFrame, longest: int, buckets: int, bits: int = 64) -> DataFrame:
-    """``(bucket, block, grams, counts)``: a block's distinct n-grams of all orders in a bucket, sorted by hash."""
+    """``(bucket, block, n, grams, counts)``: a block's ``n`` distinct n-grams of all orders in a bucket, sorted by hash."""
     step = (1 << bits) // buckets
     bounds = np.array([i * step for i in range(1, buckets)], np.uint64)
 
@@ -217,13 +221,13 @@ def summaries(blocks: DataFrame, longest: int, buckets: int, bits: int = 64) ->
             own = MisraGries(len(grams) + len(words))               # room for every n-gram: exact
             own.merge(np.concatenate([grams, block.narrow(words[used])]), np.concatenate([counts, n_words[used]]))
             edges = [0, *np.searchsorted(own.keys, bounds).tolist(), len(own.keys)]
-            out = [(i, row["block"], _sorted_hashes(own.keys[a:b]), _planes(own.counts[a:b].astype("<u4")))
+            out = [(i, row["block"], b - a, _sorted_hashes(own.keys[a:b]), _planes(own.counts[a:b]))
                    for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
             if out:
-                types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                types = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
-                                                 names=["bucket", "block", "grams", "counts"])
-    return blocks.mapInArrow(summarise, "bucket int, block long, grams binary, counts binary")
+                                                 names=["bucket", "block", "n", "grams", "counts"])
+    return blocks.mapInArrow(summarise, "bucket int, block long, n int, grams binary, counts binary")
 
 
 class MisraGries:
@@ -257,23 +261,20 @@ class MisraGries:
 
 
 def survivors(asked: DataFrame, least: int, buckets: int, merged_at_once: int = 32) -> DataFrame:
-    """``(block, grams)``: the block's n-grams of a bucket that its merged summary still holds."""
+    """``(block, n, grams)``: the block's n-grams of a bucket that its merged summary still holds."""
     def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-        counts = [_unplaned(x, "<u4") for x in pdf["counts"]]
-        summary = MisraGries(sum(int(c.sum(dtype=np.int64)) for c in counts) // least + 1)
-        grams = [_hashes(x) for x in pdf["grams"]]
+        counts = [_unplaned(x, n) for x, n in zip(pdf["counts"], pdf["n"], strict=True)]
+        summary = MisraGries(sum(int(c.sum()) for c in counts) // least + 1)
+        grams = [_hashes(x, n) for x, n in zip(pdf["grams"], pdf["n"], strict=True)]
         for at in range(0, len(grams), merged_at_once):
             summary.merge(np.concatenate(grams[at:at + merged_at_once]),
                           np.concatenate(counts[at:at + merged_at_once]).astype(np.int64))
-        kept, often = [], summary.at_least(least)
-        for own in grams:
-            at = np.searchsorted(often, own)
-            at[at == len(often)] = 0
-            kept.append(_sorted_hashes(own[often[at] == own] if len(often) else own[:0]))
-        return pd.DataFrame({"block": pdf["block"], "grams": kept})
+        often = summary.at_least(least)
+        kept = [own[_among(own, often)[0]] if len(often) else own[:0] for own in grams]
+        return pd.DataFrame({"block": pdf["block"], "n": [len(x) for x in kept], "grams": [_sorted_hashes(x) for x in kept]})
     least_parts = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (asked.repartition(max(least_parts, buckets), "bucket").groupBy("bucket")
-            .applyInPandas(reduce, "block long, grams binary"))
+            .applyInPandas(reduce, "block long, n int, grams binary"))
 
 
 def _counted(row, keep: np.ndarray, longest: int, bits: int = 64) -> Counter:
@@ -319,7 +320,7 @@ def _among(hashes: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def exact_counts(blocks: DataFrame, kept: DataFrame, longest: int, least: int, bits: int = 64) -> DataFrame:
     """``(lang, phrase, a)`` of all phrases of ``least`` occurrences; with a null phrase: the words of a language."""
     def count(own: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        keep = np.sort(np.concatenate([np.zeros(0, np.uint64), *(_hashes(x) for x in got["grams"])]))
+        keep = np.sort(np.concatenate([np.zeros(0, np.uint64), *(_hashes(x, n) for x, n in zip(got["grams"], got["n"], strict=True))]))
         rows = [(lang, None if x is None else x.decode("utf-8", "replace"), n)
                 for row in own.to_dict("records") for (lang, x), n in _counted(row, keep, longest, bits).items()]
         return pd.DataFrame(rows, columns=["lang", "phrase", "a"])
@@ -332,8 +333,7 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, b
     """``exact_counts`` of documents, written to the shared folder."""
     spark = docs.sparkSession
     blocks = saved(word_blocks(docs, longest, block_tokens), "phrase-blocks", **{"parquet.block.size": 16 << 20})
-    tokens = blocks.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
-    mass = tokens // 4 * longest
+    mass = (blocks.agg(F.sum("n_tokens")).first()[0] or 0) * longest
     bits = min(64, max(32, mass.bit_length() + SPARE_BITS))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-mass * 12 // BUCKET_BYTES))
     kept = survivors(summaries(blocks, longest, buckets, bits), least, buckets)
