@@ -12,6 +12,7 @@ import corpus_pipeline
 from . import (
     byte_bpe,
     decontaminate,
+    divergence,
     language_id,
     line_dedup,
     lm_scoring,
@@ -86,6 +87,10 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("data", 256).alias("decoded_sha256"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -93,7 +98,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op2_lm_scoring_order3, op3_packing, op4_line_dedup,
                             op5_token_files, op6_exact_top_k, op7_decontamination, op8_quality, op9_language_id, op10_simhash,
-                            op11_collocations, op12_byte_bpe, pipeline)}
+                            op11_collocations, op12_byte_bpe, op13_divergence, pipeline)}
 
 ORACLES: dict[str, str] = {
     "op2_lm_scoring": lm_scoring.REPORT_SQL,
@@ -102,4 +107,5 @@ ORACLES: dict[str, str] = {
     "op6_exact_top_k": topk.REPORT_SQL,
     "op7_decontamination": decontaminate.REPORT_SQL,
     "op11_collocations": phrases.REPORT_SQL,
+    "op13_divergence": divergence.REPORT_SQL,
 }
