@@ -36,7 +36,6 @@ with its last words as context; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -194,9 +193,6 @@ class _Grams:
     def narrow(self, hashes: np.ndarray) -> np.ndarray:
         return hashes >> np.uint64(64 - self.bits)
 
-    def phrase(self, end: int, n: int) -> bytes:
-        return b" ".join([self.words[t] for t in self.tokens[end - n + 1:end + 1]])
-
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows one by one: a batch may hold many blocks."""
@@ -277,37 +273,45 @@ def survivors(asked: DataFrame, least: int, buckets: int, merged_at_once: int =
             .applyInPandas(reduce, "block long, n int, grams binary"))
 
 
-def _counted(row, keep: np.ndarray, longest: int, bits: int = 64) -> Counter:
-    """Occurrences of a block's phrases whose hash is in ``keep`` (sorted), and of each language's words (phrase None)."""
-    grams, out = _Grams(row, longest, bits), Counter()
-    lang = [grams.langs[i] for i in grams.lang_of.tolist()] if grams.langs else []
+def _counted(row, keep: np.ndarray, longest: int, bits: int = 64) -> pa.Table:
+    """``(lang, phrase, a)``: a block's phrases whose hash is in ``keep`` (sorted), and each language's words (phrase null)."""
+    grams = _Grams(row, longest, bits)
     hashes, n_words = grams.word_hashes(), grams.word_counts()
-    for i in np.flatnonzero(n_words).tolist():
-        out[lang[i], None] += int(n_words[i])
-    if not len(keep):
-        return out
-    for i in np.flatnonzero((n_words > 0) & _among(grams.narrow(hashes), keep)[0]).tolist():
-        out[lang[i], grams.words[i]] += int(n_words[i])
-    # most phrases are told to be none of ``keep`` by the highest bits of their hash
-    fewer = np.uint64(max(bits - _TABLE_BITS, 0))
-    maybe = np.zeros(1 << min(bits, _TABLE_BITS), bool)
-    maybe[keep >> fewer] = True
-    for n, ends, hashed in grams.phrases(hashes):
-        some = maybe[hashed >> fewer]
-        ends, hashed = ends[some], hashed[some]
-        hit, at = _among(hashed, keep)
-        at, ends = at[hit], ends[hit]
-        first = np.zeros(len(keep), np.int32)
-        first[at[::-1]] = ends[::-1]
-        # two phrases may share a hash: those that differ from the first with it are counted by their words
-        same = np.ones(len(at), bool)
-        for j in range(n):
-            same &= grams.tokens[ends - j] == grams.tokens[first[at] - j]
-        total = np.bincount(at[same], minlength=len(keep))
-        some = np.flatnonzero(total)
-        for end, times in [*zip(first[some].tolist(), total[some].tolist(), strict=True), *((e, 1) for e in ends[~same].tolist())]:
-            out[lang[grams.tokens[end]], grams.phrase(end, n)] += times
-    return out
+    totals = np.bincount(grams.lang_of, n_words, len(grams.langs)).astype(np.int64)
+    langs, texts, counts = [np.arange(len(totals))], [None] * len(totals), [totals]
+
+    def add(lang: np.ndarray, phrases: list[bytes], n: np.ndarray) -> None:
+        langs.append(lang)
+        texts.extend(phrases)
+        counts.append(n)
+    if len(keep):
+        some = np.flatnonzero((n_words > 0) & _among(grams.narrow(hashes), keep)[0])
+        add(grams.lang_of[some], [grams.words[i] for i in some.tolist()], n_words[some])
+        # most phrases are told to be none of ``keep`` by the highest bits of their hash
+        fewer = np.uint64(max(bits - _TABLE_BITS, 0))
+        maybe = np.zeros(1 << min(bits, _TABLE_BITS), bool)
+        maybe[keep >> fewer] = True
+        for n, ends, hashed in grams.phrases(hashes):
+            some = maybe[hashed >> fewer]
+            ends, hashed = ends[some], hashed[some]
+            hit, at = _among(hashed, keep)
+            at, ends = at[hit], ends[hit]
+            first = np.zeros(len(keep), np.int32)
+            first[at[::-1]] = ends[::-1]
+            # two phrases may share a hash: those that differ from the first with it are sent one by one
+            same = np.ones(len(at), bool)
+            for j in range(n):
+                same &= grams.tokens[ends - j] == grams.tokens[first[at] - j]
+            total = np.bincount(at[same], minlength=len(keep))
+            some = np.flatnonzero(total)
+            ends = np.concatenate([first[some], ends[~same]])
+            numbers = grams.tokens[ends[:, None] + np.arange(1 - n, 1)]
+            word = grams.words.__getitem__
+            add(grams.lang_of[numbers[:, 0]], [b" ".join(map(word, x)) for x in numbers.tolist()],
+                np.concatenate([total[some], np.ones(len(ends) - len(some), np.int64)]))
+    names = pa.DictionaryArray.from_arrays(pa.array(np.concatenate(langs).astype(np.int32)), pa.array(grams.langs, pa.string()))
+    return pa.table({"lang": names.dictionary_decode(), "phrase": pa.array(texts, pa.binary()).view(pa.string()),
+                     "a": pa.array(np.concatenate(counts).astype(np.int64))})
 
 
 def _among(hashes: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -319,12 +323,12 @@ def _among(hashes: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def exact_counts(blocks: DataFrame, kept: DataFrame, longest: int, least: int, bits: int = 64) -> DataFrame:
     """``(lang, phrase, a)`` of all phrases of ``least`` occurrences; with a null phrase: the words of a language."""
-    def count(own: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        keep = np.sort(np.concatenate([np.zeros(0, np.uint64), *(_hashes(x, n) for x, n in zip(got["grams"], got["n"], strict=True))]))
-        rows = [(lang, None if x is None else x.decode("utf-8", "replace"), n)
-                for row in own.to_dict("records") for (lang, x), n in _counted(row, keep, longest, bits).items()]
-        return pd.DataFrame(rows, columns=["lang", "phrase", "a"])
-    found = blocks.groupBy("block").cogroup(kept.groupBy("block")).applyInPandas(count, "lang string, phrase string, a long")
+    def count(own: pa.Table, got: pa.Table) -> pa.Table:
+        keep = np.sort(np.concatenate([np.zeros(0, np.uint64), *(
+            _hashes(x, n) for x, n in zip(got["grams"].to_pylist(), got["n"].to_pylist(), strict=True))]))
+        # every block has one row
+        return pa.concat_tables(_counted(row, keep, longest, bits) for row in own.to_pylist())
+    found = blocks.groupBy("block").cogroup(kept.groupBy("block")).applyInArrow(count, "lang string, phrase string, a long")
     return (found.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
             .where((F.col("a") >= least) | F.col("phrase").isNull()))
 
