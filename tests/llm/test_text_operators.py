@@ -1,8 +1,14 @@
 """Line dedup, decontamination, language id, SimHash and chunk dedup against brute force and on odd rows."""
 
 import itertools
+import math
+import random
 import re
+import tracemalloc
+from collections import Counter
 
+import numpy as np
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -129,7 +135,7 @@ def test_language_fusion(make_docs):
     table = make_docs(docs)
     rows = language_id.document_evidence(table)
     both = ("en", "fr")
-    found = language_id.identify(rows, language_id.train(rows, both), language_id.host_priors(rows, both), both, both)
+    found = language_id.identify(rows, language_id.train(rows, both), language_id.host_priors(rows, both))
     out = {r["_row"]["doc_id"]: r["id"] for r in found.collect()}
     assert all(out[i]["lang"] == "en" and out[i]["accepted"] for i in range(20))
     assert all(out[i]["lang"] == "fr" for i in range(20, 40))
@@ -138,17 +144,107 @@ def test_language_fusion(make_docs):
     assert out[53]["lang"] == "und"
 
 
-def test_a_fifth_declared_language_is_modelled(make_docs):
-    italian = "il gatto e gli uccelli sono nella casa che si trova vicino alla strada della città "
-    docs = [(i, ENGLISH * 30, "en", "h0", 1) for i in range(30)] + [(i + 30, italian * 30, "it", "h1", 1) for i in range(30)]
-    docs += [(i + 60, FRENCH * 30, "fr", "h2", 1) for i in range(30)] + [(90, "ja nie wiem " * 30, "pl", "h3", 1)]
+ITALIAN = "il gatto e gli uccelli sono nella casa che si trova vicino alla strada della città "
+
+
+@pytest.mark.parametrize("rows_of_it", [1, 19, 20, 30])
+def test_a_fifth_declared_language_is_modelled_however_few_its_rows(make_docs, rows_of_it):
+    docs = [(i, ENGLISH * 30, "en", "h0", 1) for i in range(30)] + [(i + 30, FRENCH * 30, "fr", "h2", 1) for i in range(30)]
+    docs += [(100 + i, ITALIAN * 30, "it", "h1", 1) for i in range(rows_of_it)]
     table = make_docs(docs)
     assert language_id.modelled(language_id.document_evidence(table)) == (*language_id.LANGUAGES, "it")
-    assert set(range(90)) <= {r["doc_id"] for r in language_id.accepted_documents(table).collect()}
+    assert {r["doc_id"] for r in language_id.accepted_documents(table).collect()} == {d[0] for d in docs}
     rows = language_id.document_evidence(table)
     known = language_id.modelled(rows)
-    out = language_id.identify(rows, language_id.train(rows, known), language_id.host_priors(rows, known), known, known).collect()
-    assert {r["id"]["lang"] for r in out if 30 <= r["_row"]["doc_id"] < 60} == {"it"}
+    out = language_id.identify(rows, language_id.train(rows, known), language_id.host_priors(rows, known)).collect()
+    assert all(r["id"]["lang"] == r["_row"]["lang"] for r in out)
+
+
+def brute_languages(rows, train_rows, languages):
+    """``rows``: (key, text, declared, host, suffix).  The posterior by its formula, one trigram after the other."""
+    def grams(text):
+        data = text.lower().encode("utf-8", "replace")
+        return [(int.from_bytes(data[i:i + 3], "big") * 2654435761 % 2 ** 32) >> 16 for i in range(len(data) - 2)]
+    counts = {x: Counter() for x in languages}
+    for _, text, said, _, _ in train_rows:
+        if said in counts and text is not None:
+            counts[said].update(grams(text))
+    of = {x: sum(r[2] == x for r in rows) for x in languages}
+    k, out = len(languages), {}
+    top = {x: (n + 20 / k) / (sum(of.values()) + 20) for x, n in of.items()}
+
+    def shrunk(same, parent):
+        n = {x: sum(r[2] == x for r in rows if same(r)) for x in languages}
+        return {x: (n[x] + 20 * parent[x]) / (sum(n.values()) + 20) for x in languages}
+    for key, text, said, host, suffix in rows:
+        if not (text or "").strip():
+            out[key] = ("und", 1.0)
+            continue
+        g = grams(text)
+        prior = shrunk(lambda r: (r[3], r[4]) == (host, suffix), shrunk(lambda r: r[4] == suffix, top))  # noqa: B023
+        damp = 1 + len(g) / 200
+        log = {"und": -len(g) * math.log(65536) / damp + math.log(0.01) + (math.log(1 / k) if said in counts else 0)}
+        for x in languages:
+            total = sum(counts[x].values()) + 0.5 * 65536
+            log[x] = sum(math.log((counts[x][b] + 0.5) / total) for b in g) / damp + math.log(prior[x] * 0.99)
+            if said in counts:
+                log[x] += math.log(0.8 if said == x else 0.2 / (k - 1))
+        high = max(log.values())
+        best = max(languages + ("und",), key=lambda x: log[x])  # noqa: B023
+        out[key] = (best, math.exp(log[best] - high) / sum(math.exp(v - high) for v in log.values()))
+    return out
+
+
+def same_languages(found, want):
+    assert set(found) == set(want)
+    for key, (lang, posterior) in want.items():
+        assert found[key][0] == lang and abs(found[key][1] - posterior) < 1e-6
+
+
+@pytest.mark.parametrize("limit", [1 << 26, 0])
+def test_posterior_equals_a_plain_version_for_documents_and_pages(spark, make_docs, limit):
+    rng = random.Random(2)
+    pool = {"en": ENGLISH.split(), "fr": FRENCH.split(), "it": ITALIAN.split(), "x-y": ["zz", "qq", "été"]}
+    docs = []
+    for i in range(60):
+        lang = rng.choice(list(pool))
+        text = " ".join(rng.choice(pool[rng.choice([lang, lang, "en"])]) for _ in range(rng.randint(0, 40)))
+        docs.append((i, text, rng.choice([lang, lang, None, "und", ""]), rng.choice(["h0", "h1", None]), 1))
+    docs += [(100, None, "en", "h0", 1), (101, " \n", "fr", None, 1), (102, "ab", "en", "h1", 1)]
+    markup = [("<html lang='fr'><body><p>{}</p></body></html>", "http://a.fr/x"), ("<HTML LANG=it><script>en en</script>{}", "https://u@b.it:80/"),
+              ("{}", "nothing"), ("<html><!-- x -->{}", "http://C.com?q"), ("<html lang=\"en-US\"><p>{}", None)]
+    pages = [(i, markup[i % 5][1], markup[i % 5][0].format(docs[i][1])) for i in range(40)] + [(99, None, None)]
+    rows = language_id.document_evidence(make_docs(docs))
+    known = language_id.modelled(rows)
+    assert known == ("en", "fr", "de", "es", "it", "x-y")
+    model = language_id.train(rows, known)
+
+    def found(evidence, key):
+        out = language_id.identify(evidence, model, language_id.host_priors(evidence, known), limit=limit)
+        return {r["_row"][key]: (r["id"]["lang"], r["id"]["posterior"]) for r in out.collect()}
+    plain = [(d[0], d[1], d[2], d[3], "") for d in docs]
+    same_languages(found(rows, "doc_id"), brute_languages(plain, plain, known))
+    of_pages = language_id.page_evidence(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    said = {0: ("fr", "a.fr", "fr"), 1: ("it", "b.it", "it"), 2: ("", "", ""), 3: ("", "c.com", "com"), 4: ("en", None, None)}
+    evidence = {r["_row"]["page_id"]: (r["text"], r["declared"], r["host"], r["suffix"]) for r in of_pages.collect()}
+    assert all(evidence[i][1:] == said[i % 5] and (docs[i][1] or "").split() == evidence[i][0].split() for i in range(40))
+    same_languages(found(of_pages, "page_id"), brute_languages([(k, *v) for k, v in evidence.items()], plain, known))
+
+
+def test_a_long_text_with_many_languages_stays_small():
+    rng = np.random.default_rng(0)
+    langs = 200
+    lang = np.tile(np.arange(langs, dtype=np.int32), language_id.BUCKETS)
+    entries = language_id.Entries(np.full(langs, -9.0), np.arange(language_id.BUCKETS + 1) * langs, lang, rng.random(len(lang)))
+    text = "".join(map(chr, rng.integers(97, 500, 600_000)))
+    tracemalloc.start()
+    like, n = entries.likelihoods(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 1_000_000 and len(like) == langs and peak < 60e6
+    bucket, times = language_id.bucket_counts(text)
+    want = -9.0 * n + entries.weight.reshape(-1, langs)[bucket].T @ times
+    assert np.allclose(like, want)
 
 
 def test_host_prior_is_smoothed_by_suffix(spark):
