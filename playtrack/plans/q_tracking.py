@@ -20,6 +20,18 @@ def _t(spark, sf):
     return S.tracks(spark, sf)
 
 
+def _m(spark, sf):
+    return S.marks(spark, sf)
+
+
+def _trimmed(spark, sf, **how):
+    return TR.frames_trimmed(_t(spark, sf), marks=_m(spark, sf), **how)
+
+
+def _fixed(spark, sf):
+    return TR.orientation_fixed(_t(spark, sf), S.plays(spark, sf), marks=_m(spark, sf), games=S.games(spark, sf))
+
+
 @query("event_frames", sql="select * from tracks where event <> ''")
 def event_frames(spark, sf):
     return _t(spark, sf).where(F.col("event") != "")
@@ -33,18 +45,17 @@ def ball_snap_frames(spark, sf):
 
 @query("frames_with_snap", sql="select * from withsnap", ctes=TRIM)
 def frames_with_snap(spark, sf):
-    return TR.frames_with_snap(_t(spark, sf))
+    return TR.frames_with_snap(_t(spark, sf), marks=_m(spark, sf))
 
 
 @query("last_event", sql="select * from lastev", ctes=TRIM)
 def last_event(spark, sf):
-    a = TR.frames_with_snap(_t(spark, sf)).where(F.col("time") >= F.col("snap_time") - 0.1)
-    return TR.last_event(a)
+    return TR.last_events(_m(spark, sf))
 
 
 @query("frames_trimmed", sql="select * from trimmed", ctes=TRIM)
 def frames_trimmed(spark, sf):
-    return TR.frames_trimmed(_t(spark, sf))
+    return _trimmed(spark, sf)
 
 
 @query("frames_trimmed_one_snap",
@@ -55,43 +66,44 @@ def frames_trimmed(spark, sf):
        ctes="""a1 AS (select * from (select t.*, min(case when event='ball_snap' then time end)
  over (partition by PlayKey) as snap_time from tracks t) z where time>=snap_time-0.1)""")
 def frames_trimmed_one_snap(spark, sf):
-    return TR.frames_trimmed(_t(spark, sf), one_snap=True)
+    return _trimmed(spark, sf, one_snap=True)
 
 
 @query("frames_with_season", sql="select * from se", ctes=SEASON)
 def frames_with_season(spark, sf):
-    return TR.frames_with_season(TR.frames_trimmed(_t(spark, sf)), S.plays(spark, sf))
+    return TR.frames_with_season(_trimmed(spark, sf), S.plays(spark, sf), games=S.games(spark, sf))
 
 
 @query("season_null_plays", sql="select PlayKey, time, event, o from se where season is null", ctes=SEASON)
 def season_null_plays(spark, sf):
-    se = TR.frames_with_season(TR.frames_trimmed(_t(spark, sf)), S.plays(spark, sf))
+    se = TR.frames_with_season(_trimmed(spark, sf), S.plays(spark, sf), games=S.games(spark, sf))
     return se.where(F.col("season").isNull()).select("PlayKey", "time", "event", "o")
 
 
 @query("abnormal_snap_plays", sql="select * from ab", ctes=SEASON)
 def abnormal_snap_plays(spark, sf):
-    se = TR.frames_with_season(TR.frames_trimmed(_t(spark, sf)), S.plays(spark, sf))
+    se = TR.frames_with_season(_trimmed(spark, sf), S.plays(spark, sf), games=S.games(spark, sf))
     return TR.abnormal_snap_plays(se)
 
 
 @query("season_imputed", sql="select * from imputed", ctes=SEASON)
 def season_imputed(spark, sf):
-    return TR.season_imputed(_t(spark, sf), S.plays(spark, sf))
+    return TR.season_imputed(_t(spark, sf), S.plays(spark, sf), marks=_m(spark, sf), games=S.games(spark, sf))
 
 
 @query("orientation_fixed", sql="select * from fixed", ctes=SEASON)
 def orientation_fixed(spark, sf):
-    return TR.orientation_fixed(_t(spark, sf), S.plays(spark, sf))
+    return _fixed(spark, sf)
 
 
 @query("frames_enriched", sql="select * from enriched", ctes=SEASON)
 def frames_enriched(spark, sf):
-    return TR.enrich_frames(TR.orientation_fixed(_t(spark, sf), S.plays(spark, sf)), S.plays(spark, sf))
+    return TR.enrich_frames(_fixed(spark, sf), S.plays(spark, sf))
 
 
-def movement(spark, sf):
-    return TR.movement_frames(_t(spark, sf), S.plays(spark, sf), S.injuries(spark, sf))
+def movement(spark, sf, where=None):
+    return TR.movement_frames(_t(spark, sf), S.plays(spark, sf), S.injuries(spark, sf), marks=_m(spark, sf), where=where,
+                              games=S.games(spark, sf))
 
 
 _WITHIN_COLS = ["PlayKey", "time", "event", "o", "dir", "s", "season", "snap_time", "time_since_snap",
@@ -118,7 +130,7 @@ def movement_class(spark, sf):
        sql="""select movement, is_injury_play, count(*) as count from movement
  where is_rush_pass and is_main_pos group by 1, 2""", ctes=MOVEMENT)
 def movement_by_injury_main(spark, sf):
-    m = movement(spark, sf).where(F.col("is_rush_pass") & F.col("is_main_pos"))
+    m = movement(spark, sf, F.col("is_rush_pass") & F.col("is_main_pos"))
     return R.count_by(m, "movement", "is_injury_play")
 
 
@@ -126,7 +138,7 @@ def movement_by_injury_main(spark, sf):
        sql="select movement, is_injury_play, count(*) as count from movement where is_rush_pass group by 1, 2",
        ctes=MOVEMENT)
 def movement_by_injury(spark, sf):
-    return R.count_by(movement(spark, sf).where(F.col("is_rush_pass")), "movement", "is_injury_play")
+    return R.count_by(movement(spark, sf, F.col("is_rush_pass")), "movement", "is_injury_play")
 
 
 @query("speed_by_injury",
@@ -140,7 +152,7 @@ def speed_by_injury(spark, sf):
  as share from (select movement, is_injury_play, count(*) as count from movement where is_rush_pass group by 1, 2) c""",
        ctes=MOVEMENT)
 def movement_injury_ratio(spark, sf):
-    counts = R.count_by(movement(spark, sf).where(F.col("is_rush_pass")), "movement", "is_injury_play")
+    counts = R.count_by(movement(spark, sf, F.col("is_rush_pass")), "movement", "is_injury_play")
     return round_doubles(R.share_of_total(counts, "count", ["is_injury_play"]))
 
 
@@ -151,18 +163,18 @@ def movement_injury_ratio(spark, sf):
  from movement where RosterPosition in {in_list_sql(INJURY_PRONE_POSITIONS)} and is_rush_pass group by 1""",
        ctes=MOVEMENT)
 def lateral_share_by_position(spark, sf):
-    m = movement(spark, sf).where(F.col("RosterPosition").isin(*INJURY_PRONE_POSITIONS) & F.col("is_rush_pass"))
+    m = movement(spark, sf, F.col("RosterPosition").isin(*INJURY_PRONE_POSITIONS) & F.col("is_rush_pass"))
     p = R.percent_true_by(m, "RosterPosition", "is_injury_play", "is_abnormal_movement")
     return round_doubles(p.withColumnsRenamed({"false": "non_injury_play_pct", "true": "injury_play_pct"}))
 
 
 @query("hist_orientation_raw", sql=hist_sql("trimmed", "o", "event='ball_snap'"), ctes=TRIM)
 def hist_orientation_raw(spark, sf):
-    snaps = TR.frames_trimmed(_t(spark, sf)).where(F.col("event") == TR.SNAP)
+    snaps = _trimmed(spark, sf).where(F.col("event") == TR.SNAP)
     return hist_df(snaps, "o")
 
 
 @query("hist_orientation_fixed", sql=hist_sql("enriched", "o", "event='ball_snap'"), ctes=SEASON)
 def hist_orientation_fixed(spark, sf):
-    fixed = TR.enrich_frames(TR.orientation_fixed(_t(spark, sf), S.plays(spark, sf)), S.plays(spark, sf))
+    fixed = TR.enrich_frames(_fixed(spark, sf), S.plays(spark, sf))
     return hist_df(fixed.where(F.col("event") == TR.SNAP), "o")

@@ -25,6 +25,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import skew as SK
+from ..operators.tracking import PlayMarks, game_days, play_marks
 from .tables import table
 
 PLAY_COLUMNS = ["PlayerKey", "GameID", "PlayKey", "RosterPosition", "PlayerDay", "PlayerGame", "StadiumType",
@@ -194,7 +195,7 @@ def source_state(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict:
-    """Derive and store the three tables once per (session, input folder).
+    """Derive and store the three tables, the plays' marks and the games' days once per (session, input folder).
 
     Each table is repartitioned by ``PlayKey`` into the bucket count before the
     write, so every write task produces one file per bucket it owns (no
@@ -222,6 +223,13 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict:
         (rows.repartition(n, deal).write.mode("overwrite").option("path", f"{base}/{name}")
          .bucketBy(n, "PlayKey").sortBy(*sort_cols).saveAsTable(tname))
         names[name] = tname
+    # what the frame chain asks of a play, stored beside the frames and bucketed alike
+    more = [(name, rows, "PlayKey") for name, rows in play_marks(spark.table(names["tracks"]))._asdict().items()]
+    for name, rows, by in [*more, ("games", game_days(spark.table(names["plays"])), "GameID")]:
+        tname = f"playtrack_{name}_{tag}"
+        (rows.repartition(n, by).write.mode("overwrite").option("path", f"{base}/{name}")
+         .bucketBy(n, by).sortBy(by).saveAsTable(tname))
+        names[name] = tname
     _STORED[key] = names
     return names
 
@@ -244,6 +252,21 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged(spark, sf_dir, "tracks", derive_tracks)
 
 
+def marks(spark: SparkSession, sf_dir: str) -> PlayMarks:
+    """Snaps and last events of every play of ``tracks``."""
+    if not _store_enabled(spark):
+        return play_marks(derive_tracks(spark, sf_dir))
+    names = stored_tables(spark, sf_dir)
+    return PlayMarks(spark.table(names["snaps"]), spark.table(names["ends"]))
+
+
+def games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``game_days`` of ``plays``."""
+    if not _store_enabled(spark):
+        return game_days(derive_plays(spark, sf_dir))
+    return spark.table(stored_tables(spark, sf_dir)["games"])
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Register ``plays``, ``injuries`` and ``tracks`` as temp views for SQL."""
     plays(spark, sf_dir).createOrReplaceTempView("plays")

@@ -2,6 +2,7 @@
 frames without shuffling them; scans are pruned."""
 
 import os
+import re
 
 import pytest
 
@@ -45,3 +46,31 @@ def test_frames_scanned_once(spark, name):
     joins read it two or three times)."""
     plan = _plan(queries()[name](spark, SF))
     assert plan.count("FileScan parquet spark_catalog.default.playtrack_tracks_") == 1
+
+
+MOVEMENT = ["movement_by_injury_main", "movement_by_injury", "speed_by_injury", "lateral_share_by_position", "movement_class"]
+CHAIN = MOVEMENT + ["frames_with_snap", "last_event", "frames_trimmed", "frames_trimmed_one_snap", "frames_with_season",
+                    "season_imputed", "orientation_fixed", "frames_enriched"]
+
+
+@pytest.mark.parametrize("name", CHAIN)
+def test_frame_chain_has_no_lists_and_no_windows(spark, name):
+    plan = _plan(queries()[name](spark, SF))
+    assert "collect_list" not in plan and "Window" not in plan
+    assert plan.count("FileScan parquet spark_catalog.default.playtrack_tracks_") <= 1
+
+
+@pytest.mark.parametrize("name", MOVEMENT)
+def test_movement_reads_the_play_list_twice_at_most(spark, name):
+    df = queries()[name](spark, SF)
+    df.collect()
+    final = _plan(df).split("+- == Initial Plan ==")[0]
+    assert final.count("FileScan parquet spark_catalog.default.playtrack_plays_") <= 2
+
+
+def test_play_filter_is_below_every_copy(spark):
+    """The rush/pass filter stands in the plan below the join in which frames are copied for their snaps."""
+    lines = queries()["movement_by_injury"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    copy = next(i for i, line in enumerate(lines) if re.search(r"Join Inner.*[ (]time#\d+ >= \(snap_time", line))
+    kept = next(i for i, line in enumerate(lines) if "Filter" in line and "PlayType" in line and "Rush" in line)
+    assert kept > copy
