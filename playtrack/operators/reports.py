@@ -46,22 +46,25 @@ def share_of_total(df: DataFrame, count_col: str, within: list, name: str = "sha
 def histogram(df: DataFrame, col: str, bins: int = 100, label: str | None = None) -> DataFrame:
     """Equal-width density histogram of ``col`` over its own [min, max].
 
-    Min and max come from one aggregate; bins are ``floor((v-min)/width)``
-    with the last bin closed (``least(bin, bins-1)``); density is
-    ``count / (n * width)`` so the mass sums to 1.  A constant column gives
-    one bin.  Only non-null values count.  Output: ``bin, lo, hi, n, density``.
-    The bounds are joined back as a one-row table (a proven size bound of one
-    row), so the values never pass through the driver.
+    One pass over ``df`` makes (value, count) runs, which merge (partial
+    aggregate); bounds, total and bins all follow from the runs, whose one
+    shuffle both readers share.  Bins are ``floor((v-min)/width)`` with the
+    last bin closed (``least(bin, bins-1)``); density is ``count / (n * width)``
+    so the mass sums to 1.  A constant column gives one bin.  Only non-null
+    values count.  Output: ``bin, lo, hi, n, density``.  The bounds are joined
+    back as a one-row table (a proven size bound of one row), so no value
+    passes through the driver.
     """
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    stats = v.agg(F.min("v").alias("vmin"), F.max("v").alias("vmax"), F.count(F.lit(1)).alias("total"),
-                  F.lit(1).alias("_k"))
+    runs = v.groupBy("v").agg(F.count(F.lit(1)).alias("_n"))
+    stats = runs.agg(F.min("v").alias("vmin"), F.max("v").alias("vmax"), F.sum("_n").alias("total"),
+                     F.lit(1).alias("_k"))
     width = F.when(F.col("vmax") > F.col("vmin"), (F.col("vmax") - F.col("vmin")) / bins).otherwise(F.lit(1.0))
     b = F.least(F.floor((F.col("v") - F.col("vmin")) / width), F.lit(bins - 1)).cast("int")
-    binned = (v.withColumn("_k", F.lit(1)).join(F.broadcast(stats), "_k")
+    binned = (runs.withColumn("_k", F.lit(1)).join(F.broadcast(stats), "_k")
               .withColumn("bin", b).withColumn("width", width))
     out = (binned.groupBy("bin", "vmin", "width", "total")
-           .agg(F.count(F.lit(1)).alias("n"))
+           .agg(F.sum("_n").alias("n"))
            .select("bin",
                    (F.col("vmin") + F.col("bin") * F.col("width")).alias("lo"),
                    (F.col("vmin") + (F.col("bin") + 1) * F.col("width")).alias("hi"),
@@ -80,15 +83,7 @@ def percent_true_by(df: DataFrame, key: str, pivot: str, flag: str, values=(Fals
             .agg((F.avg(F.col(flag).cast("int")) * 100).alias("pct")))
 
 
-def weighted_sum_by(df: DataFrame, keys, value: str, name: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum(value).alias(name))
-
-
 def dummies(df: DataFrame, col: str, values, prefix: str | None = None) -> DataFrame:
     """One 0/1 column per value of a fixed list (``pd.get_dummies`` on Spark)."""
     p = prefix or col
     return df.withColumns({f"{p}_{v}": F.when(F.col(col) == v, 1).otherwise(0) for v in values})
-
-
-def as_column(col) -> Column:
-    return F.col(col) if isinstance(col, str) else col

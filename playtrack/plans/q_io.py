@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..session import scratch_path
 from ..sources import files as IO
 from ..sources import staging as S
@@ -72,6 +73,19 @@ def sink_parquet_roundtrip(spark, sf):
     return round_doubles(IO.read_parquet(spark, path))
 
 
+@query("sink_parquet_append",
+       sql="select " + ", ".join(c for c in PGF_COLS if c not in _PGF_DOUBLES) + ", "
+           + ", ".join(f"round({c}, 6) as {c}" for c in _PGF_DOUBLES) + " from pgf", ctes=PGF)
+def sink_parquet_append(spark, sf):
+    """The player-game feature table appended in two batches, of which one is
+    repeated; read back, every row is there once."""
+    rows, path = player_game_table(spark, sf), scratch_path(spark, "player-game-batches")
+    first = F.coalesce(C.hash_bucket("PlayerKey") < 50, F.lit(True))
+    for batch, part in (("first", first), ("second", ~first), ("first", first)):
+        IO.append_parquet(rows.where(part), path, batch)
+    return round_doubles(IO.read_appended(spark, path))
+
+
 @query("table_counts",
        sql="""select 'plays' as table_name, count(*) as row_count from plays
  union all select 'injuries', count(*) from injuries

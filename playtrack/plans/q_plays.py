@@ -14,7 +14,6 @@ from ..operators import reports as R
 from ..operators import tracking as TR
 from ..sources import staging as S
 from .registry import query
-from ..session import ensure_checkpoint_dir
 from .sql_blocks import CPLAYS
 
 
@@ -161,13 +160,8 @@ def hist_sql(source: str, value: str, where: str = "true", bins: int = 100) -> s
 
 
 def hist_df(df, col):
-    """Histogram rows of one column.  The bounds pass and the binning pass
-    both need the values, so the single value column is checkpointed once
-    (reliable checkpoint in the shared folder) instead of recomputing the
-    upstream chain twice."""
-    ensure_checkpoint_dir(df.sparkSession)
-    values = df.select(col).checkpoint(eager=True)
-    h = R.histogram(values, col)
+    """Histogram rows of one column."""
+    h = R.histogram(df.select(col), col)
     return h.select("bin", C.r6("lo").alias("lo"), C.r6("hi").alias("hi"), "n", C.r6("density").alias("density"))
 
 

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
 # Queries that run a job while being built (file round trips, model fits).
-_EAGER = {"scan_csv_schema", "scan_csv_play_list", "scan_csv_infer", "scan_csv_strings", "sink_parquet_roundtrip",
+_EAGER = {"scan_csv_schema", "scan_csv_play_list", "scan_csv_infer", "scan_csv_strings", "sink_parquet_roundtrip", "sink_parquet_append",
           "ml_string_index", "ml_one_hot", "temperature_mean_impute", "ml_mae"}
 
 
@@ -74,3 +74,14 @@ def test_play_filter_is_below_every_copy(spark):
     copy = next(i for i, line in enumerate(lines) if re.search(r"Join Inner.*[ (]time#\d+ >= \(snap_time", line))
     kept = next(i for i, line in enumerate(lines) if "Filter" in line and "PlayType" in line and "Rush" in line)
     assert kept > copy
+
+
+@pytest.mark.parametrize("name", ["hist_orientation_raw", "hist_orientation_fixed", "hist_temperature", "hist_temperature_clean"])
+def test_a_histogram_reads_its_source_once(spark, name):
+    df = queries()[name](spark, SF)
+    df.collect()
+    final = _plan(df).split("+- == Initial Plan ==")[0]
+    table = "tracks" if "orientation" in name else "plays"
+    joined = {"hist_orientation_fixed": 2}      # plays: for the season and for the attributes
+    assert final.count(f"FileScan parquet spark_catalog.default.playtrack_{table}_") == 1
+    assert final.count("FileScan parquet spark_catalog.default.playtrack_plays_") <= joined.get(name, 1)
