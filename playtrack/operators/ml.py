@@ -10,10 +10,9 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -172,17 +171,6 @@ def mae(pred: DataFrame, pairs) -> DataFrame:
     return pred.agg((total / len(per)).alias("mae"))
 
 
-def rf_regressor(label: str, features: str = "features", seed: int = 1, num_trees: int = 100,
-                 max_depth: int = 5) -> RandomForestRegressor:
-    return RandomForestRegressor(labelCol=label, featuresCol=features, seed=seed, numTrees=num_trees,
-                                 maxDepth=max_depth, predictionCol=f"pred_{label}", cacheNodeIds=True,
-                                 maxMemoryInMB=1024)
-
-
-def regression_mae(pred: DataFrame, label: str) -> float:
-    return RegressionEvaluator(labelCol=label, predictionCol=f"pred_{label}", metricName="mae").evaluate(pred)
-
-
 def grid(*axes):
     b = ParamGridBuilder()
     for param, values in axes:

@@ -15,6 +15,7 @@ from ..functions import columns as C
 from ..functions.rules import BODY_PARTS, FIELD_PIVOT, STADIUM_OPEN_CLOSED, WEATHER_QUALITY
 from ..operators import clean as CL
 from ..operators import features as FE
+from ..operators import forest as FO
 from ..operators import ml as ML
 from ..operators import reports as R
 from .q_features import player_game_table, player_table, round_doubles
@@ -334,27 +335,102 @@ def ml_best_params(spark, sf):
             .unionByName(rf.withColumn("model", F.lit("RandomForest"))))
 
 
+# -- one forest for all targets (M17, M18) -----------------------------------------------
+_TREE_INPUTS = ["Temperature"] + [n for n in _DUMMY_NAMES if not n.startswith("BodyPart_")]
+_CASE = ["GameID", "PlayerKey", "BodyPart"]
+
+
+def tree_rows(spark, sf):
+    """Inputs as whole numbers (degrees, -999 as the training mean) and 0/1 dummies, the targets, and the training mark."""
+    df = dummy_table(spark, sf)
+    train = C.hash_bucket("GameID") < 75
+    imputer = CL.fit_mean_imputer(df.where(train), "Temperature", -999.0)
+    return imputer.transform(df).withColumns({"Temperature": FO.bins("Temperature"), "is_train": F.coalesce(train, F.lit(False))})
+
+
+_TREE_CTES = ENV_CLEAN_CTE + ",\nti AS (select *, " + ", ".join(
+    f"case when {c}='{v}' then 1 else 0 end as \"{c}_{v}\"" for c, vs in _DUMMIES for v in vs) + f""",
+   {_hash_sql('GameID')} < 75 as is_train from envclean),
+tm AS (select avg(Temperature) as m from ti where is_train and Temperature <> -999),
+tr AS (select * replace (cast(floor(case when Temperature=-999 or Temperature is null then (select m from tm)
+   else Temperature end + 0.5) as int) as Temperature), row_number() over () as id from ti)"""
+
+
+def _tree_sql() -> str:
+    """CTEs that grow one tree of depth 2 over ``tr``: per level the sums, the best split, and the way on."""
+    k = len(_TARGETS)
+    out = [_TREE_CTES, "fx AS (" + " union all ".join(
+        f'select id, {i} as feature, cast("{c}" as int) as v from tr' for i, c in enumerate(_TREE_INPUTS)) + ")",
+        "w0 AS (select id, is_train, cast(0 as bigint) as node, " + ", ".join(
+            f'cast("{t}" as double) as y{i}' for i, t in enumerate(_TARGETS)) + " from tr)"]
+    ys = ", ".join(f"y{i}" for i in range(k))
+    for level in range(3):
+        gain = " + ".join(f"l{i}*l{i}/ln + (t{i}-l{i})*(t{i}-l{i})/(tn-ln) - t{i}*t{i}/tn" for i in range(k))
+        out.append(f"""b{level} AS (select node, feature, v, count(*) as n, {", ".join(f"sum(y{i}) as s{i}" for i in range(k))}
+   from w{level} join fx using (id) where is_train group by node, feature, v),
+r{level} AS (select node, feature, v, sum(n) over u as ln, sum(n) over f as tn, {", ".join(
+            f"sum(s{i}) over u as l{i}, sum(s{i}) over f as t{i}" for i in range(k))} from b{level}
+   window u as (partition by node, feature order by v rows unbounded preceding), f as (partition by node, feature)),
+g{level} AS (select *, case when ln < tn then round({gain}, 6) end as gain from r{level}),
+n{level} AS (select node, tn as n, {", ".join(f"t{i}/tn as m{i}" for i in range(k))},
+   {"case when gain > 1e-6 then feature end" if level < 2 else "cast(null as int)"} as feature,
+   {"case when gain > 1e-6 then v end" if level < 2 else "cast(null as int)"} as v from g{level}
+   qualify row_number() over (partition by node order by coalesce(gain, -1) desc, feature, v) = 1)""")
+        if level < 2:
+            out.append(f"""w{level + 1} AS (select w{level}.id, is_train, 2*w{level}.node + case when fx.v > n.v then 2 else 1 end as node, {ys}
+   from w{level} join n{level} n on w{level}.node = n.node join fx on fx.id = w{level}.id and fx.feature = n.feature)""")
+    return ",\n".join(out)
+
+
+_TREE_NODES = ", ".join(f"round(m{i}, 6) as \"mean_{t}\"" for i, t in enumerate(_TARGETS))
+_FEATURE_NAME = "case feature " + " ".join(f"when {i} then '{c}'" for i, c in enumerate(_TREE_INPUTS)) + " end"
+
+
+def depth2_tree(spark, sf, extra=()):
+    table = FO.cells(tree_rows(spark, sf), _TREE_INPUTS, _TARGETS, F.col("is_train"), extra)
+    return FO.grow(table, len(_TARGETS), trees=1, max_depth=2, bagging=False, extra=extra)
+
+
+@query("ml_tree_nodes", sql=f"select node, cast(n as bigint) as n, {_FEATURE_NAME} as feature, v as value, {_TREE_NODES} from ("
+       + " union all ".join(f"select * from n{i}" for i in range(3)) + ") x", ctes=_tree_sql())
+def ml_tree_nodes(spark, sf):
+    """One multi-target regression tree of depth 2 on all training rows: its nodes, splits and target means."""
+    nodes, _ = depth2_tree(spark, sf)
+    return round_doubles(nodes.select(
+        "node", "n", F.get(F.array(*map(F.lit, _TREE_INPUTS)), F.col("feature")).alias("feature"), "value",
+        *[F.col("means")[i].alias(f"mean_{t}") for i, t in enumerate(_TARGETS)]))
+
+
+@query("ml_tree_preview", sql="select * from (select distinct " + ", ".join(f"tr.{c}" for c in [*_CASE, *_TREE_INPUTS]) + ", "
+       + ", ".join(f'y{i} as "{t}"' for i, t in enumerate(_TARGETS)) + ", "
+       + ", ".join(f'round(m{i}, 6) as "pred_{t}"' for i, t in enumerate(_TARGETS))
+       + " from (" + " union all ".join(f"select w{i}.*, " + ", ".join(f"n{i}.m{j}" for j in range(len(_TARGETS)))
+                                        + f" from w{i} join n{i} using (node) where n{i}.feature is null" for i in range(3))
+       + ") x join tr using (id) where not tr.is_train) z order by GameID, PlayerKey, BodyPart, "
+       + ", ".join(f'"{t}"' for t in _TARGETS) + " limit 5", ctes=_tree_sql())
+def ml_tree_preview(spark, sf):
+    """Five cases of the test part, first by key, with their inputs, targets and predictions."""
+    _, leaves = depth2_tree(spark, sf, _CASE)
+    shown = leaves.where(~F.col("part")).select(
+        *_CASE, *[F.col("f")[i].alias(c) for i, c in enumerate(_TREE_INPUTS)],
+        *[F.col("y")[i].alias(t) for i, t in enumerate(_TARGETS)],
+        *[F.round(F.col("means")[i], 6).alias(f"pred_{t}") for i, t in enumerate(_TARGETS)])
+    return shown.orderBy(*_CASE, *_TARGETS).limit(5)
+
+
+FOREST_TREES = 100
+
+
 @query("ml_rf_regression")
 def ml_rf_regression(spark, sf):
-    """Random-forest regressors (seed 1), one per target: injury level and one
-    dummy per body part, inputs the environment dummies and temperature with
-    -999 imputed by the training mean; MAE per target on the test part (M17)
-    and its average over the targets (M18)."""
+    """One forest of 100 trees, grown until no split gains, for all targets
+    together: injury level and one dummy per body part, inputs the environment
+    dummies and temperature (M17); its error per target on the test part and
+    their average (M18)."""
     key = _model_key("rfreg", spark, sf)
     if key not in _MODEL_CACHE:
-        df = ensure_and_checkpoint(spark, dummy_table(spark, sf), "GameID")
-        inputs = ["Temperature"] + [n for n in _DUMMY_NAMES if not n.startswith("BodyPart_")]
-        bucket = C.hash_bucket("GameID")
-        train, test = df.where(bucket < 75), df.where(bucket >= 75)
-        imputer = CL.fit_mean_imputer(train, "Temperature", -999.0)
-        train, test = imputer.transform(train), imputer.transform(test)
-        assembled_train = ML.assembler(inputs).transform(train)
-        assembled_test = ML.assembler(inputs).transform(test)
-        rows = []
-        for t in _TARGETS:
-            model = ML.rf_regressor(t, seed=1).fit(assembled_train.withColumn(t, F.col(t).cast("double")))
-            pred = model.transform(assembled_test.withColumn(t, F.col(t).cast("double")))
-            rows.append((t, round(ML.regression_mae(pred, t), 6)))
-        # the source reports the mean of the forest's errors over all targets
-        _MODEL_CACHE[key] = [*rows, ("average", round(sum(v for _, v in rows) / len(rows), 6))]
+        table = FO.cells(tree_rows(spark, sf), _TREE_INPUTS, _TARGETS, F.col("is_train"))
+        _, leaves = FO.grow(table, len(_TARGETS), FOREST_TREES)
+        errors = FO.mean_errors(FO.predictions(leaves, len(_TARGETS)), _TARGETS)
+        _MODEL_CACHE[key] = [(r["target"], round(r["mae"], 6)) for r in errors.collect()]     # a row per target
     return spark.createDataFrame(_MODEL_CACHE[key], "target string, mae double")
