@@ -2,9 +2,11 @@
 
 1. Texts become ids (plus the end id) and are cut into pieces of at most
    ``LENGTH`` ids: whole sequences first, then the rest of the document.
-2. Pieces are counted by length class (``STEP`` ids wide, rounded up): a
-   histogram of at most ``LENGTH / STEP`` numbers, the only thing the driver
-   gets from the corpus.
+2. Pieces are counted by length: a histogram of at most ``LENGTH`` numbers, the
+   only thing the driver gets from the corpus.  Items are what is packed, in
+   classes ``STEP`` ids wide, rounded up.  Short pieces (below ``SHORT``) of one
+   length make bundles of 2, 4 or 8 whose size is a whole number of ``STEP`` ids,
+   so rounding costs them nothing; other pieces are items of their own.
 3. Column generation on the histogram: a linear program over patterns (how
    many pieces of each class share a sequence) minimises sequences; a knapsack
    dynamic program over the dual prices finds the pattern with the best
@@ -12,10 +14,10 @@
    program within ``GAP`` (or half a sequence) of its optimum.
 4. Patterns are rounded down; the pieces left over (less than one sequence a
    pattern) are packed largest first.
-5. Pieces are ranked within their class over all tasks (range partitions, a
+5. Pieces are ranked within their length over all tasks (range partitions, a
    running number in each, bases from prefix sums of at most ``partitions +
-   classes`` counts), and rank ``r`` of a class takes the ``r``-th slot that
-   the patterns offer to it.
+   lengths`` counts).  The rank gives the item, and item ``r`` of a class takes
+   the ``r``-th slot that the patterns offer to it.
 
 Scale: ids are made once; after that only narrow rows move.  No class is ever
 in one task: a class of a third of all pieces spreads over many ranges.
@@ -28,6 +30,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -36,11 +39,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, size_hint_partitions
 from .tokens import piece_tokenizer
 
 LENGTH = 2048
 STEP = 8
+SHORT = 64
+ROWS_PER_RANGE = 1 << 20
 END = 1
 GAP = 5e-4
 VOCABULARY = "byte_bpe_50k.json"
@@ -163,51 +168,70 @@ def slots(sizes: np.ndarray, planned: list[tuple[np.ndarray, int]]) -> list[tupl
     return out
 
 
+def items(histogram: dict[int, int], step: int = STEP, short: int = SHORT) -> list[tuple[int, int, int, int, int, int]]:
+    """``(length, low, high, per, units, first)``: ranks ``low`` to ``high`` of a length are items of ``per`` pieces
+    and ``units`` steps, the first of them number ``first`` of that class."""
+    out, number = [], {}
+    for length, n in sorted(histogram.items()):
+        per = step // math.gcd(length, step) if length < short else 1
+        whole = n // per * per
+        for low, high, each in ((0, whole, per), (whole, n, 1)):
+            if high > low:
+                units = -(-length * each // step)
+                out.append((length, low, high, each, units, number.get(units, 0)))
+                number[units] = number.get(units, 0) + (high - low) // each
+    return out
+
+
 # ---- assignment ---------------------------------------------------------------------------------
 
-def _ranked(cut: DataFrame) -> DataFrame:
-    """``cut`` with ``units`` and the rank within the class, without a class ever being in one task."""
-    spark = cut.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by = ["units", "doc_id", "start", "ids_crc32"]
+def _ranked(cut: DataFrame, rows: int) -> DataFrame:
+    """``cut`` with the rank within its length, without a length ever being in one task."""
+    ranges = size_hint_partitions(rows, ROWS_PER_RANGE, int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    by = ["length", "doc_id", "start", "ids_crc32"]
     ordered = cut.repartitionByRange(ranges, *by).sortWithinPartitions(*by)
     schema = ordered.schema.simpleString()[len("struct<"):-1].replace(":", " ")
 
     def number(batches):
         task, last, done = TaskContext.get().partitionId(), None, 0
         for batch in batches:
-            units = batch["units"].to_numpy()
-            if not len(units):
+            length = batch["length"].to_numpy()
+            if not len(length):
                 continue
-            at = np.arange(len(units))
-            run = np.maximum.accumulate(np.where(np.append(True, units[1:] != units[:-1]), at, 0))
-            local = at - run + np.where((run == 0) & (units[0] == last), done, 0)
-            last, done = units[-1], int(local[-1]) + 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(units), task), pa.int32()), pa.array(local)],
+            at = np.arange(len(length))
+            run = np.maximum.accumulate(np.where(np.append(True, length[1:] != length[:-1]), at, 0))
+            local = at - run + np.where((run == 0) & (length[0] == last), done, 0)
+            last, done = length[-1], int(local[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(length), task), pa.int32()), pa.array(local)],
                                              names=[*batch.schema.names, "task", "local"])
     numbered = saved(ordered.mapInArrow(number, f"{schema}, task int, local long"), "packing-ranks")
-    # at most tasks + classes rows
-    before = Window.partitionBy("units").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    bases = numbered.groupBy("task", "units").agg(F.count(F.lit(1)).alias("n")).select(
-        "task", "units", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return numbered.join(F.broadcast(bases), ["task", "units"]).withColumn("rank", F.col("base") + F.col("local"))
+    # at most tasks + lengths rows
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    bases = numbered.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")).select(
+        "task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return numbered.join(F.broadcast(bases), ["task", "length"]).withColumn("rank", F.col("base") + F.col("local"))
 
 
 def assign(cut: DataFrame, length: int = LENGTH, step: int = STEP) -> DataFrame:
     """``cut`` (a saved table of pieces) with ``sequence_id`` and ``offset``."""
     spark = cut.sparkSession
-    classed = cut.withColumn("units", F.ceil(F.col("length") / step).cast("long"))
-    histogram = {r["units"]: r["n"] for r in classed.groupBy("units").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sizes = np.array(sorted(histogram), np.int64)
-    demand = np.array([histogram[u] for u in sizes], np.int64)
+    histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kinds = items(histogram, step)
+    count: dict[int, int] = {}
+    for _, low, high, per, units, _ in kinds:
+        count[units] = count.get(units, 0) + (high - low) // per
+    sizes = np.array(sorted(count), np.int64)
+    demand = np.array([count[u] for u in sizes], np.int64)
     table = slots(sizes, plan(sizes, demand, length // step))      # bounded by classes x patterns
-    offered = spark.createDataFrame(table or [(0, 0, 0, 1, 0)],
-                                    "_units long, low long, high long, each long, first long")
-    ranked = _ranked(classed)
-    placed = ranked.join(F.broadcast(offered), (F.col("units") == F.col("_units")) & (F.col("rank") >= F.col("low"))
-                         & (F.col("rank") < F.col("high")))
-    placed = placed.withColumn("sequence_id", F.col("first") + F.floor((F.col("rank") - F.col("low")) / F.col("each")))
-    inside = Window.partitionBy("sequence_id").orderBy(F.desc("units"), "rank")   # at most ``length`` pieces
+    bundled = spark.createDataFrame(kinds or [(0, 0, 0, 1, 0, 0)], "_length long, from long, to long, per long, units long, nr long")
+    offered = spark.createDataFrame(table or [(0, 0, 0, 1, 0)], "_units long, low long, high long, each long, first long")
+    item = _ranked(cut, sum(histogram.values())).join(
+        F.broadcast(bundled), (F.col("length") == F.col("_length")) & (F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("to")))
+    item = item.withColumn("item", F.expr("nr + (rank - from) div per"))
+    placed = item.join(F.broadcast(offered), (F.col("units") == F.col("_units")) & (F.col("item") >= F.col("low"))
+                       & (F.col("item") < F.col("high")))
+    placed = placed.withColumn("sequence_id", F.expr("first + (item - low) div each"))
+    inside = Window.partitionBy("sequence_id").orderBy(F.desc("units"), "item", "rank")   # at most ``length`` pieces
     return placed.select(*cut.columns, "sequence_id",
                          (F.sum("length").over(inside) - F.col("length")).alias("offset"))
 

@@ -8,6 +8,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from playtrack.llm import lm_scoring, packing, quality, token_files, tokens, topk
 
@@ -70,6 +72,30 @@ def test_packing_round_trip(spark):
     assert len({r["sequence_id"] for r in rows}) <= 1.03 * total / 2048 + 1
 
 
+@pytest.mark.parametrize("words", [1, 2, 5, 9, 30])
+def test_short_pieces_leave_little_padding(make_docs, words):
+    docs = make_docs([(i, " ".join(["a"] * words)) for i in range(4_000)] + [(10_000 + i, None) for i in range(7)])
+    rows = packing.pack(docs).collect()
+    ids, sequences = sum(r["length"] for r in rows), {r["sequence_id"] for r in rows}
+    assert len(rows) == 4_007 and len(sequences) <= ids / 2048 / 0.965 + 1
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 2048
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(1, 200), st.integers(1, 60), max_size=20))
+def test_items_number_every_piece_once(histogram):
+    seen = {}
+    for length, low, high, per, units, first in packing.items(histogram):
+        assert (high - low) % per == 0 and (units - 1) * 8 < length * per <= units * 8 and (per == 1 or length * per == units * 8)
+        seen.setdefault(units, []).extend(range(first, first + (high - low) // per))
+    assert all(sorted(v) == list(range(len(v))) for v in seen.values())
+    assert sum((high - low) for _, low, high, *_ in packing.items(histogram)) == sum(histogram.values())
+
+
 def test_packing_odd_rows_and_sequences(odd_docs, no_docs):
     packed = packing.pack(odd_docs, length=256, keep_ids=True)
     rows = packed.collect()
