@@ -3,9 +3,8 @@
 A text is cut where the tokenizer's own pre-tokenizer always cuts, so the ids
 of the pieces in a row are the ids of the text:
 
-* ``space_keeping`` (byte-level BPE): before a space that stands between a
-  character that is not white space and one that is not; texts with a space
-  followed by white space are encoded whole.
+* ``space_keeping`` (byte-level BPE): before every run of white space; texts
+  with other white space than spaces, tabs and line ends are encoded whole.
 * ``space_dropping`` (white space never reaches a token): at every space and
   line feed.
 
@@ -18,11 +17,14 @@ and frequent pieces stay.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
 CACHE = 1_000_000
 LONGEST = 64            # longer pieces are not kept
+_CUT = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
+_OTHER_SPACE = re.compile("[\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _LOADED: dict[str, PieceTokenizer] = {}
 
 
@@ -55,17 +57,13 @@ class PieceTokenizer:
     def _pieces(self, text: str) -> list[str] | None:
         if not self.keeps_space:
             return text.replace("\n", " ").split(" ")
-        return None if "\0" in text else text.replace(" ", "\0 ").split("\0")
-
-    def _open(self, piece: str) -> bool:
-        """Whether white space goes on behind the space that begins the piece, so that the text must stay whole."""
-        return self.keeps_space and piece[0] == " " and (len(piece) == 1 or piece[1].isspace())
+        return None if _OTHER_SPACE.search(text) else _CUT.findall(text)
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         """Ids of distinct pieces, many in one call."""
         if self.keeps_space:
-            # one text of pieces that start with a space and then no white space is cut at each of them
-            joint = [x for x in new if x[0] == " "]
+            # one text of pieces that start with white space, and have more than that, is cut at each of them
+            joint = [x for x in new if x[0] in " \n\r\t" and not x.isspace()]
             alone = set(new).difference(joint)
         else:
             joint, alone = new, set()
@@ -95,18 +93,17 @@ class PieceTokenizer:
             again = {x: older[x] for x in new if x in older}
             cache.update(again)
             new.difference_update(again)
-            whole = {x for x in new if self._open(x)}
             # an ASCII letter or digit and a closing mark never share a token: such a piece is its stem and the mark
             closed = {x for x in new if x[-1] in self.marks and x[-2:-1].isalnum() and x[-2].isascii()}
             stems = {x[:-1] for x in closed}
             known = {x: cache[x] if x in cache else older[x] for x in stems if x in cache or x in older}
-            more = self._learn(list((new - whole - closed).union(stems.difference(known))))
+            more = self._learn(list((new - closed).union(stems.difference(known))))
             more |= known
             more |= {x: more[x[:-1]] + self.marks[x[-1]] for x in closed}
             cache.update((k, v) for k, v in more.items() if len(k) <= LONGEST)
             long = {k: v for k, v in more.items() if len(k) > LONGEST}
             for p, text in zip(pieces, texts[at:at + 200], strict=True):
-                if p is None or whole and not whole.isdisjoint(p):
+                if p is None:
                     out.append(self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids))
                 elif long:
                     out.append(b"".join([cache[x] if x in cache else long[x] for x in p]))
