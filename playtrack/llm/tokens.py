@@ -45,6 +45,9 @@ class PieceTokenizer:
         self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
         self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
         self.keeps_space = keeps_space
+        vocab = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)
+        self.sizes[list(vocab.values())] = [len(token) for token in vocab]
         self.cache: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
@@ -68,16 +71,21 @@ class PieceTokenizer:
         else:
             joint, alone = new, set()
         out = {x: self._bytes(self.tokenizer.encode([x], is_pretokenized=True, add_special_tokens=False).ids) for x in alone}
-        gap = "" if self.keeps_space else " "
         for at in range(0, len(joint), 200):
             words = joint[at:at + 200]
-            got = self.tokenizer.encode(gap.join(words), add_special_tokens=False)
-            ids = self._bytes(got.ids)
-            begins = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids))
-            stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + len(gap))
-            start = 0
-            for word, end in zip(words, (np.searchsorted(begins, stops) * 4).tolist(), strict=True):
-                out[word] = ids[start:end]
+            if self.keeps_space:
+                # a byte-level token stands for as many bytes as it has characters
+                ids = np.asarray(self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
+                stops = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+                ends = np.searchsorted(np.cumsum(self.sizes[ids]), stops) + 1
+            else:
+                got = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+                ids = np.asarray(got.ids, "<u4")
+                begins = np.fromiter((a for a, _ in got.offsets), np.int64, len(ids))
+                ends = np.searchsorted(begins, np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1))
+            data, start = ids.tobytes(), 0
+            for word, end in zip(words, (ends * 4).tolist(), strict=True):
+                out[word] = data[start:end]
                 start = end
         return out
 
