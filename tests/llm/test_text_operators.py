@@ -416,3 +416,52 @@ def test_substring_odd_rows(odd_docs, no_docs):
     assert {(1, 0, False), (2, 0, False), (None, 28, False)} <= got
     assert {x[2] for x in got if x[0] == 6} == {True}
     assert substring_dedup.dedup(no_docs).count() == 0
+
+
+def plain_substring_dedup(docs):
+    """``{doc_id: (n_repeated, spans, text)}`` of ``(doc_id, text)`` in their order, byte by byte."""
+    last, out = {}, {}
+    texts = {i: text.encode() for i, text in docs}
+    for i, data in texts.items():
+        ends = substring_dedup.cuts(data)
+        chunks = list(itertools.pairwise([0, *ends])) if ends else []
+        covered, repeated = set(), 0
+        for a, b in chunks:
+            before = last.get(data[a:b])
+            last[data[a:b]] = (i, a)
+            if before is None:
+                continue
+            repeated += 1
+            other, low = texts[before[0]], before[1]
+            covered.update(range(a, b))
+            for step, x, y in ((-1, a - 1, low - 1), (1, b, low + b - a)):
+                n = 0
+                while n < substring_dedup.RUN and 0 <= x < len(data) and 0 <= y < len(other) and data[x] == other[y]:
+                    covered.add(x)
+                    x, y, n = x + step, y + step, n + 1
+        spans, places = [], sorted(covered)
+        for _, run in itertools.groupby(enumerate(places), lambda e: e[1] - e[0]):
+            run = [p for _, p in run]
+            if len(run) >= substring_dedup.RUN:
+                spans.append(substring_dedup.whole_characters(data, run[0], run[-1] + 1))
+        gone = {p for a, b in spans for p in range(a, b)}
+        out[i] = (repeated, spans, bytes(c for p, c in enumerate(data) if p not in gone).decode())
+    return out
+
+
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 30_000, "bucket_bytes": 50_000}])
+def test_substring_dedup_equals_a_plain_version_on_a_whole_table(spark, sizes):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = plain_substring_dedup(sorted((r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()))
+    got = {r["doc_id"]: (r["n_repeated"], [tuple(s) for s in r["spans"]], r["text"])
+           for r in substring_dedup.dedup(docs, **sizes).collect()}
+    assert [i for i in want if got[i] != want[i]] == [] and len(got) == docs.count()
+
+
+def test_substring_blocks_make_no_difference(odd_docs, make_docs):
+    many = make_docs([(i, passage(i % 7, 60) + f" {i} " + passage(1000 + i, 30)) for i in range(120)])
+    for docs in (odd_docs, many):
+        rows = [sorted((r["doc_id"] or 0, r["n_bytes"], r["n_repeated"], r["n_removed"], str(r["spans"]), r["text"])
+                       for r in substring_dedup.dedup(docs, **sizes).collect())
+                for sizes in ({}, {"block_bytes": 4_000, "bucket_bytes": 3_000})]
+        assert rows[0] == rows[1] and len(rows[0]) == docs.count()
