@@ -1,7 +1,7 @@
 """Game and player feature tables.
 
-Shuffle plan: the play list is grouped once per (player, game) with partial
-aggregation; the game list is a distinct over game attributes; tracking frames
+Shuffle plan: what game tables ask of the play list is kept in two small
+tables that merge (``GameFacts``), stored bucketed by game; tracking frames
 are windowed by PlayKey and pre-aggregated per game before their one join.
 The player table is ONE aggregation: averages, the injury sum and the pivot
 counts (fixed value lists) come out of the same shuffle on PlayerKey.
@@ -9,6 +9,8 @@ counts (fixed value lists) come out of the same shuffle on PlayerKey.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,33 +58,66 @@ def rest_days(games: DataFrame, player: str = "GamePlayerID", default_day: int =
     return prev.withColumn("Rest_days", F.col("PlayerDay") - F.col("_prev_day")).drop("_prev_day")
 
 
-def game_counts(clean: DataFrame) -> DataFrame:
-    """Distinct counts per player-game (``MaxPlayGamePlay`` counts distinct plays).
+GAME_KEYS = ["PlayerKey", "GameID", "PlayerGame"]
+COUNTED = {"RosterPosition": "NumRosterPosition", "PlayType": "NumPlayTypePerGame", "Position": "NumPositionPerGame"}
+
+
+class GameFacts(NamedTuple):
+    """What the game tables ask of the play list, in states that merge (``game_marks``, ``game_list``)."""
+
+    marks: DataFrame
+    rows: DataFrame
+
 
-    The three category columns have small fixed domains, so their distinct
-    sets are bounded by the domain and ``size(collect_set)`` is exact; only the
-    play number (unbounded per game) uses ``countDistinct``.  A single
-    distinct aggregate needs no Expand (four would copy every row four times
-    through two shuffles); its first shuffle is on (game, play number), so a
-    huge game is spread over many tasks.
+def game_marks(clean: DataFrame) -> DataFrame:
+    """``PlayerKey, GameID, PlayerGame, kind, value, bits``: the distinct values of a player-game.
+
+    A row per category that occurs, and one per 64 play numbers, whose bits
+    say which occur.  Bits merge by "or", so one hash aggregate with map-side
+    combine builds the table, and marks of other plays can be added to it
+    (``merged_facts``).  A null value keeps the game and counts nothing.
     """
-    def distinct_categories(c):
-        return F.size(F.collect_set(c)).cast("bigint")
-    return (clean.groupBy("PlayerKey", "GameID", "PlayerGame")
-            .agg(distinct_categories("RosterPosition").alias("NumRosterPosition"),
-                 distinct_categories("PlayType").alias("NumPlayTypePerGame"),
-                 distinct_categories("Position").alias("NumPositionPerGame"),
-                 F.countDistinct("PlayerGamePlay").alias("MaxPlayGamePlay")))
+    play = F.col("PlayerGamePlay").cast("long")
+    values = [F.struct(F.lit(c).alias("kind"), F.col(c).alias("value"), F.lit(0).cast("long").alias("bits")) for c in COUNTED]
+    values.append(F.struct(F.lit("PlayerGamePlay").alias("kind"), F.shiftright(play, 6).cast("string").alias("value"),
+                           F.expr("shiftleft(1L, cast(PlayerGamePlay & 63 as int))").alias("bits")))
+    return _one_each(clean.select(*GAME_KEYS, F.explode(F.array(*values)).alias("mark")).select(*GAME_KEYS, "mark.*"))
+
 
+def _one_each(marks: DataFrame) -> DataFrame:
+    return marks.groupBy(*GAME_KEYS, "kind", "value").agg(F.bit_or("bits").alias("bits"))
 
-def game_features(plays: DataFrame) -> DataFrame:
-    """One row per player-game (per distinct game-attribute combination)."""
+
+def game_facts(plays: DataFrame) -> GameFacts:
     clean = clean_plays(plays)
-    counts = game_counts(clean)
-    # hot players are found on the play list (>= games per player), not on the game list
-    probe = plays.select(F.col("PlayerKey").alias("GamePlayerID"))
-    games = rest_days(game_list(clean), probe=probe).drop("GamePlayerID", "PlayerGame")
-    return counts.join(games, "GameID")
+    return GameFacts(game_marks(clean), game_list(clean))
+
+
+def merged_facts(known: GameFacts, more: GameFacts) -> GameFacts:
+    """Facts of both play lists together; only ``more`` was derived from plays anew."""
+    return GameFacts(_one_each(known.marks.unionByName(more.marks)), known.rows.unionByName(more.rows).distinct())
+
+
+def game_counts(marks: DataFrame) -> DataFrame:
+    """Distinct counts per player-game from ``game_marks`` (``MaxPlayGamePlay`` counts distinct plays).
+
+    Marks are distinct already, so these are plain sums: no distinct
+    aggregate, no sets, and no shuffle where marks are bucketed by game.
+    """
+    counts = [F.count(F.when(F.col("kind") == c, F.col("value"))).alias(n) for c, n in COUNTED.items()]
+    plays = F.sum(F.when(F.col("kind") == "PlayerGamePlay", F.bit_count("bits")))
+    return marks.groupBy(*GAME_KEYS).agg(*counts, F.coalesce(plays, F.lit(0)).cast("bigint").alias("MaxPlayGamePlay"))
+
+
+def game_features(plays: DataFrame, facts: GameFacts | None = None) -> DataFrame:
+    """One row per player-game (per distinct game-attribute combination).
+
+    With stored ``facts`` the play list is not read.
+    """
+    # hot players are found on the play list (>= games per player) where the game list is not stored
+    probe = facts.rows if facts else plays.select(F.col("PlayerKey").alias("GamePlayerID"))
+    marks, rows = facts or game_facts(plays)
+    return game_counts(marks).join(rest_days(rows, probe=probe).drop("GamePlayerID", "PlayerGame"), "GameID")
 
 
 def game_injury_label(games: DataFrame, injuries: DataFrame) -> DataFrame:
@@ -140,9 +175,9 @@ def track_game_features(tracks: DataFrame, mode: str = "reference") -> DataFrame
 
 # -- X4 / X5 --------------------------------------------------------------
 def player_game_features(plays: DataFrame, injuries: DataFrame, tracks: DataFrame,
-                         mode: str = "reference") -> DataFrame:
+                         mode: str = "reference", facts: GameFacts | None = None) -> DataFrame:
     """The 17-column player-game table."""
-    labelled = game_injury_label(game_features(plays), injuries)
+    labelled = game_injury_label(game_features(plays, facts), injuries)
     track = track_game_features(tracks, mode)
     return (labelled.join(track, labelled.GameID == track.TrackGameID, "left")
             .select(*GAME_FEATURE_COLUMNS))

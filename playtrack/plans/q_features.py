@@ -31,7 +31,8 @@ GAME_FEATURE_OUT = ["GameID", "PlayerKey", "PlayerGame", "NumRosterPosition", "N
 
 
 def player_game_table(spark, sf, mode="reference"):
-    return FE.player_game_features(S.plays(spark, sf), S.injuries(spark, sf), S.tracks(spark, sf), mode)
+    return FE.player_game_features(S.plays(spark, sf), S.injuries(spark, sf), S.tracks(spark, sf), mode,
+                                   S.game_facts(spark, sf))
 
 
 def player_table(spark, sf):
@@ -40,20 +41,18 @@ def player_table(spark, sf):
 
 @query("rest_days", sql="select GamePlayerID, GameID, PlayerGame, PlayerDay, Rest_days from rest", ctes=GAMES)
 def rest_days(spark, sf):
-    from ..operators.clean import clean_plays
-    games = FE.game_list(clean_plays(S.plays(spark, sf)))
-    return FE.rest_days(games).select("GamePlayerID", "GameID", "PlayerGame", "PlayerDay", "Rest_days")
+    return FE.rest_days(S.game_facts(spark, sf).rows).select("GamePlayerID", "GameID", "PlayerGame", "PlayerDay", "Rest_days")
 
 
 @query("game_features", sql="select " + ", ".join(GAME_FEATURE_OUT) + " from gamefeat", ctes=GAMES)
 def game_features(spark, sf):
-    return FE.game_features(S.plays(spark, sf)).select(*GAME_FEATURE_OUT)
+    return FE.game_features(S.plays(spark, sf), S.game_facts(spark, sf)).select(*GAME_FEATURE_OUT)
 
 
 @query("game_injury_label", sql="select " + ", ".join(GAME_FEATURE_OUT) + ", Severity, IsInjury from gamelabel",
        ctes=GAMES)
 def game_injury_label(spark, sf):
-    g = FE.game_injury_label(FE.game_features(S.plays(spark, sf)), S.injuries(spark, sf))
+    g = FE.game_injury_label(FE.game_features(S.plays(spark, sf), S.game_facts(spark, sf)), S.injuries(spark, sf))
     return g.select(*GAME_FEATURE_OUT, "Severity", "IsInjury")
 
 

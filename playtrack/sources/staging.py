@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import features as FE
 from ..operators import skew as SK
 from ..operators.tracking import PlayMarks, game_days, play_marks
 from .tables import table
@@ -195,7 +196,7 @@ def source_state(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict:
-    """Derive and store the three tables, the plays' marks and the games' days once per (session, input folder).
+    """Derive and store the three tables, the plays' marks and the games' days and facts once per (session, input folder).
 
     Each table is repartitioned by ``PlayKey`` into the bucket count before the
     write, so every write task produces one file per bucket it owns (no
@@ -225,7 +226,10 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> dict:
         names[name] = tname
     # what the frame chain asks of a play, stored beside the frames and bucketed alike
     more = [(name, rows, "PlayKey") for name, rows in play_marks(spark.table(names["tracks"]))._asdict().items()]
-    for name, rows, by in [*more, ("games", game_days(spark.table(names["plays"])), "GameID")]:
+    # and what the game tables ask of the play list, bucketed by game
+    facts = FE.game_facts(spark.table(names["plays"]))
+    for name, rows, by in [*more, ("games", game_days(spark.table(names["plays"])), "GameID"),
+                           ("game_marks", facts.marks, "GameID"), ("game_rows", facts.rows, "GameID")]:
         tname = f"playtrack_{name}_{tag}"
         (rows.repartition(n, by).write.mode("overwrite").option("path", f"{base}/{name}")
          .bucketBy(n, by).sortBy(by).saveAsTable(tname))
@@ -267,6 +271,14 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(stored_tables(spark, sf_dir)["games"])
 
 
+def game_facts(spark: SparkSession, sf_dir: str) -> FE.GameFacts:
+    """``features.game_facts`` of ``plays``."""
+    if not _store_enabled(spark):
+        return FE.game_facts(derive_plays(spark, sf_dir))
+    names = stored_tables(spark, sf_dir)
+    return FE.GameFacts(spark.table(names["game_marks"]), spark.table(names["game_rows"]))
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Register ``plays``, ``injuries`` and ``tracks`` as temp views for SQL."""
     plays(spark, sf_dir).createOrReplaceTempView("plays")

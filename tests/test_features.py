@@ -134,3 +134,23 @@ def test_hot_key_path_equals_plain_windows_on_many_rows(spark, tmp_path):
                      (SK.lag_in_group(df, "k", ["i"], "v", "p", default=-1.0, hot_rows=100_000), "p")):
         wrong = got.select("k", "i", F.col(col).alias("got")).join(want, ["k", "i"]).where(~F.col("got").eqNullSafe(F.col(col)))
         assert got.count() == n and wrong.count() == 0
+
+
+def test_game_facts_merge(spark):
+    """Facts of two play lists together, play by play, are those of both; also beyond 64 plays, below zero and with nulls."""
+    rows = [("7", f"7-{g}", f"7-{g}-{n}", "Safety" if n % 3 else None, g, g, "Outdoor", "Natural", 50.0, "Sunny",
+             ["Pass", "Rush", None, "0"][n % 4], n if n % 11 else None, ["SS", "FS"][n % 2], "DB")
+            for g in (1, 2) for n in [*range(-3, 150), 70, 70]]
+    rows.append(("8", "8-1", "8-1-1", None, 1, 1, None, None, None, None, None, None, None, None))
+    df = spark.createDataFrame(rows, PLAY_SCHEMA)
+    parts = [df.where(F.pmod(F.hash("PlayKey"), F.lit(2)) == i) for i in (0, 1)]
+    both = FE.merged_facts(*[FE.game_facts(p) for p in parts])
+    got = sorted((tuple(r) for r in FE.game_features(df, both).collect()), key=str)
+    assert got == sorted((tuple(r) for r in FE.game_features(df).collect()), key=str)
+    clean = clean_plays(df)
+    want = clean.groupBy("PlayerKey", "GameID").agg(
+        F.countDistinct("RosterPosition").alias("r"), F.countDistinct("PlayType").alias("t"),
+        F.countDistinct("Position").alias("p"), F.countDistinct("PlayerGamePlay").alias("n"))
+    counts = FE.game_counts(both.marks).select("PlayerKey", "GameID", "NumRosterPosition", "NumPlayTypePerGame",
+                                               "NumPositionPerGame", "MaxPlayGamePlay")
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, want.collect()))

@@ -85,3 +85,20 @@ def test_a_histogram_reads_its_source_once(spark, name):
     joined = {"hist_orientation_fixed": 2}      # plays: for the season and for the attributes
     assert final.count(f"FileScan parquet spark_catalog.default.playtrack_{table}_") == 1
     assert final.count("FileScan parquet spark_catalog.default.playtrack_plays_") <= joined.get(name, 1)
+
+
+GAME = ["game_features", "game_injury_label", "player_game_features", "player_features"]
+
+
+@pytest.mark.parametrize("name", GAME)
+def test_game_tables_read_stored_facts_once(spark, name):
+    """No scan of the play list, no object aggregate or distinct count, and no shuffle of the marks before their sums."""
+    df = queries()[name](spark, SF)
+    df.collect()
+    final = _plan(df).split("+- == Initial Plan ==")[0]
+    assert "playtrack_plays_" not in final and "ObjectHashAggregate" not in final and "distinct" not in final.lower()
+    assert final.count("playtrack_game_marks_") == 1 and final.count("playtrack_game_rows_") == 1
+    marks = next(i for i, line in enumerate(final.splitlines()) if "playtrack_game_marks_" in line)
+    above = final.splitlines()[:marks]
+    last_sum = max(i for i, line in enumerate(above) if "HashAggregate" in line and "bit_count" in line)
+    assert not any("Exchange" in line for line in above[last_sum:])
