@@ -120,6 +120,31 @@ def param_table(spark: SparkSession, stage, names) -> DataFrame:
     return spark.createDataFrame(rows, "param string, value string")
 
 
+def optimality_gaps(model: PipelineModel, rows: DataFrame, label: str = "IsInjury") -> DataFrame:
+    """``(slot, gap)``: how far the fitted LR is from the optimum of its own objective on ``rows``, per feature.
+
+    At the optimum the penalised gradient of every (standardised) coefficient
+    is zero, or within the L1 weight where the coefficient is zero; the
+    intercept (slot -1) leaves the errors without a mean.  One grouped sum over
+    the rows; a feature without variance has no coefficient and no gap.
+    """
+    lr = model.stages[-1]
+    l1 = lr.getRegParam() * lr.getElasticNetParam()
+    l2 = lr.getRegParam() - l1
+    error = vector_to_array("probability")[1] - F.col(label)
+    values = F.concat(F.array(F.lit(1.0)), vector_to_array(lr.getFeaturesCol()))
+    each = model.transform(rows).select(error.alias("_error"), F.posexplode(values).alias("slot", "_x"))
+    sums = each.groupBy((F.col("slot") - 1).alias("slot")).agg(F.avg(F.col("_error") * F.col("_x")).alias("_g"),
+                                                                F.stddev_samp("_x").alias("_s"))
+    weights = F.array(*[F.lit(float(w)) for w in lr.coefficients.toArray()])
+    beta, slope = F.get(weights, F.col("slot")) * F.col("_s"), F.try_divide(F.col("_g"), F.col("_s"))
+    gap = (F.when(F.col("slot") < 0, F.abs("_g") if lr.getFitIntercept() else F.lit(0.0))
+           .when(F.coalesce(F.col("_s"), F.lit(0.0)) == 0, 0.0)
+           .when(beta == 0, F.greatest(F.abs(slope) - l1, F.lit(0.0)))
+           .otherwise(F.abs(slope + l2 * beta + l1 * F.signum(beta))))
+    return sums.select("slot", gap.alias("gap"))
+
+
 # -- M12/M13: metrics from a prediction table (distributed) -----------------
 def label_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Per-label FPR, TPR (= recall), precision and F1 from a prediction table.

@@ -17,6 +17,7 @@ from ..operators import clean as CL
 from ..operators import features as FE
 from ..operators import forest as FO
 from ..operators import ml as ML
+from ..operators import ranks as RK
 from ..operators import reports as R
 from .q_features import player_game_table, player_table, round_doubles
 from .q_injury import ENV_CLEAN_CTE, injury_environment_clean_df, injury_environment_df, INJ_ENV_CTE
@@ -43,6 +44,14 @@ def ml_string_index(spark, sf):
             .withColumn("Weather_index", F.col("Weather_index").cast("bigint")))
 
 
+@query("ml_string_index_ranks",
+       sql="""select RosterPosition, cast(row_number() over (order by count(*) desc, RosterPosition) - 1 as bigint)
+ as RosterPosition_index from pgf where RosterPosition is not null group by RosterPosition""", ctes=PGF)
+def ml_string_index_ranks(spark, sf):
+    """The index by ranks over ranges of (count, label): labels never meet on the driver (M1)."""
+    return RK.string_index(player_game_table(spark, sf), "RosterPosition")
+
+
 _ONE_HOT_SLOTS = 4   # five weather classes after cleaning, the last one dropped
 
 
@@ -285,6 +294,37 @@ def ml_player_model(spark, sf):
     return spark.createDataFrame(rows, "model string, auc double")
 
 
+# What is checked of the fitted models: the rows they are fitted and scored on, and that the checks hold.
+_PARTS = PGF + f""",\nlabelled AS (select {_hash_sql('GameID')} < 50 as is_train, IsInjury as y from pgf)"""
+GAP = 1e-3
+
+
+@query("ml_lr_optimality", sql="select count(*) as rows, cast(sum(y) as bigint) as positives, true as optimal from labelled where is_train",
+       ctes=_PARTS)
+def ml_lr_optimality(spark, sf):
+    """Whether the per-game LR is optimal on its training rows: no penalised gradient beyond GAP."""
+    _, train, _, model, _ = game_models(spark, sf)
+    counts = train.agg(F.count(F.lit(1)).alias("rows"), F.sum("IsInjury").cast("bigint").alias("positives"))
+    gap = ML.optimality_gaps(model, train).agg((F.max("gap") < GAP).alias("optimal"))
+    return counts.join(gap)                                     # one row each
+
+
+@query("ml_auc_by_ranks", sql="""select model, count(*) as rows, cast(sum(y) as bigint) as positives,
+ case when sum(y) between 1 and count(*) - 1 then true end as agrees
+ from labelled, (values ('LogisticRegression'), ('RandomForest')) m(model) where not is_train group by model""", ctes=_PARTS)
+def ml_auc_by_ranks(spark, sf):
+    """Whether the evaluator's ROC area of either per-game model's scores is their rank sum."""
+    exact = ML.auc_evaluator("IsInjury").setNumBins(0)
+    _, _, test, *fits = game_models(spark, sf)
+    out = None
+    for name, model in zip(("LogisticRegression", "RandomForest"), fits, strict=True):
+        scored = model.transform(test).select("IsInjury", "rawPrediction").withColumn("score", ML.vector_to_array("rawPrediction")[1])
+        agrees = F.abs(F.col("area") - exact.evaluate(scored)) < 1e-9
+        one = RK.rank_area(scored, "IsInjury", "score").select(F.lit(name).alias("model"), "rows", "positives", agrees.alias("agrees"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("ml_cv_metrics")
 def ml_cv_metrics(spark, sf):
     """Mean cross-validated ROC area of every grid point, both searches (M7)."""

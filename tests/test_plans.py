@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 
 # Queries that run a job while being built (file round trips, model fits).
 _EAGER = {"scan_csv_schema", "scan_csv_play_list", "scan_csv_infer", "scan_csv_strings", "sink_parquet_roundtrip", "sink_parquet_append",
-          "ml_string_index", "ml_one_hot", "temperature_mean_impute", "ml_mae"}
+          "ml_string_index", "ml_one_hot", "temperature_mean_impute", "ml_mae", "ml_string_index_ranks", "ml_lr_optimality", "ml_auc_by_ranks"}
 
 
 def _plan(df):
