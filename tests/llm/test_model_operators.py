@@ -212,7 +212,7 @@ def test_top_k_equals_brute_force_in_blocks(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string").repartition(4)
     from pyspark.sql import functions as F
 
-    got = topk.top_k(topk.whole_vectors(table), F.pmod("vec_id", F.lit(50)) == 0, k=5, block=40, query_block=2)
+    got = topk.top_k(topk.whole_vectors(table), F.pmod("vec_id", F.lit(50)) == 0, k=5, block=40)
     v = {i: np.floor(256 * np.array(e, np.float32).astype(float)) for i, e, _ in rows
          if e is not None and all(a is not None and math.isfinite(a) for a in e)}
     want = []
@@ -233,6 +233,9 @@ def test_threshold_walk_stops_early_and_stays_exact():
         places, scores = lists.top(q, -1, 5, rank)
         want = np.lexsort((rank, -(x @ q)))[:5]
         assert places.tolist() == want.tolist()
+        floor = (x @ q)[want[2]]                                        # a floor leaves out what is less, not what ties
+        assert lists.top(q, -1, 5, rank, floor)[0].tolist() == [p for p in want if (x @ q)[p] >= floor]
+    assert lists.scored < 40 * len(x) / 4                               # 40 walks met less than a quarter
     big = np.array([[2 ** 40, 3], [2 ** 40, 4], [-5, 1]], dtype=object)
     assert topk.SortedLists(big).top(big[0], 0, 2, np.arange(3))[1].tolist() == [2 ** 80 + 12, -5 * 2 ** 40 + 3]
 
