@@ -50,7 +50,8 @@ class SortedLists:
         n = len(vectors)
         self.vectors, self.scored = vectors, 0
         self.order = np.argsort(vectors, axis=0, kind="stable") if order is None else order
-        self.depths = [min(FIRST_DEPTH << i, n) for i in range(n.bit_length() + 1) if FIRST_DEPTH << i < 2 * n] or [n]
+        # beyond an eighth of the lists, marking whom they name costs more than scoring all that is left
+        self.depths = [FIRST_DEPTH << i for i in range(n.bit_length()) if FIRST_DEPTH << i <= n // 8] + [n]
         ends = np.array(self.depths[:-1], dtype=np.int64)       # the last depth has met every vector
         column = np.arange(vectors.shape[1])
         self.high, self.low = vectors[self.order[n - ends], column], vectors[self.order[ends - 1], column]
@@ -99,7 +100,7 @@ class SortedLists:
                 least = scores[-1]
             if step == last or (least is not None and bounds[step] < least):
                 return places, scores
-            step = min(step + 2, last if least is None else max(enough(least), step + 1))
+            step = step + 1 if least is None else max(enough(least), step + 1)
 
 
 def _block_row(rows: pd.DataFrame) -> pd.DataFrame:
