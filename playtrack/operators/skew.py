@@ -60,20 +60,36 @@ def split_by_key_size(df: DataFrame, key: str, plain, chunked, hot_rows: int | N
     return plain(df.join(hot, key, "left_anti")).unionByName(chunked(df.join(hot, key, "left_semi")))
 
 
-def _chunks(df: DataFrame, key: str, order, chunks: int | None) -> DataFrame:
-    """``df`` in range chunks on (key, order), each row with its ``_chunk``.
-
-    The ranges come from a sample, and another evaluation of the plan may draw
-    other ones.  So the chunked rows are written once to the shared folder, and
-    everything that depends on chunk numbers reads them from there.
+def stored_ranges(df: DataFrame, by, mark: str, ranges: int | None = None) -> DataFrame:
+    """``df`` in ranges of ``by`` (an order), each row with the number of its range in ``mark``.
+
+    Ranges come from a sample, and another evaluation of the plan may draw
+    other ones.  So the dealt rows are written once to the shared folder, and
+    everything that depends on range numbers reads them from there.  Unless
+    ``ranges`` is given, the rows are stored first and counted: a range holds
+    about as many as a key may have unsplit, so ranges grow in number, not in
+    size, and neither sampling nor dealing computes ``df`` again.
     """
     spark = df.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, "chunks")
-    df.repartitionByRange(n, key, *order).withColumn("_chunk", F.spark_partition_id()).write.parquet(path)
+    if ranges is None:
+        path = scratch_path(spark, "rows")
+        df.write.parquet(path)
+        df = spark.read.schema(df.schema).parquet(path)
+        ranges = range_count(df.count(), hot_rows_of(df), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = scratch_path(spark, "ranges")
+    df.repartitionByRange(ranges, *by).withColumn(mark, F.spark_partition_id()).write.parquet(path)
     return spark.read.parquet(path)
 
 
+def range_count(rows: int, rows_of_range: int, least: int) -> int:
+    return max(least, -(-rows // rows_of_range))
+
+
+def _chunks(df: DataFrame, key: str, order, chunks: int | None) -> DataFrame:
+    """``df`` in range chunks on (key, order), each row with its ``_chunk``."""
+    return stored_ranges(df, [key, *order], "_chunk", chunks)
+
+
 def previous_in_group(df: DataFrame, key: str, order, cols, chunks: int | None = None) -> DataFrame:
     """``_prev_<c>``: value of ``c`` on the previous row of the key by ``order``."""
     ranged = _chunks(df, key, order, chunks)
