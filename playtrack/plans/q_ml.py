@@ -24,7 +24,7 @@ from .q_injury import ENV_CLEAN_CTE, injury_environment_clean_df, injury_environ
 from ..session import ensure_checkpoint_dir
 from ..sources.staging import source_state
 from .registry import query
-from .sql_blocks import PGF
+from .sql_blocks import PGF, PLAYER
 
 HASH_SQL = "(cast(('0x'||substr(md5({k}),1,8)) as bigint) % 100)"
 
@@ -295,27 +295,24 @@ def ml_player_model(spark, sf):
 
 
 # What is checked of the fitted models: the rows they are fitted and scored on, and that the checks hold.
-_PARTS = PGF + f""",\nlabelled AS (select {_hash_sql('GameID')} < 50 as is_train, IsInjury as y from pgf)"""
+_GAME_PARTS = PGF + f""",\nlabelled AS (select {_hash_sql('GameID')} < 50 as is_train, IsInjury as y from pgf)"""
+_PLAYER_PARTS = PLAYER + f""",\nlabelled AS (select {_hash_sql('PlayerKey')} < 70 as is_train,
+   case when sum_Injury > 0 then 1 else 0 end as y from player)"""
+_OPTIMAL_SQL = "select count(*) as rows, cast(sum(y) as bigint) as positives, true as optimal from labelled where is_train"
+_RANKS_SQL = """select model, count(*) as rows, cast(sum(y) as bigint) as positives,
+ case when sum(y) between 1 and count(*) - 1 then true end as agrees
+ from labelled, (values ('LogisticRegression'), ('RandomForest')) m(model) where not is_train group by model"""
 GAP = 1e-3
 
 
-@query("ml_lr_optimality", sql="select count(*) as rows, cast(sum(y) as bigint) as positives, true as optimal from labelled where is_train",
-       ctes=_PARTS)
-def ml_lr_optimality(spark, sf):
-    """Whether the per-game LR is optimal on its training rows: no penalised gradient beyond GAP."""
-    _, train, _, model, _ = game_models(spark, sf)
+def _optimality(train, model):
     counts = train.agg(F.count(F.lit(1)).alias("rows"), F.sum("IsInjury").cast("bigint").alias("positives"))
     gap = ML.optimality_gaps(model, train).agg((F.max("gap") < GAP).alias("optimal"))
     return counts.join(gap)                                     # one row each
 
 
-@query("ml_auc_by_ranks", sql="""select model, count(*) as rows, cast(sum(y) as bigint) as positives,
- case when sum(y) between 1 and count(*) - 1 then true end as agrees
- from labelled, (values ('LogisticRegression'), ('RandomForest')) m(model) where not is_train group by model""", ctes=_PARTS)
-def ml_auc_by_ranks(spark, sf):
-    """Whether the evaluator's ROC area of either per-game model's scores is their rank sum."""
+def _areas_by_ranks(test, fits):
     exact = ML.auc_evaluator("IsInjury").setNumBins(0)
-    _, _, test, *fits = game_models(spark, sf)
     out = None
     for name, model in zip(("LogisticRegression", "RandomForest"), fits, strict=True):
         scored = model.transform(test).select("IsInjury", "rawPrediction").withColumn("score", ML.vector_to_array("rawPrediction")[1])
@@ -325,6 +322,34 @@ def ml_auc_by_ranks(spark, sf):
     return out
 
 
+@query("ml_lr_optimality", sql=_OPTIMAL_SQL, ctes=_GAME_PARTS)
+def ml_lr_optimality(spark, sf):
+    """Whether the per-game LR is optimal on its training rows: no penalised gradient beyond GAP."""
+    _, train, _, model, _ = game_models(spark, sf)
+    return _optimality(train, model)
+
+
+@query("ml_lr_optimality_player", sql=_OPTIMAL_SQL, ctes=_PLAYER_PARTS)
+def ml_lr_optimality_player(spark, sf):
+    """The same for the best per-player LR of the search, L1 weight included."""
+    _, train, _, lr_cv, _ = player_models(spark, sf)
+    return _optimality(train, lr_cv.bestModel)
+
+
+@query("ml_auc_by_ranks", sql=_RANKS_SQL, ctes=_GAME_PARTS)
+def ml_auc_by_ranks(spark, sf):
+    """Whether the evaluator's ROC area of either per-game model's scores is their rank sum."""
+    _, _, test, *fits = game_models(spark, sf)
+    return _areas_by_ranks(test, fits)
+
+
+@query("ml_auc_by_ranks_player", sql=_RANKS_SQL, ctes=_PLAYER_PARTS)
+def ml_auc_by_ranks_player(spark, sf):
+    """The same for the best per-player models of both searches."""
+    _, _, test, *fits = player_models(spark, sf)
+    return _areas_by_ranks(test, [cv.bestModel for cv in fits])
+
+
 @query("ml_cv_metrics")
 def ml_cv_metrics(spark, sf):
     """Mean cross-validated ROC area of every grid point, both searches (M7)."""
