@@ -21,7 +21,8 @@ Nothing is broadcast.
 
 Defined cases: vectors that are null or hold a null or non-finite component
 take no part, neither as queries nor as candidates; vectors of different
-length have no inner product and do not meet; ties go to the smaller id, null
+length have no inner product and do not meet (empty ones meet with score 0);
+ties go to the smaller id, null
 ids last; repeated rows are candidates of each other (only the query's own
 row is left out) and each repeated query row gets its own list; scores beyond
 64 bits are held at the limit; a table without queries gives no rows; other
@@ -122,9 +123,9 @@ class _Block:
 
     def __init__(self, row):
         self.name = (row.width, row.block)
-        self.x = np.frombuffer(row.vectors).reshape(-1, row.width)
-        self.order = np.frombuffer(row.orders, np.int32).reshape(self.x.shape)
         self.ids, self.row = np.frombuffer(row.ids, np.int64), np.frombuffer(row.numbers, np.int64)
+        self.x = np.frombuffer(row.vectors).reshape(len(self.ids), row.width)        # a width may be 0
+        self.order = np.frombuffer(row.orders, np.int32).reshape(self.x.shape)
         self.missing = np.frombuffer(row.missing, bool)
         self.rank = np.empty(len(self.x), np.int64)
         self.rank[np.lexsort((self.row, self.ids, self.missing))] = np.arange(len(self.x))

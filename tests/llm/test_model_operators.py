@@ -208,7 +208,7 @@ def test_top_k_equals_brute_force_in_blocks(spark):
     x[50:60] = x[49]                                                # ties
     rows = [(i, v.tolist(), "x") for i, v in enumerate(x)]
     rows += [(300, None, "x"), (350, [1.0, None, 1.0, 1.0, 1.0, 1.0], "x"), (400, [float("nan")] * 6, "x"),
-             (450, [float("inf")] * 6, "x"), (500, [1.0, 2.0], "x"), (501, [0.5, -2.0], "x"), (None, [9.0] * 6, "x")]
+             (450, [float("inf")] * 6, "x"), (500, [1.0, 2.0], "x"), (501, [0.5, -2.0], "x"), (550, [], "x"), (551, [], "x"), (None, [9.0] * 6, "x")]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string").repartition(4)
     from pyspark.sql import functions as F
 
