@@ -132,8 +132,9 @@ def lag_in_group(df: DataFrame, key: str, order, col: str, out: str, default=Non
     return split_by_key_size(df, key, plain, chunked, hot_rows, probe)
 
 
-def row_number_by(df: DataFrame, key: str, order, out: str, hot_rows: int | None = None) -> DataFrame:
-    """``row_number()`` per key by ``order``, hot keys chunked."""
+def row_number_by(df: DataFrame, key: str, order, out: str, hot_rows: int | None = None,
+                  probe: DataFrame | None = None) -> DataFrame:
+    """``row_number()`` per key by ``order``, hot keys chunked (``probe``: see ``split_by_key_size``)."""
     def plain(d):
         return d.withColumn(out, F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("int"))
-    return split_by_key_size(df, key, plain, lambda d: row_number_in_group(d, key, order, out), hot_rows)
+    return split_by_key_size(df, key, plain, lambda d: row_number_in_group(d, key, order, out), hot_rows, probe)

@@ -5,9 +5,9 @@
 that customer's n-th order by week of month).  The rules are the staging SQL in
 FIXTURES.md; ``playtrack.plans.staging_sql`` holds the same SQL for DuckDB.
 
-The three tables stand in for the reference's input files.  By default they
-are derived ONCE per session and stored under the shared checkpoint folder
-as tables bucketed by ``PlayKey`` (and sorted by ``PlayKey, time`` for the
+The three tables stand in for the reference's input files.  By default each
+is derived ONCE per session, when a query first asks for it, and stored under
+the shared checkpoint folder as a table bucketed by ``PlayKey`` (and sorted by ``PlayKey, time`` for the
 frames): every per-play window and every frames-plays join on ``PlayKey``
 then reads co-partitioned buckets and needs no shuffle of the frames.  Each
 query reads the stored tables, so its work still grows with the data.  With
@@ -45,7 +45,7 @@ def _games(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    return (SK.row_number_by(joined, "o_custkey", ["o_orderdate", "o_orderkey"], "PlayerGame")
+    return (SK.row_number_by(joined, "o_custkey", ["o_orderdate", "o_orderkey"], "PlayerGame", probe=orders)
             .withColumn("PlayerDay",
                         F.floor(F.date_diff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))
                                 / 6).cast("int")))
@@ -59,12 +59,20 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      "l_quantity", "l_extendedprice"], "rn")
 
 
-def plays_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``plays`` plus the numeric customer key (``src_cust``) for numeric joins."""
+def _line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per play, as the driver's tables have it: what ``_as_plays`` makes its texts of."""
     g = _games(spark, sf_dir)
-    line = _lines(spark, sf_dir)
+    line = _lines(spark, sf_dir).select("l_orderkey", "rn", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
-    j = g.join(line, g.o_orderkey == line.l_orderkey).join(part, line.l_partkey == part.p_partkey)
+    j = g.join(line, g.o_orderkey == line.l_orderkey).drop("l_orderkey", "o_orderdate")
+    return j.join(part, j.l_partkey == part.p_partkey).drop("l_partkey", "p_partkey")
+
+
+def _play_key() -> Column:
+    return F.concat(_s("o_custkey"), F.lit("-"), _s("o_orderkey"), F.lit("-"), _s("rn"))
+
+
+def _as_plays(rows: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     roster = (F.when(F.col("c_mktsegment") == "MACHINERY", "Linebacker")
               .when(F.col("c_mktsegment") == "BUILDING", "Safety")
@@ -82,10 +90,10 @@ def plays_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
     play_type = (F.when(flag == "AF", "Pass").when(flag == "AO", "Rush").when(flag == "NF", "Punt")
                  .when(flag == "NO", "Kickoff").when(flag == "RF", "0"))
-    return j.select(
+    return rows.select(
         _s("o_custkey").alias("PlayerKey"),
         F.concat(_s("o_custkey"), F.lit("-"), _s("o_orderkey")).alias("GameID"),
-        F.concat(_s("o_custkey"), F.lit("-"), _s("o_orderkey"), F.lit("-"), _s("rn")).alias("PlayKey"),
+        _play_key().alias("PlayKey"),
         roster.alias("RosterPosition"),
         "PlayerDay", "PlayerGame",
         stadium.alias("StadiumType"),
@@ -103,6 +111,11 @@ def plays_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def plays_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``plays`` plus the numeric customer key (``src_cust``) for numeric joins."""
+    return _as_plays(_line_rows(spark, sf_dir))
+
+
 def derive_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plays_with_customer(spark, sf_dir).select(*PLAY_COLUMNS)
 
@@ -170,7 +183,7 @@ def _store_enabled(spark: SparkSession) -> bool:
 
 SOURCE_TABLES = ["orders", "customer", "lineitem", "part", "events"]
 BYTES_PER_BUCKET = 256 * 1024 * 1024
-EXPANSION = 3        # parquet bytes -> staged bytes (decompression, text keys)
+EXPANSION = 18       # parquet bytes -> bytes of staged rows in memory (decompression, text keys): 1.6 GB of 88 MB measured
 
 
 def bucket_count(spark: SparkSession, sf_dir: str) -> int:
@@ -195,53 +208,79 @@ def source_state(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(out)
 
 
+STORED_TABLES = ["plays", "injuries", "tracks", "snaps", "ends", "game_marks", "game_rows", "games"]
+
+
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict:
-    """Derive and store the three tables, the plays' marks and the games' days and facts once per (session, input folder).
+    """All stored tables as ``{name: catalog table}``."""
+    return {name: stored_table(spark, sf_dir, name) for name in STORED_TABLES}
 
-    Each table is repartitioned by ``PlayKey`` into the bucket count before the
-    write, so every write task produces one file per bucket it owns (no
-    tasks x buckets file explosion).  Returns ``{name: catalog table}``.
+
+def stored_table(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The catalog table of this name: derived and stored when first asked for, once per (session, input folder).
+
+    A query stores what it reads and no more.  Each table is repartitioned by
+    its bucket key into the bucket count before the write, so every write task
+    produces one file per bucket it owns (no tasks x buckets file explosion).
     """
     from ..session import scratch_path
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), source_state(spark, sf_dir))
-    if key in _STORED and all(spark.catalog.tableExists(t) for t in _STORED[key].values()):
-        return _STORED[key]
-    n = bucket_count(spark, sf_dir)
+    names = _STORED.setdefault(key, {})
+    if name in names and spark.catalog.tableExists(names[name]):
+        return names[name]
+    n, by, sort_cols, rows = _TO_STORE[name](spark, sf_dir, bucket_count(spark, sf_dir))
     tag = hashlib.md5(repr(key).encode()).hexdigest()[:10]
-    base = scratch_path(spark, f"staged-{tag}")
-    names = {}
-    for name, derive, sort_cols in [("plays", lambda: derive_plays(spark, sf_dir), ["PlayKey"]),
-                                    ("injuries", lambda: derive_injuries(spark, sf_dir, spark.table(names["plays"])),
-                                     ["PlayKey"]),
-                                    ("tracks", lambda: derive_tracks(spark, sf_dir, spark.table(names["plays"])),
-                                     ["PlayKey", "time"])]:
-        tname = f"playtrack_{name}_{tag}"
-        rows = derive()
-        # An injury without a play has no key to meet: its rows go to any task, not all to that of the null key.
-        deal = F.coalesce(F.col("PlayKey"), F.concat_ws("-", F.lit("none"), F.col("GameID"))) if name == "injuries" \
-            else F.col("PlayKey")
-        (rows.repartition(n, deal).write.mode("overwrite").option("path", f"{base}/{name}")
-         .bucketBy(n, "PlayKey").sortBy(*sort_cols).saveAsTable(tname))
-        names[name] = tname
+    tname = f"playtrack_{name}_{tag}"
+    (rows.write.mode("overwrite").option("path", f"{scratch_path(spark, f'staged-{name}-{tag}')}")
+     .bucketBy(n, by).sortBy(*sort_cols).saveAsTable(tname))
+    names[name] = tname
+    return tname
+
+
+def _dealt(by: str, derive, *sort_cols):
+    """How a table is stored: its rows dealt by ``by`` and sorted by it and more."""
+    def rows(spark, sf_dir, n):
+        return n, by, [by, *sort_cols], derive(spark, sf_dir).repartition(n, by)
+    return rows
+
+
+def _store_plays(spark, sf_dir, n):
+    # the rows are dealt before their texts are made: the shuffle carries the source's columns
+    return n, "PlayKey", ["PlayKey"], _as_plays(_line_rows(spark, sf_dir).repartition(n, _play_key())).select(*PLAY_COLUMNS)
+
+
+def _store_injuries(spark, sf_dir, n):
+    # An injury without a play has no key to meet: its rows go to any task, not all to that of the null key.
+    deal = F.coalesce(F.col("PlayKey"), F.concat_ws("-", F.lit("none"), F.col("GameID")))
+    return n, "PlayKey", ["PlayKey"], derive_injuries(spark, sf_dir, plays(spark, sf_dir)).repartition(n, deal)
+
+
+def _store_fact(name: str):
+    def rows(spark, sf_dir, n):
+        facts = FE.game_facts(plays(spark, sf_dir))
+        return n, "GameID", ["GameID"], getattr(facts, name).repartition(n, "GameID")
+    return rows
+
+
+_TO_STORE = {
+    "plays": _store_plays,
+    "injuries": _store_injuries,
+    "tracks": _dealt("PlayKey", lambda spark, sf: derive_tracks(spark, sf, plays(spark, sf)), "time"),
     # what the frame chain asks of a play, stored beside the frames and bucketed alike
-    more = [(name, rows, "PlayKey") for name, rows in play_marks(spark.table(names["tracks"]))._asdict().items()]
+    "snaps": _dealt("PlayKey", lambda spark, sf: play_marks(tracks(spark, sf)).snaps),
+    "ends": _dealt("PlayKey", lambda spark, sf: play_marks(tracks(spark, sf)).ends),
     # and what the game tables ask of the play list, bucketed by game
-    facts = FE.game_facts(spark.table(names["plays"]))
-    for name, rows, by in [*more, ("games", game_days(spark.table(names["plays"])), "GameID"),
-                           ("game_marks", facts.marks, "GameID"), ("game_rows", facts.rows, "GameID")]:
-        tname = f"playtrack_{name}_{tag}"
-        (rows.repartition(n, by).write.mode("overwrite").option("path", f"{base}/{name}")
-         .bucketBy(n, by).sortBy(by).saveAsTable(tname))
-        names[name] = tname
-    _STORED[key] = names
-    return names
+    "game_marks": _store_fact("marks"),
+    "game_rows": _store_fact("rows"),
+    "games": _dealt("GameID", lambda spark, sf: game_days(plays(spark, sf))),
+}
 
 
 def _staged(spark: SparkSession, sf_dir: str, name: str, derive) -> DataFrame:
     if not _store_enabled(spark):
         return derive(spark, sf_dir)
-    return spark.table(stored_tables(spark, sf_dir)[name])
+    return spark.table(stored_table(spark, sf_dir, name))
 
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,23 +299,21 @@ def marks(spark: SparkSession, sf_dir: str) -> PlayMarks:
     """Snaps and last events of every play of ``tracks``."""
     if not _store_enabled(spark):
         return play_marks(derive_tracks(spark, sf_dir))
-    names = stored_tables(spark, sf_dir)
-    return PlayMarks(spark.table(names["snaps"]), spark.table(names["ends"]))
+    return PlayMarks(*[spark.table(stored_table(spark, sf_dir, name)) for name in ("snaps", "ends")])
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``game_days`` of ``plays``."""
     if not _store_enabled(spark):
         return game_days(derive_plays(spark, sf_dir))
-    return spark.table(stored_tables(spark, sf_dir)["games"])
+    return spark.table(stored_table(spark, sf_dir, "games"))
 
 
 def game_facts(spark: SparkSession, sf_dir: str) -> FE.GameFacts:
     """``features.game_facts`` of ``plays``."""
     if not _store_enabled(spark):
         return FE.game_facts(derive_plays(spark, sf_dir))
-    names = stored_tables(spark, sf_dir)
-    return FE.GameFacts(spark.table(names["game_marks"]), spark.table(names["game_rows"]))
+    return FE.GameFacts(*[spark.table(stored_table(spark, sf_dir, name)) for name in ("game_marks", "game_rows")])
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
