@@ -88,9 +88,21 @@ def _one_each(marks: DataFrame) -> DataFrame:
     return marks.groupBy(*GAME_KEYS, "kind", "value").agg(F.bit_or("bits").alias("bits"))
 
 
-def game_facts(plays: DataFrame) -> GameFacts:
+def game_facts(plays: DataFrame, parts: int | None = None) -> GameFacts:
+    """The facts of a play list; with ``parts`` dealt by GameID into so many partitions.
+
+    Plays are dealt then, once, and summed where they are: a game's marks are
+    about as many as its plays, so summing before a shuffle, and dealing the
+    sums again, moves more.  Only a game with very many plays is summed first.
+    """
     clean = clean_plays(plays)
-    return GameFacts(game_marks(clean), game_list(clean))
+    if parts is None:
+        return GameFacts(game_marks(clean), game_list(clean))
+    games = clean.select(F.xxhash64("GameID").alias("_game"))
+    if SK.hot_keys(games, "_game", SK.hot_rows_of(plays)).isEmpty():
+        clean = clean.repartition(parts, "GameID")
+        return GameFacts(game_marks(clean), game_list(clean))
+    return GameFacts(*[rows.repartition(parts, "GameID") for rows in (game_marks(clean), game_list(clean))])
 
 
 def merged_facts(known: GameFacts, more: GameFacts) -> GameFacts:

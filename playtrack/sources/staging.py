@@ -256,10 +256,15 @@ def _store_injuries(spark, sf_dir, n):
     return n, "PlayKey", ["PlayKey"], derive_injuries(spark, sf_dir, plays(spark, sf_dir)).repartition(n, deal)
 
 
+_FACTS: dict = {}        # plans of the facts, by the table of plays: hot games are counted once
+
+
 def _store_fact(name: str):
     def rows(spark, sf_dir, n):
-        facts = FE.game_facts(plays(spark, sf_dir))
-        return n, "GameID", ["GameID"], getattr(facts, name).repartition(n, "GameID")
+        stored = stored_table(spark, sf_dir, "plays")
+        if stored not in _FACTS:
+            _FACTS[stored] = FE.game_facts(spark.table(stored), n)
+        return n, "GameID", ["GameID"], getattr(_FACTS[stored], name)
     return rows
 
 
