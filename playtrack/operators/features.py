@@ -98,8 +98,7 @@ def game_facts(plays: DataFrame, parts: int | None = None) -> GameFacts:
     clean = clean_plays(plays)
     if parts is None:
         return GameFacts(game_marks(clean), game_list(clean))
-    games = clean.select(F.xxhash64("GameID").alias("_game"))
-    if SK.hot_keys(games, "_game", SK.hot_rows_of(plays)).isEmpty():
+    if SK.measured_rows(clean, "GameID")[1] <= SK.hot_rows_of(plays):
         clean = clean.repartition(parts, "GameID")
         return GameFacts(game_marks(clean), game_list(clean))
     return GameFacts(*[rows.repartition(parts, "GameID") for rows in (game_marks(clean), game_list(clean))])

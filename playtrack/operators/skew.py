@@ -4,6 +4,9 @@ A window partitioned by a key puts every row of that key into one task, so a
 key with a third of the data would run on one core.  The helpers here split
 such hot keys off:
 
+* ``key_slots``: rows per hash slot of the key, a bounded number of slots.  No
+  key has more rows than its slot, so a table without a heavy slot has no hot
+  key, and its keys are never counted one by one.
 * ``hot_keys``: keys with more than ``hot_rows`` rows, from a partial count
   (map-side combine); at most ``rows / hot_rows`` keys, which is the size
   bound that makes broadcasting the key list safe.
@@ -22,7 +25,7 @@ Hot-key threshold: ``spark.playtrack.hotKeyRows`` (default 1,000,000).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -31,6 +34,10 @@ HOT_ROWS_CONF = "spark.playtrack.hotKeyRows"
 DEFAULT_HOT_ROWS = 1_000_000
 
 
+SLOTS = 1 << 16
+ROWS_PER_PART = 250_000      # of a keyed window or join: partitions grow in number with the rows, not in size
+
+
 def hot_rows_of(df: DataFrame, hot_rows: int | None = None) -> int:
     if hot_rows is not None:
         return hot_rows
@@ -43,21 +50,56 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
             .where(F.col("_rows") > hot_rows).select(key))
 
 
+def _slot(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SLOTS))
+
+
+def key_slots(df: DataFrame, key: str) -> DataFrame:
+    """``_slot, _rows``: rows per hash slot of the key (``SLOTS`` rows at most, however many keys there are)."""
+    return df.groupBy(_slot(key).alias("_slot")).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def measured_rows(df: DataFrame, key: str) -> tuple[int, int]:
+    """Rows in all and in the fullest slot of the key: no key has more."""
+    found = key_slots(df, key).agg(F.sum("_rows").alias("rows"), F.max("_rows").alias("most")).first()
+    return found["rows"] or 0, found["most"] or 0
+
+
+def dealt(df: DataFrame, keys, rows: int) -> DataFrame:
+    """``df`` by ``keys`` in partitions of about ``ROWS_PER_PART`` rows; left as it is where Spark's own number is as large."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = range_count(rows, ROWS_PER_PART, least)
+    return df if parts == least else df.repartition(parts, *keys)
+
+
+def dealt_by_key(df: DataFrame, key: str, *more: str) -> DataFrame:
+    """``df`` dealt by ``key`` (and ``more``) as its rows ask for (counted in one small job), or as it is if a key is hot."""
+    rows, most = measured_rows(df, key)
+    return dealt(df, [key, *more], rows) if most <= hot_rows_of(df) else df
+
+
 def split_by_key_size(df: DataFrame, key: str, plain, chunked, hot_rows: int | None = None,
-                      probe: DataFrame | None = None) -> DataFrame:
+                      probe: DataFrame | None = None, deal: bool = False) -> DataFrame:
     """``plain(normal_rows)`` union ``chunked(hot_rows)``; ``plain(df)`` alone when no key is hot.
 
     ``probe`` (default ``df``) is where keys are counted: a cheaper upstream
     table with at least as many rows per key (e.g. plays for a per-player game
     list) finds a superset of the hot keys without computing ``df`` twice.
+    With ``deal``, normal rows reach ``plain`` dealt by the key into partitions
+    that follow the counted rows.
     """
     src = df if probe is None else probe.select(key)
     threshold = hot_rows_of(df, hot_rows)
-    keys = hot_keys(src, key, threshold)
+    rows, most = measured_rows(src, key)
+    normal = (lambda d: plain(dealt(d, [key], rows))) if deal else plain
+    if most <= threshold:
+        return normal(df)
+    heavy = F.broadcast(key_slots(src, key).where(F.col("_rows") > threshold).select("_slot"))   # SLOTS rows at most
+    keys = hot_keys(src.withColumn("_slot", _slot(key)).join(heavy, "_slot", "left_semi"), key, threshold)
     if keys.isEmpty():
-        return plain(df)
+        return normal(df)
     hot = F.broadcast(keys)                    # size bound: rows / hot_rows keys
-    return plain(df.join(hot, key, "left_anti")).unionByName(chunked(df.join(hot, key, "left_semi")))
+    return normal(df.join(hot, key, "left_anti")).unionByName(chunked(df.join(hot, key, "left_semi")))
 
 
 def stored_ranges(df: DataFrame, by, mark: str, ranges: int | None = None) -> DataFrame:
@@ -129,7 +171,7 @@ def lag_in_group(df: DataFrame, key: str, order, col: str, out: str, default=Non
         v = F.col(f"_prev_{col}")
         value = v if default is None else F.when(F.col("_has_prev"), v).otherwise(F.lit(default))
         return p.withColumn(out, value).drop(f"_prev_{col}", "_has_prev")
-    return split_by_key_size(df, key, plain, chunked, hot_rows, probe)
+    return split_by_key_size(df, key, plain, chunked, hot_rows, probe, deal=True)
 
 
 def row_number_by(df: DataFrame, key: str, order, out: str, hot_rows: int | None = None,
@@ -137,4 +179,4 @@ def row_number_by(df: DataFrame, key: str, order, out: str, hot_rows: int | None
     """``row_number()`` per key by ``order``, hot keys chunked (``probe``: see ``split_by_key_size``)."""
     def plain(d):
         return d.withColumn(out, F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("int"))
-    return split_by_key_size(df, key, plain, lambda d: row_number_in_group(d, key, order, out), hot_rows, probe)
+    return split_by_key_size(df, key, plain, lambda d: row_number_in_group(d, key, order, out), hot_rows, probe, deal=True)

@@ -44,8 +44,17 @@ def _games(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    return (SK.row_number_by(joined, "o_custkey", ["o_orderdate", "o_orderkey"], "PlayerGame", probe=orders)
+    order = ["o_orderdate", "o_orderkey"]
+
+    def met(d):
+        return d.join(customer, d.o_custkey == customer.c_custkey)
+
+    # the orders are dealt once, for the join and for the numbers
+    numbered = SK.split_by_key_size(
+        orders, "o_custkey",
+        lambda d: met(d).withColumn("PlayerGame", F.row_number().over(Window.partitionBy("o_custkey").orderBy(*order))),
+        lambda d: SK.row_number_in_group(met(d), "o_custkey", order, "PlayerGame"), deal=True)
+    return (numbered.withColumn("PlayerGame", F.col("PlayerGame").cast("int"))
             .withColumn("PlayerDay",
                         F.floor(F.date_diff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))
                                 / 6).cast("int")))
@@ -59,11 +68,15 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      "l_quantity", "l_extendedprice"], "rn")
 
 
-def _line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row per play, as the driver's tables have it: what ``_as_plays`` makes its texts of."""
+def _line_rows(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """A row per play, as the driver's tables have it: what ``_as_plays`` makes its texts of.
+
+    ``parts``: partitions of the join with the parts, unless they are broadcast."""
     g = _games(spark, sf_dir)
     line = _lines(spark, sf_dir).select("l_orderkey", "rn", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+    if parts:
+        part = part.repartition(parts, "p_partkey")         # the lines follow: this side's number stands
     j = g.join(line, g.o_orderkey == line.l_orderkey).drop("l_orderkey", "o_orderdate")
     return j.join(part, j.l_partkey == part.p_partkey).drop("l_partkey", "p_partkey")
 
@@ -140,12 +153,16 @@ def derive_injuries(spark: SparkSession, sf_dir: str, plays_df: DataFrame | None
     )
 
 
-def derive_tracks(spark: SparkSession, sf_dir: str, plays_df: DataFrame | None = None) -> DataFrame:
-    """One frame per event; ``time`` is hours since the play's first frame."""
+def derive_tracks(spark: SparkSession, sf_dir: str, plays_df: DataFrame | None = None, parts: int | None = None) -> DataFrame:
+    """One frame per event; ``time`` is hours since the play's first frame.
+
+    ``parts``: partitions of the joins, and of the result by ``PlayKey``."""
     p = derive_plays(spark, sf_dir) if plays_df is None else plays_df
     # PlayerKey is the customer key's canonical text: join on the number.
     first_plays = (p.where(F.col("PlayerGamePlay") == 1)
                    .select("PlayKey", F.col("PlayerKey").cast("bigint").alias("src_cust"), "PlayerGame"))
+    if parts:
+        first_plays = first_plays.repartition(parts, "src_cust", "PlayerGame")      # the events follow
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     # TZ-independent epoch seconds of a timestamp_ntz (same double as epoch() in DuckDB).
     epoch = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)") / F.lit(1000000.0)
@@ -154,6 +171,8 @@ def derive_tracks(spark: SparkSession, sf_dir: str, plays_df: DataFrame | None =
     j = e.join(first_plays, (e.user_id == first_plays.src_cust) & (e.PlayerGame == first_plays.PlayerGame))
     # The play's first epoch: a partial aggregate joined back (a hot play is
     # pre-aggregated and the join's skewed partition is split by AQE).
+    if parts:
+        j = j.select("PlayKey", "epoch", "event_type", "event_id", "value").repartition(parts, "PlayKey")     # dealt once, as it is stored
     start = j.groupBy("PlayKey").agg(F.min("epoch").alias("_start"))
     j = j.join(start, "PlayKey")
     ev = F.col("event_type")
@@ -182,7 +201,7 @@ def _store_enabled(spark: SparkSession) -> bool:
 
 
 SOURCE_TABLES = ["orders", "customer", "lineitem", "part", "events"]
-BYTES_PER_BUCKET = 256 * 1024 * 1024
+BYTES_PER_BUCKET = 128 * 1024 * 1024
 EXPANSION = 18       # parquet bytes -> bytes of staged rows in memory (decompression, text keys): 1.6 GB of 88 MB measured
 
 
@@ -247,7 +266,7 @@ def _dealt(by: str, derive, *sort_cols):
 
 def _store_plays(spark, sf_dir, n):
     # the rows are dealt before their texts are made: the shuffle carries the source's columns
-    return n, "PlayKey", ["PlayKey"], _as_plays(_line_rows(spark, sf_dir).repartition(n, _play_key())).select(*PLAY_COLUMNS)
+    return n, "PlayKey", ["PlayKey"], _as_plays(_line_rows(spark, sf_dir, n).repartition(n, _play_key())).select(*PLAY_COLUMNS)
 
 
 def _store_injuries(spark, sf_dir, n):
@@ -256,6 +275,20 @@ def _store_injuries(spark, sf_dir, n):
     return n, "PlayKey", ["PlayKey"], derive_injuries(spark, sf_dir, plays(spark, sf_dir)).repartition(n, deal)
 
 
+def _store_tracks(spark, sf_dir, n):
+    # dealt by play already: writing as many buckets moves nothing again
+    rows = derive_tracks(spark, sf_dir, plays(spark, sf_dir), n)
+    return n, "PlayKey", ["PlayKey", "time"], rows.repartition(n, "PlayKey")
+
+
+def _store_games(spark, sf_dir, n):
+    # a game's plays are spread over the buckets: summing them before they are dealt saves nothing but for a hot game
+    rows = plays(spark, sf_dir).select("PlayerKey", "GameID", "PlayerDay")
+    if SK.measured_rows(rows, "GameID")[1] <= SK.hot_rows_of(rows):
+        rows = rows.repartition(n, "GameID")
+    return n, "GameID", ["GameID"], game_days(rows).repartition(n, "GameID")
+
+
 _FACTS: dict = {}        # plans of the facts, by the table of plays: hot games are counted once
 
 
@@ -271,14 +304,14 @@ def _store_fact(name: str):
 _TO_STORE = {
     "plays": _store_plays,
     "injuries": _store_injuries,
-    "tracks": _dealt("PlayKey", lambda spark, sf: derive_tracks(spark, sf, plays(spark, sf)), "time"),
+    "tracks": _store_tracks,
     # what the frame chain asks of a play, stored beside the frames and bucketed alike
     "snaps": _dealt("PlayKey", lambda spark, sf: play_marks(tracks(spark, sf)).snaps),
     "ends": _dealt("PlayKey", lambda spark, sf: play_marks(tracks(spark, sf)).ends),
     # and what the game tables ask of the play list, bucketed by game
     "game_marks": _store_fact("marks"),
     "game_rows": _store_fact("rows"),
-    "games": _dealt("GameID", lambda spark, sf: game_days(plays(spark, sf))),
+    "games": _store_games,
 }
 
 
