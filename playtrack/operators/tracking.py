@@ -214,15 +214,18 @@ def game_days(plays: DataFrame) -> DataFrame:
         F.max("PlayerDay").alias("max_day"), F.min("PlayerDay").alias("min_day"), F.max(F.col("PlayerDay").isNull()).alias("unknown_day"))
 
 
-def season_games(games: DataFrame, day: int = 350) -> DataFrame:
+def season_games(games: DataFrame, day: int = 350, only: DataFrame | None = None) -> DataFrame:
     """``PlayerKey, GameID, seasons`` of the games of players who reach ``day``, from ``game_days``.
 
+    With ``only`` (a table with a GameID column): of those games, though all games tell who reaches ``day``.
+
     ``seasons`` has two entries only where the plays of one game lie on both
     sides of the day, as the source's distinct games have; a play without a day is of season 2.
     """
     reached = (games.groupBy("PlayerKey").agg(F.max("max_day").alias("_max_day"))
                .where(F.col("_max_day") >= day).select("PlayerKey"))
-    tough = games.join(reached, "PlayerKey", "left_semi")
+    asked = games if only is None else games.join(only.select("GameID"), "GameID", "left_semi")
+    tough = asked.join(reached, "PlayerKey", "left_semi")
     first, second = F.max(F.col("min_day") < day), F.max((F.col("max_day") >= day) | F.col("unknown_day"))
     seasons = tough.groupBy("GameID").agg(first.alias("_first"), second.alias("_second")).select(
         "GameID", F.filter(F.array(F.when(F.col("_first"), 1), F.when(F.col("_second"), 2)), lambda x: x.isNotNull()).alias("seasons"))
@@ -241,17 +244,28 @@ def season_plays(plays: DataFrame, day: int = 350) -> DataFrame:
             .withColumn("season", C.season("PlayerDay", day)))
 
 
-def play_season(plays: DataFrame, day: int = 350, games: DataFrame | None = None) -> DataFrame:
+def plays_in(plays: DataFrame, keys: DataFrame | None) -> DataFrame:
+    """The plays whose key is in ``keys`` (bucketed alike, nothing moves); all without ``keys``."""
+    return plays if keys is None else plays.join(keys.select("PlayKey"), "PlayKey", "left_semi")
+
+
+def play_season(plays: DataFrame, day: int = 350, games: DataFrame | None = None, keys: DataFrame | None = None) -> DataFrame:
     """PlayKey -> (GameID, season) for the tough players' plays, through the
-    (GameID, season) games as the source does.  ``games``: ``game_days`` of the plays, if at hand."""
-    found = season_games(games or game_days(plays), day)
+    (GameID, season) games as the source does.  ``games``: ``game_days`` of the plays, if at hand;
+    ``keys``: the plays that are asked for, if not all."""
+    games = games or game_days(plays)
+    plays = plays_in(plays, keys)
+    found = season_games(games, day, None if keys is None else plays)
     met = plays.select("PlayerKey", "PlayKey", "GameID").join(found, ["PlayerKey", "GameID"])
     return met.select("PlayKey", "GameID", F.explode("seasons").alias("season"))
 
 
-def frames_with_season(frames: DataFrame, plays: DataFrame, day: int = 350, games: DataFrame | None = None) -> DataFrame:
-    """Frames left-joined to the tough players' plays, then to their games."""
-    return frames.join(play_season(plays, day, games), ["PlayKey"], "left_outer")
+def frames_with_season(frames: DataFrame, plays: DataFrame, day: int = 350, games: DataFrame | None = None,
+                       keys: DataFrame | None = None) -> DataFrame:
+    """Frames left-joined to the tough players' plays, then to their games.
+
+    ``keys``: a table that names every play of ``frames`` (trimmed frames: the plays' ends); others are not looked up."""
+    return frames.join(play_season(plays, day, games, keys), ["PlayKey"], "left_outer")
 
 
 def abnormal_snap(o="o") -> F.Column:
@@ -304,7 +318,7 @@ def season_imputed(tracks: DataFrame, plays: DataFrame, strategy: str = "auto",
         return impute_season(frames_with_season(frames_trimmed(tracks, strategy="join"), plays), "join")
     marks = marks or play_marks(tracks)
     trimmed = frames_trimmed(tracks, strategy=strategy, hot_rows=hot_rows, marks=marks)
-    met = frames_with_season(trimmed, plays, games=games).join(abnormal_plays(marks.snaps), ["PlayKey"], "left_outer")
+    met = frames_with_season(trimmed, plays, games=games, keys=marks.ends).join(abnormal_plays(marks.snaps), ["PlayKey"], "left_outer")
     return met.withColumn("season", imputed_season(F.col("season"), F.col("_ab").isNotNull())).drop("_ab")
 
 
@@ -326,11 +340,15 @@ def mark_injury_plays(df: DataFrame, injuries: DataFrame, out: str = "is_injury_
             .withColumn(out, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
 
-def play_attributes(plays: DataFrame, injuries: DataFrame, day: int = 350, games: DataFrame | None = None) -> DataFrame:
+def play_attributes(plays: DataFrame, injuries: DataFrame, day: int = 350, games: DataFrame | None = None,
+                    keys: DataFrame | None = None) -> DataFrame:
     """Everything the movement study needs per play, built on the play list:
     season of the tough players' games (null otherwise), the attributes of
-    the enrichment join, the injury mark and the position/play-type flags."""
-    seasons = season_games(games or game_days(plays), day).withColumnsRenamed({"PlayerKey": "_player", "GameID": "_game"})
+    the enrichment join, the injury mark and the position/play-type flags.
+    ``keys``: the plays that are asked for, if not all."""
+    games = games or game_days(plays)
+    plays = plays_in(plays, keys)
+    seasons = season_games(games, day).withColumnsRenamed({"PlayerKey": "_player", "GameID": "_game"})
     base = plays.select("PlayKey", "GameID", *PLAY_ATTRS)
     with_season = (base.join(seasons, (F.col("PlayerKey") == F.col("_player")) & (F.col("GameID") == F.col("_game")), "left_outer")
                    .select("PlayKey", *PLAY_ATTRS, F.explode_outer("seasons").alias("season")))
@@ -354,7 +372,8 @@ def movement_frames(tracks: DataFrame, plays: DataFrame, injuries: DataFrame, wi
     there, before any is copied.
     """
     marks = marks or play_marks(tracks)
-    attrs = play_attributes(plays, injuries, day, games).join(abnormal_plays(marks.snaps), ["PlayKey"], "left_outer")
+    # a trimmed frame's play has an end: other plays are not looked up
+    attrs = play_attributes(plays, injuries, day, games, marks.ends).join(abnormal_plays(marks.snaps), ["PlayKey"], "left_outer")
     attrs = attrs.withColumn("season", imputed_season(F.col("season"), F.col("_ab").isNotNull())).drop("_ab")
     if where is not None:
         attrs = attrs.where(where)

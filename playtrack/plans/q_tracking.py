@@ -28,6 +28,10 @@ def _trimmed(spark, sf, **how):
     return TR.frames_trimmed(_t(spark, sf), marks=_m(spark, sf), **how)
 
 
+def _with_season(spark, sf):
+    return TR.frames_with_season(_trimmed(spark, sf), S.plays(spark, sf), games=S.games(spark, sf), keys=_m(spark, sf).ends)
+
+
 def _fixed(spark, sf):
     return TR.orientation_fixed(_t(spark, sf), S.plays(spark, sf), marks=_m(spark, sf), games=S.games(spark, sf))
 
@@ -71,18 +75,18 @@ def frames_trimmed_one_snap(spark, sf):
 
 @query("frames_with_season", sql="select * from se", ctes=SEASON)
 def frames_with_season(spark, sf):
-    return TR.frames_with_season(_trimmed(spark, sf), S.plays(spark, sf), games=S.games(spark, sf))
+    return _with_season(spark, sf)
 
 
 @query("season_null_plays", sql="select PlayKey, time, event, o from se where season is null", ctes=SEASON)
 def season_null_plays(spark, sf):
-    se = TR.frames_with_season(_trimmed(spark, sf), S.plays(spark, sf), games=S.games(spark, sf))
+    se = _with_season(spark, sf)
     return se.where(F.col("season").isNull()).select("PlayKey", "time", "event", "o")
 
 
 @query("abnormal_snap_plays", sql="select * from ab", ctes=SEASON)
 def abnormal_snap_plays(spark, sf):
-    se = TR.frames_with_season(_trimmed(spark, sf), S.plays(spark, sf), games=S.games(spark, sf))
+    se = _with_season(spark, sf)
     return TR.abnormal_snap_plays(se)
 
 

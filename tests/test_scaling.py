@@ -55,6 +55,17 @@ def test_hot_keys_are_looked_for_in_heavy_slots_only(spark, monkeypatch):
     assert SK.key_slots(df, "k").count() <= SK.SLOTS
 
 
+@pytest.mark.parametrize("name", ["frames_with_season", "abnormal_snap_plays", "season_imputed", "movement_injury_ratio"])
+def test_only_plays_with_frames_are_looked_up(spark, name):
+    """The play list meets the plays' ends where it lies, before anything of it is moved."""
+    plan = _plan(queries()[name](spark, SF))
+    lines = plan.splitlines()
+    for i in [i for i, line in enumerate(lines) if "playtrack_plays_" in line]:
+        above = lines[:i][::-1]
+        semi = next(k for k, line in enumerate(above) if "LeftSemi" in line)
+        assert not any("Exchange hashpartitioning" in line for line in above[:semi])
+
+
 def test_tracks_and_games_are_dealt_once(spark):
     n, _, _, rows = S._store_tracks(spark, SF, 13)
     assert _parts(rows, "PlayKey") == {13}
