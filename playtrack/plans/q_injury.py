@@ -9,6 +9,7 @@ from ..functions.rules import (STADIUM_OPEN_CLOSED, STADIUM_TWO_WAY, WEATHER_QUA
 from ..operators import clean as CL
 from ..operators import features as FE
 from ..operators import reports as R
+from ..operators import skew as SK
 from ..sources import staging as S
 from .registry import query
 
@@ -273,7 +274,8 @@ def injury_environment_df(spark, sf):
     (GameID, PlayerKey) (J4)."""
     inj = S.injuries(spark, sf).select("PlayerKey", "GameID", "BodyPart",
                                        C.severity().cast("int").alias("level_of_injury"))
-    games = S.plays(spark, sf).select(*ENV_COLS).distinct()
+    # a game's plays lie in many buckets: dealt first, they are made distinct and joined where they are
+    games = SK.dealt_by_key(S.plays(spark, sf).select(*ENV_COLS), "GameID", "PlayerKey").distinct()
     return inj.join(games, ["GameID", "PlayerKey"], "inner")
 
 

@@ -55,6 +55,18 @@ def test_hot_keys_are_looked_for_in_heavy_slots_only(spark, monkeypatch):
     assert SK.key_slots(df, "k").count() <= SK.SLOTS
 
 
+def test_environment_is_dealt_once(spark, monkeypatch):
+    S.injuries(spark, SF)
+    monkeypatch.setattr(SK, "ROWS_PER_PART", 100)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = queries()["injury_environment"](spark, SF)
+        assert _parts(df, "GameID") == {60} and _plan(df).count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 @pytest.mark.parametrize("name", ["frames_with_season", "abnormal_snap_plays", "season_imputed", "movement_injury_ratio"])
 def test_only_plays_with_frames_are_looked_up(spark, name):
     """The play list meets the plays' ends where it lies, before anything of it is moved."""
