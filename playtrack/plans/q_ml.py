@@ -21,7 +21,8 @@ from ..operators import ranks as RK
 from ..operators import reports as R
 from .q_features import player_game_table, player_table, round_doubles
 from .q_injury import ENV_CLEAN_CTE, injury_environment_clean_df, injury_environment_df, INJ_ENV_CTE
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
+from ..sources import files as IO
 from ..sources.staging import source_state
 from .registry import query
 from .sql_blocks import PGF, PLAYER
@@ -182,7 +183,9 @@ _TARGETS = ["level_of_injury"] + [f"BodyPart_{v}" for v in BODY_PARTS]
 def ml_mae(spark, sf):
     """MAE, averaged over the targets, of the training-part mean predictor on
     the test part (the baseline the forest is measured against)."""
-    df = dummy_table(spark, sf)
+    # fit and test read the same rows: they are derived once
+    path = IO.write_parquet(dummy_table(spark, sf).select("GameID", *_TARGETS), scratch_path(spark, "targets"))
+    df = IO.read_parquet(spark, path)
     bucket = C.hash_bucket("GameID")
     train, test = df.where(bucket < 75), df.where(bucket >= 75)
     means = train.agg(*[F.avg(t).alias(t) for t in _TARGETS]).first()   # one row: the fitted model

@@ -83,3 +83,7 @@ def test_tracks_and_games_are_dealt_once(spark):
     assert _parts(rows, "PlayKey") == {13}
     n, _, _, rows = S._store_games(spark, SF, 13)
     assert _parts(rows, "GameID") == {13} and _plan(rows).count("Exchange hashpartitioning") == 1
+
+
+def test_mae_derives_its_rows_once(spark):
+    assert "playtrack_plays_" not in _plan(queries()["ml_mae"](spark, SF), "optimizedPlan")
