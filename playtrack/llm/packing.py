@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved, size_hint_partitions
-from .tokens import piece_tokenizer
+from .tokens import encoding
 
 LENGTH = 2048
 STEP = 8
@@ -60,21 +60,21 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, length
     closing = np.array([end], "<u4").tobytes()
 
     def cut(batches):
-        tokenizer = piece_tokenizer(vocabulary, keeps_space=True)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                rows = []
-                for doc, ids in zip(part["doc_id"].to_pylist(), tokenizer.encode(part["text"].to_pylist()), strict=True):
-                    ids += closing
-                    n = len(ids) // 4
-                    for s in range(0, n, length):
-                        own = ids[4 * s:4 * (s + length)]
-                        rows.append((doc, s, len(own) // 4, zlib.crc32(own), n, *([np.frombuffer(own, "<i4")] * keep_ids)))
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
-                types = [pa.int64()] * 5 + [pa.list_(pa.int32())] * keep_ids
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-                                                 names=names)
+        with encoding(vocabulary, keeps_space=True) as tokenizer:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 200):
+                    part = batch.slice(at, 200)
+                    rows = []
+                    for doc, ids in zip(part["doc_id"].to_pylist(), tokenizer.encode(part["text"].to_pylist()), strict=True):
+                        ids += closing
+                        n = len(ids) // 4
+                        for s in range(0, n, length):
+                            own = ids[4 * s:4 * (s + length)]
+                            rows.append((doc, s, len(own) // 4, zlib.crc32(own), n, *([np.frombuffer(own, "<i4")] * keep_ids)))
+                    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
+                    types = [pa.int64()] * 5 + [pa.list_(pa.int32())] * keep_ids
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                                     names=names)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(cut, schema)
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from playtrack.session import scratch_path
 
 from .common import text_or_empty
-from .tokens import piece_tokenizer
+from .tokens import encoding
 
 VOCABULARY = "word_bpe_49k.json"
 END = 2
@@ -72,21 +72,21 @@ def write(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end: int =
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
         store, root = _store(folder)
-        tokenizer = piece_tokenizer(vocabulary, keeps_space)
         name = f"part-{task.partitionId():05d}-{uuid.uuid4().hex}"
         offsets, ids, out, total = [0], [], None, 0
-        for batch in batches:
-            texts = batch["text"].tolist()
-            numbers = batch["doc_id"].tolist()
-            for at in range(0, len(texts), 200):
-                if out is None:
-                    out = store.open_output_stream(f"{root}/{name}.bin")
-                for got in tokenizer.encode(texts[at:at + 200]):
-                    block = np.append(np.frombuffer(got, "<u4"), end).astype(dtype)
-                    out.write(block.tobytes())
-                    total += len(block)
-                    offsets.append(total)
-                ids += [NULL_ID if x is None or x != x else int(x) for x in numbers[at:at + 200]]
+        with encoding(vocabulary, keeps_space) as tokenizer:
+            for batch in batches:
+                texts = batch["text"].tolist()
+                numbers = batch["doc_id"].tolist()
+                for at in range(0, len(texts), 200):
+                    if out is None:
+                        out = store.open_output_stream(f"{root}/{name}.bin")
+                    for got in tokenizer.encode(texts[at:at + 200]):
+                        block = np.append(np.frombuffer(got, "<u4"), end).astype(dtype)
+                        out.write(block.tobytes())
+                        total += len(block)
+                        offsets.append(total)
+                    ids += [NULL_ID if x is None or x != x else int(x) for x in numbers[at:at + 200]]
         if out is not None:
             out.close()
             for kind, values in (("idx", offsets), ("doc", ids)):

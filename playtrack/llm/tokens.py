@@ -1,4 +1,4 @@
-"""Exact token ids of whole texts, with every distinct piece encoded once per worker.
+"""Exact token ids of whole texts, with every distinct piece encoded once per task.
 
 A text is cut where the tokenizer's own pre-tokenizer always cuts, so the ids
 of the pieces in a row are the ids of the text:
@@ -11,13 +11,16 @@ of the pieces in a row are the ids of the text:
 Ids are kept as little-endian unsigned 32-bit bytes.  The cache has two
 generations of half of ``CACHE`` pieces: when the young one is full the old one
 goes, and pieces met again move to the young one.  So its memory is bounded
-and frequent pieces stay.
+and frequent pieces stay.  It lasts as long as a task (``encoding``): a worker
+that waits, or does another operator's work, holds the vocabulary alone.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
@@ -53,6 +56,10 @@ class PieceTokenizer:
         self.marks: dict[str, bytes] = {}
         self.marks = {x: self._learn([x])[x] for x in ".,"}
 
+    def forget(self) -> None:
+        """Let go of the pieces met so far."""
+        self.cache, self.older = {"": b""}, {}
+
     @staticmethod
     def _bytes(ids) -> bytes:
         return np.asarray(ids, dtype="<u4").tobytes()
@@ -125,3 +132,13 @@ def piece_tokenizer(vocabulary: str, keeps_space: bool) -> PieceTokenizer:
     if vocabulary not in _LOADED:
         _LOADED[vocabulary] = PieceTokenizer(vocabulary, keeps_space)
     return _LOADED[vocabulary]
+
+
+@contextmanager
+def encoding(vocabulary: str, keeps_space: bool) -> Iterator[PieceTokenizer]:
+    """``piece_tokenizer`` for one task: its pieces go when the task ends, however it ends."""
+    tokenizer = piece_tokenizer(vocabulary, keeps_space)
+    try:
+        yield tokenizer
+    finally:
+        tokenizer.forget()

@@ -465,3 +465,17 @@ def test_substring_blocks_make_no_difference(odd_docs, make_docs):
                        for r in substring_dedup.dedup(docs, **sizes).collect())
                 for sizes in ({}, {"block_bytes": 4_000, "bucket_bytes": 3_000})]
         assert rows[0] == rows[1] and len(rows[0]) == docs.count()
+
+
+def test_a_task_s_pieces_go_with_it():
+    """A Python worker outlives its task; what it met there would lie beside the next operator's memory."""
+    from playtrack.llm import tokens
+
+    with tokens.encoding("byte_bpe_50k.json", True) as tokenizer:
+        before = tokenizer.encode(["some words of a text, and more words"])
+        assert len(tokenizer.cache) > 5
+    assert len(tokenizer.cache) == 1 and not tokenizer.older
+    with pytest.raises(ValueError), tokens.encoding("byte_bpe_50k.json", True) as tokenizer:
+        assert tokenizer.encode(["some words of a text, and more words"]) == before       # loaded once, forgets pieces only
+        raise ValueError
+    assert len(tokenizer.cache) == 1 and tokenizer is tokens.piece_tokenizer("byte_bpe_50k.json", True)
