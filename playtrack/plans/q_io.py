@@ -79,7 +79,9 @@ def sink_parquet_roundtrip(spark, sf):
 def sink_parquet_append(spark, sf):
     """The player-game feature table appended in two batches, of which one is
     repeated; read back, every row is there once."""
-    rows, path = player_game_table(spark, sf), scratch_path(spark, "player-game-batches")
+    # every batch reads the same rows: they are derived once
+    rows = IO.read_parquet(spark, IO.write_parquet(player_game_table(spark, sf), scratch_path(spark, "player-game-rows")))
+    path = scratch_path(spark, "player-game-batches")
     first = F.coalesce(C.hash_bucket("PlayerKey") < 50, F.lit(True))
     for batch, part in (("first", first), ("second", ~first), ("first", first)):
         IO.append_parquet(rows.where(part), path, batch)

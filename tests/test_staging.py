@@ -36,3 +36,32 @@ def test_a_bucket_holds_a_bounded_share_of_the_staged_rows(spark, monkeypatch):
     for files in (88e6, 88e7, 88e8):
         monkeypatch.setattr(S, "source_state", lambda *_, size=files: ((int(size), 0),))
         assert files * 18 / S.bucket_count(spark, "any") <= 1.01 * S.BYTES_PER_BUCKET
+
+
+def test_plays_are_dealt_once_for_both_facts(spark, tmp_path):
+    from playtrack.operators import features as FE
+
+    plan = FE.facts_together(S.plays(spark, SF), 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1
+    for conf in (None, "3"):                            # every key in a heavy slot: summed before it is dealt
+        os.symlink(SF, tmp_path / f"sf{conf}")
+        folder = str(tmp_path / f"sf{conf}")
+        if conf:
+            spark.conf.set("spark.playtrack.hotKeyRows", conf)
+        try:
+            stored = S.game_facts(spark, folder)
+        finally:
+            spark.conf.unset("spark.playtrack.hotKeyRows")
+        expected = FE.game_facts(S.plays(spark, folder))
+        for a, b in zip(stored, expected, strict=True):
+            assert a.columns == b.columns and a.count() == b.count() > 0
+            assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_appended_batches_read_rows_derived_once(spark, monkeypatch):
+    from playtrack.plans import q_io
+
+    plans, append = [], q_io.IO.append_parquet
+    monkeypatch.setattr(q_io.IO, "append_parquet", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or append(df, *a))
+    queries()["sink_parquet_append"](spark, SF).collect()
+    assert len(plans) == 3 and not any("Join" in p or "Aggregate" in p for p in plans)
