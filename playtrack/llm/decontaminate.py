@@ -9,7 +9,7 @@ then be removed.
 Scale: the set is broadcast only if its measured size is within the limit;
 beyond it the windows (each with its own words) are joined by shuffle on the hash.  Words, window hashes
 and probes run in one generated stage per file split, and only verified hits
-and one marker row per document reach the (partial) aggregation per document.
+and one marker row per document, without the words, reach the (partial) aggregation per document.
 The lists kept per document are bounded by its own words and by the items.
 
 Defined cases: null text has no words; a document or item without words is
@@ -81,12 +81,13 @@ def _hits(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
             "k", "at", "n", "h", n_words.alias("n_words"), F.when(inside, own).alias("own"))
         n_words, same = F.col("n_words"), F.col("own") == F.col("gram")
     met = probe.join(lookup, (F.col("h") == F.col("_h")) & (F.col("n") == F.col("_n")) & same, "left")
-    return (met.where((F.col("at") < 0) | F.col("gram").isNotNull())
-            # each row has one marker per window length, and one if there are no windows
-            .groupBy("k").agg(F.floor(F.count(F.when(F.col("at") < 0, 1)) / max(len(lengths), 1)).alias("n_rows"),
-                              F.max(n_words).alias("n_words"),
-                              F.collect_set(F.when(F.col("at") >= 0, F.struct("at", "n"))).alias("spans"),
-                              F.collect_set("items").alias("items")))
+    # the words stay behind: rows leave the join as copies, all those of a document at once, and the aggregation sorts a task's rows
+    found = met.where((F.col("at") < 0) | F.col("gram").isNotNull()).select("k", "at", "n", n_words.alias("n_words"), "items")
+    # each row has one marker per window length, and one if there are no windows
+    return (found.groupBy("k").agg(F.floor(F.count(F.when(F.col("at") < 0, 1)) / max(len(lengths), 1)).alias("n_rows"),
+                                   F.max("n_words").alias("n_words"),
+                                   F.collect_set(F.when(F.col("at") >= 0, F.struct("at", "n"))).alias("spans"),
+                                   F.collect_set("items").alias("items")))
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:

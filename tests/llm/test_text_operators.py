@@ -115,6 +115,19 @@ def test_decontamination_reports_every_row(spark, odd_docs, monkeypatch):
     assert [r["contaminated"] for r in got if r["doc_id"] == 3] == [True, True]
 
 
+def test_decontamination_aggregates_rows_without_their_words(spark, make_docs, monkeypatch):
+    # a copy of the words in every hit row took hits x words, and a task kept the words of all its documents
+    items = spark.createDataFrame([(1, "a b c"), (2, "d e")], "item_id long, text string")
+    for own in (decontaminate.sized_broadcast, lambda df, width: df):
+        monkeypatch.setattr(decontaminate, "sized_broadcast", own)
+        node, inputs = decontaminate.contamination(make_docs([(1, "x a b c")]), items)._jdf.queryExecution().sparkPlan(), []
+        while node.children().size():
+            if node.nodeName() == "ObjectHashAggregate":
+                inputs.append(node.child().schema().simpleString())
+            node = node.children().apply(0)
+        assert len(inputs) == 2 and not any("array<string>" in x for x in inputs), inputs
+
+
 def test_decontamination_stays_native(spark, make_docs):
     items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     df = decontaminate.report(decontaminate.contamination(make_docs([(1, "a b c")]), items))
