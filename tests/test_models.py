@@ -44,6 +44,26 @@ def test_search_takes_the_best_point_and_repeats(spark, planted):
         assert runs[0].bestModel.stages[-1].getOrDefault(param.name) == value
 
 
+def test_the_search_finds_spark_s_areas_in_few_passes(spark, monkeypatch):
+    """Against a fit of Spark's for every fold and point; a feature without variance, and points that differ in ``maxIter`` alone."""
+    n = [F.xxhash64("id", F.lit(c)) % 100 / 100.0 for c in "abc"]
+    data = spark.range(400).select(F.col("id").cast("string").alias("k"), n[0].alias("a"), (n[1] * 500 + 90).alias("b"), F.lit(3.0).alias("c"),
+                                   (n[0] * 2 + n[1] + 3 * n[2] > 0.4).cast("double").alias("IsInjury"))
+    lr = ML.logistic_regression("IsInjury", "features", 100, 0.1)
+    grid = ML.grid((lr.regParam, [0.01, 0.3]), (lr.elasticNetParam, [0.0, 0.1]), (lr.fitIntercept, [True, False]), (lr.maxIter, [98, 100]))
+    assembler = ML.assembler(["a", "b", "c"])
+    passes, plain = [], ML.RG._sums
+    monkeypatch.setattr(ML.RG, "_sums", lambda rows, models, scale: passes.append(len(models)) or plain(rows, models, scale))
+    found = ML.cross_validate(Pipeline(stages=[assembler, lr]), data, grid, "k")
+    assert len(passes) < 20 and passes[0] == 2 * 2 * 2 * 4
+    assert found.getEstimatorParamMaps() == grid and found.avgMetrics[::2] == found.avgMetrics[1::2]
+    rows, ev = assembler.transform(data).withColumn("_fold", ML.fold("k")).cache(), ML.auc_evaluator("IsInjury")
+    for i in (0, 2, 4, 6, 8, 14):
+        areas = [ev.evaluate(lr.fit(rows.where(F.col("_fold") != k), {**grid[i], lr.tol: 1e-10}).transform(rows.where(F.col("_fold") == k)))
+                 for k in range(4)]
+        assert found.avgMetrics[i] == pytest.approx(sum(areas) / 4, abs=1e-4)
+
+
 def test_registered_model_reports(spark):
     q = queries()
     best = {(r["model"], r["param"]): r["value"] for r in q["ml_best_params"](spark, SF).select("model", "param", "value").collect()}
