@@ -9,13 +9,15 @@ counts (fixed value lists) come out of the same shuffle on PlayerKey.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..functions.rules import FIELD_PIVOT, STADIUM_PIVOT, WEATHER_PIVOT
+from ..functions.rules import FIELD_PIVOT, MAIN_POSITIONS, STADIUM_FIVE_WAY, STADIUM_PIVOT, WEATHER_FIVE_WAY, WEATHER_PIVOT
 from . import skew as SK
 from .clean import clean_plays
 
@@ -115,7 +117,7 @@ def facts_together(plays: DataFrame, parts: int) -> DataFrame:
     """
     clean = clean_plays(plays)
     hot = SK.measured_rows(clean, "GameID")[1] > SK.hot_rows_of(plays)
-    dealt = clean if hot else clean.repartition(parts, "GameID")
+    dealt = clean if hot else _spelled(_numbered(clean).repartition(parts, "GameID"))
     row, no_text = F.struct(*GAME_ROW), F.lit(None).cast("string")
     marks = _marks(F.lit("game_marks").alias("facts"), F.when(F.lit(False), row).alias("row"))
     game = F.struct(F.lit("game_rows").alias("facts"), row.alias("row"), no_text.alias("kind"), no_text.alias("value"),
@@ -128,6 +130,35 @@ def facts_together(plays: DataFrame, parts: int) -> DataFrame:
     return out.repartition(parts, "GameID") if hot else out
 
 
+# Values that the cleaned categories have as a rule: their texts are most of a play's bytes when it is dealt.
+USUAL = {"RosterPosition": [*MAIN_POSITIONS, "Offensive Lineman", "Defensive Lineman", "Running Back", "Tight End", "Quarterback", "Kicker"],
+         "StadiumType": [*[label for label, _ in STADIUM_FIVE_WAY], "Missing"], "FieldType": [*FIELD_PIVOT, "Missing"],
+         "Weather": [*[label for label, _ in WEATHER_FIVE_WAY], "Missing"],
+         "PlayType": ["Pass", "Rush", "Punt", "Kickoff", "Extra Point", "Field Goal", "Missing"]}
+_USUAL_BITS = 4
+
+
+def _numbered(clean: DataFrame) -> DataFrame:
+    """``clean`` with the ``USUAL`` columns as one number, and their texts where a value is none of the usual (or null)."""
+    numbers = {}
+    for c, values in USUAL.items():
+        numbers[c] = F.lit(len(values))
+        for i, v in enumerate(values):
+            numbers[c] = F.when(F.col(c) == v, i).otherwise(numbers[c])
+    other = {c: n == len(USUAL[c]) for c, n in numbers.items()}
+    number = sum(F.shiftleft(n, _USUAL_BITS * i) for i, n in enumerate(numbers.values()))
+    texts = F.when(reduce(or_, other.values()), F.struct(*[F.when(other[c], F.col(c)).alias(c) for c in USUAL]))
+    return clean.withColumns({"_number": number, "_texts": texts}).drop(*USUAL)
+
+
+def _spelled(numbered: DataFrame) -> DataFrame:
+    """What ``_numbered`` was made of."""
+    def text(i, c):
+        n = F.shiftright("_number", _USUAL_BITS * i).bitwiseAND(F.lit((1 << _USUAL_BITS) - 1))
+        return F.coalesce(F.col("_texts")[c], F.get(F.array(*map(F.lit, USUAL[c])), n))
+    return numbered.withColumns({c: text(i, c) for i, c in enumerate(USUAL)}).drop("_number", "_texts")
+
+
 def merged_facts(known: GameFacts, more: GameFacts) -> GameFacts:
     """Facts of both play lists together; only ``more`` was derived from plays anew."""
     return GameFacts(_one_each(known.marks.unionByName(more.marks)), known.rows.unionByName(more.rows).distinct())

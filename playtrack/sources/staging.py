@@ -40,10 +40,30 @@ def _s(c: str) -> Column:
     return F.col(c).cast("string")
 
 
+# Texts that stand for a category of the plays travel as its number: rows are dealt up to three times.
+_SEGMENTS = {"MACHINERY": "Linebacker", "BUILDING": "Safety", "AUTOMOBILE": "Wide Receiver", "FURNITURE": "Cornerback"}
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
+_FLAGS = {"AF": "Pass", "AO": "Rush", "NF": "Punt", "NO": "Kickoff", "RF": "0"}
+
+
+def _number(c: Column, values) -> Column:
+    """The place of a value among ``values``; their number for any other, and for null."""
+    out = F.lit(len(values))
+    for i, v in enumerate(values):
+        out = F.when(c == v, i).otherwise(out)
+    return out.cast("tinyint")
+
+
+def _named(c: str, names) -> Column:
+    """The name at a place; null beyond the last."""
+    return F.get(F.array(*map(F.lit, names)), F.col(c).cast("int"))
+
+
 def _games(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+        "o_orderkey", "o_custkey", "o_orderdate", _number(F.col("o_orderpriority"), _PRIORITIES).alias("priority"),
+        _number(F.col("o_orderstatus"), ["F"]).alias("status"))
+    customer = table(spark, sf_dir, "customer").select("c_custkey", _number(F.col("c_mktsegment"), _SEGMENTS).alias("segment"))
     order = ["o_orderdate", "o_orderkey"]
 
     def met(d):
@@ -63,7 +83,7 @@ def _games(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus")
+        "l_returnflag", _number(F.concat("l_returnflag", "l_linestatus"), _FLAGS).alias("flag"))
     return SK.row_number_by(lineitem, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
                                                      "l_quantity", "l_extendedprice"], "rn")
 
@@ -73,7 +93,7 @@ def _line_rows(spark: SparkSession, sf_dir: str, parts: int | None = None) -> Da
 
     ``parts``: partitions of the join with the parts, unless they are broadcast."""
     g = _games(spark, sf_dir)
-    line = _lines(spark, sf_dir).select("l_orderkey", "rn", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus")
+    line = _lines(spark, sf_dir).select("l_orderkey", "rn", "l_partkey", "l_quantity", "l_returnflag", "flag")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     if parts:
         part = part.repartition(parts, "p_partkey")         # the lines follow: this side's number stands
@@ -87,22 +107,12 @@ def _play_key() -> Column:
 
 def _as_plays(rows: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
-    roster = (F.when(F.col("c_mktsegment") == "MACHINERY", "Linebacker")
-              .when(F.col("c_mktsegment") == "BUILDING", "Safety")
-              .when(F.col("c_mktsegment") == "AUTOMOBILE", "Wide Receiver")
-              .when(F.col("c_mktsegment") == "FURNITURE", "Cornerback")
-              .otherwise("Offensive Lineman"))
-    stadium = (F.when(F.col("o_orderpriority") == "1-URGENT", "Outdoor")
-               .when(F.col("o_orderpriority") == "2-HIGH", "Indoors")
-               .when(F.col("o_orderpriority") == "3-MEDIUM", "Domed, closed")
-               .when(F.col("o_orderpriority") == "5-LOW",
-                     F.when(k % 3 == 0, "Domed, Open").when(k % 3 == 1, "Retr. Roof-Open").otherwise("Ourdoor")))
+    roster = _named("segment", [*_SEGMENTS.values(), "Offensive Lineman"])
+    stadium = F.when(F.col("priority") == 3, F.when(k % 3 == 0, "Domed, Open").when(k % 3 == 1, "Retr. Roof-Open").otherwise("Ourdoor")).otherwise(
+        _named("priority", ["Outdoor", "Indoors", "Domed, closed"]))
     weather = (F.when(k % 8 == 0, "Sunny").when(k % 8 == 1, "Cloudy").when(k % 8 == 2, "Light Rain")
                .when(k % 8 == 3, "Snow").when(k % 8 == 4, "Indoor").when(k % 8 == 5, "Clear")
                .when(k % 8 == 6, "Mostly Coudy"))
-    flag = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
-    play_type = (F.when(flag == "AF", "Pass").when(flag == "AO", "Rush").when(flag == "NF", "Punt")
-                 .when(flag == "NO", "Kickoff").when(flag == "RF", "0"))
     return rows.select(
         _s("o_custkey").alias("PlayerKey"),
         F.concat(_s("o_custkey"), F.lit("-"), _s("o_orderkey")).alias("GameID"),
@@ -110,10 +120,10 @@ def _as_plays(rows: DataFrame) -> DataFrame:
         roster.alias("RosterPosition"),
         "PlayerDay", "PlayerGame",
         stadium.alias("StadiumType"),
-        F.when(F.col("o_orderstatus") == "F", "Natural").otherwise("Synthetic").alias("FieldType"),
+        F.when(F.col("status") == 0, "Natural").otherwise("Synthetic").alias("FieldType"),
         F.when(k % 10 == 0, -999).otherwise(30 + k % 60).cast("double").alias("Temperature"),
         weather.alias("Weather"),
-        play_type.alias("PlayType"),
+        _named("flag", _FLAGS.values()).alias("PlayType"),
         F.col("rn").alias("PlayerGamePlay"),
         F.col("p_type").alias("Position"),
         F.col("p_brand").alias("PositionGroup"),
